@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitflow.config import bounded_broadcast
-from visitflow.functions.timecols import timestamp_literal, ts_to_epoch_ms
+from visitflow.functions.timecols import as_wall_time, timestamp_literal, ts_to_epoch_ms
 from visitflow.sources.clicks import click_line, with_click_time
 
 # Event type -> visit action (anything else is a search).
@@ -68,7 +68,8 @@ def visits_from_events(
         visit_date.alias("visit_date"),
         F.col("user_id").cast("long").alias("user_id"),
         F.concat(F.col("user_id").cast("string"), F.lit("-"), visit_date.cast("string")).alias("session_id"),
-        F.date_trunc("second", "ts").alias("action_time"),
+        # date_trunc answers with TIMESTAMP; keep the wall-clock type of the input.
+        as_wall_time(F.date_trunc("second", "ts")).alias("action_time"),
         action.otherwise("search").alias("action"),
         only("purchase", k).alias("pay_category_id"),
         only("purchase", product).alias("pay_product_id"),
