@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_COL = "batch_id"
@@ -42,12 +42,17 @@ def append(df: DataFrame, path: str, replace_partitions: Sequence[str] = ("task_
         df.write.mode("append").parquet(path)
 
 
-def upsert(df: DataFrame, path: str, keys: Sequence[str], batch_id: int) -> None:
+def upsert(
+    df: DataFrame, path: str, keys: Sequence[str], batch_id: int, partition_by: Sequence[str] = ()
+) -> None:
     """Insert or replace the rows of ``df`` by ``keys`` (batch ``batch_id`` of the log).
 
-    ``df`` must hold at most one row per key (e.g. running totals of a streaming aggregate)."""
-    _check_columns(df, keys)
-    _writer(df.withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long")), [BATCH_COL]).parquet(path)
+    ``df`` must hold at most one row per key (e.g. running totals of a streaming aggregate).
+    ``partition_by`` (a part of the key, e.g. the date) lays the log out so that readers that
+    need a few of its values prune the other folders."""
+    _check_columns(df, [*keys, *partition_by])
+    logged = df.withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long"))
+    _writer(logged, [*partition_by, BATCH_COL]).parquet(path)
 
 
 def replace_groups(df: DataFrame, path: str, group_keys: Sequence[str], batch_id: int) -> None:
@@ -67,14 +72,27 @@ def _read_log(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def read_upserted(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame | None:
+def read_upserted(
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    only: DataFrame | None = None,
+    where: Column | None = None,
+) -> DataFrame | None:
     """Current rows of an upsert table: per key, the row of the highest batch.
 
     ``max_by`` is combined map-side before the shuffle on the key, so a key rewritten in many
-    batches costs one row per task, not one per batch."""
+    batches costs one row per task, not one per batch.  ``only`` (a frame of some key columns)
+    restricts the read to the keys it matches; the semi join comes before the aggregation, so
+    ``where`` is a predicate on key columns applied to the log first (a predicate on a partition
+    column prunes folders)."""
     log = _read_log(spark, path)
     if log is None:
         return None
+    if where is not None:
+        log = log.where(where)
+    if only is not None:
+        log = log.join(only, list(only.columns), "left_semi")
     values = [c for c in log.columns if c not in keys and c != BATCH_COL]
     latest = log.groupBy(*keys).agg(
         F.max_by(F.struct(*[F.col(c) for c in values]), F.col(BATCH_COL)).alias("_row")

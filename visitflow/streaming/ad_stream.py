@@ -124,17 +124,34 @@ def _all_not_null(cols):
     return cond
 
 
+# A micro-batch spans a few days; above this many dates the log is read without date pruning.
+MAX_PRUNED_DATES = 366
+
+
+def _date_pruning(changed: DataFrame):
+    """``click_date IN (dates of this batch)`` as a partition filter, or None when the batch
+    spans more than ``MAX_PRUNED_DATES`` days.  At most that many values reach the driver."""
+    dates = [r[0] for r in changed.select("click_date").distinct().limit(MAX_PRUNED_DATES + 1).collect()]
+    if len(dates) > MAX_PRUNED_DATES:
+        return None
+    return F.col("click_date").isin(dates) if dates else F.lit(False)
+
+
 def _daily_batch(out_dir: str, top_n: int):
     daily_path, top_path = f"{out_dir}/ad_daily_count", f"{out_dir}/ad_province_top3"
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        changed = batch.select(*DAILY_KEYS, "click_count")
-        upsert(changed, daily_path, DAILY_KEYS, batch_id)
-        touched = changed.select(*GROUP_KEYS).distinct()
-        current = read_upserted(spark, daily_path, DAILY_KEYS)
-        ranked = province_top_ads(current.join(touched, GROUP_KEYS, "left_semi"), top_n)
-        replace_groups(ranked, top_path, GROUP_KEYS, batch_id)
+        changed = batch.select(*DAILY_KEYS, "click_count").persist()
+        try:
+            upsert(changed, daily_path, DAILY_KEYS, batch_id, partition_by=["click_date"])
+            # re-rank only the (date, province) groups this batch touched, reading only their dates
+            touched = changed.select(*GROUP_KEYS).distinct()
+            current = read_upserted(spark, daily_path, DAILY_KEYS, only=touched,
+                                    where=_date_pruning(changed))
+            replace_groups(province_top_ads(current, top_n), top_path, GROUP_KEYS, batch_id)
+        finally:
+            changed.unpersist()
 
     return run
 
