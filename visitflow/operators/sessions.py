@@ -119,7 +119,10 @@ def sample_sessions(
         hour_of(F.col("start_time")).alias("hour"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.col("session_id"))).alias("sample_key"),
     )
-    per_hour = keyed.groupBy("hour").agg(F.count(F.lit(1)).alias("hour_n"))
+    # count(end_time) equals count(*) here (end_time is never null); it keeps end_time in this
+    # branch, so both branches read the same summary aggregate and Spark reuses its exchange
+    # instead of computing the summary twice.
+    per_hour = keyed.groupBy("hour").agg(F.count("end_time").alias("hour_n"))
     # The total over a frame of one row per hour: a small, bounded single-partition window.
     quotas = per_hour.withColumn("total", F.sum("hour_n").over(Window.partitionBy())).select(
         "hour",
