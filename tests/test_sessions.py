@@ -117,3 +117,29 @@ def test_sample_matches_brute_force(spark):
         expected |= {sid for _, sid in group[:quota]}
     got = {r.session_id for r in sample_sessions(big, n=30, seed=5).collect()}
     assert got == expected
+
+
+def test_minute_bounds_include_the_start_minute(spark):
+    # the reference compared "yyyy-MM-dd HH:mm:ss" strings with "yyyy-MM-dd HH:mm" bounds, so
+    # 01:00:00 was inside and 05:00:00 outside: the same as [start, end) on timestamps
+    rows = [visit("a", "2019-01-14 01:00:00"), visit("a", "2019-01-14 00:59:59"), visit("a", "2019-01-14 05:00:00")]
+    got = visits_in_range(visits_df(spark, rows), users_df(spark, [1]), "2019-01-14 01:00", "2019-01-14 05:00").collect()
+    assert [r.action_time for r in got] == [ts("2019-01-14 01:00:00")]
+
+
+def test_summary_of_visits_from_events_adapter(spark):
+    from visitflow.sources import visits_from_events
+
+    events = spark.createDataFrame(
+        [(1, ts("2024-01-05 00:59:59.9"), 3, "click", 1.0, '{"k": 12}'),
+         (2, ts("2024-01-05 01:00:00.5"), 3, "purchase", 1.0, '{"k": 7}'),
+         (3, ts("2024-01-05 02:00:00"), 3, "view", 1.0, '{"k": 8}'),
+         (4, ts("2024-01-05 03:00:00"), 3, "signup", 1.0, 'not json')],
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    )
+    rows = visits_from_events(events, "2024-01-05 01:00:00", "2024-01-05 04:00:00").orderBy("action_time").collect()
+    assert [r.action for r in rows] == ["pay", "search", "order"]
+    assert rows[0].action_time == ts("2024-01-05 01:00:00")
+    assert (rows[0].pay_category_id, rows[0].pay_product_id, rows[0].page_id) == (7, 2, 7)
+    assert (rows[1].search_keyword, rows[1].page_id) == ("view", 8)
+    assert rows[2].order_category_id is None and rows[2].session_id == "3-2024-01-05"

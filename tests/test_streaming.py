@@ -5,9 +5,7 @@ import glob
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
-from visitflow.operators import province_top_ads
 from visitflow.plans import ad_report
 from visitflow.sources import click_lines, load_driver_clicks, read_click_files
 from visitflow.streaming import read_ad_tables, start_ad_stream
@@ -83,3 +81,28 @@ def test_blacklist_feedback_blocks_later_clicks(spark, scratch_dir):
     assert counts == {1: 3, 2: 2}   # user 1's later click is blocked, user 2 keeps counting
     top = read_ad_tables(spark, out_dir)["ad_province_top3"].collect()
     assert [(r.province, r.ad_id, r.click_count) for r in top] == [("P", 5, 5)]
+
+
+def test_watermarked_stream_equals_batch(spark, scratch_dir):
+    clicks = load_driver_clicks(spark, "/root/testdata/sf0.001")
+    lines_dir, out_dir, ckpt = (f"{scratch_dir}/{x}" for x in ("lines", "out", "ckpt"))
+    _write_lines(spark, clicks, lines_dir, 3)
+    _run(spark, lines_dir, out_dir, ckpt, threshold=10**9, watermark_delay="2 hours")
+    batch = ad_report(spark, clicks, spark.createDataFrame([], "user_id long"), threshold=10**9)
+    streamed = read_ad_tables(spark, out_dir)
+    for name, frame in batch.items():
+        assert _rows(streamed[name]) == _rows(frame), name
+
+
+def test_coded_behaviour_counts_blacklisted_users(spark, scratch_dir):
+    lines_dir, out_dir, ckpt = (f"{scratch_dir}/{x}" for x in ("lines", "out", "ckpt"))
+    os.makedirs(lines_dir)
+    with open(f"{lines_dir}/part-1.txt", "w") as fh:
+        fh.write("P,C,1,5,1704067200000\nP,C,1,5,1704067201000\n")
+    _run(spark, lines_dir, out_dir, ckpt, threshold=2, apply_blacklist=False)
+    with open(f"{lines_dir}/part-2.txt", "w") as fh:
+        fh.write("P,C,1,5,1704067300000\n")
+    _run(spark, lines_dir, out_dir, ckpt, threshold=2, apply_blacklist=False)
+    tables = read_ad_tables(spark, out_dir)
+    assert [r.user_id for r in tables["ad_blacklist"].collect()] == [1]
+    assert [r.click_count for r in tables["ad_user_click_count"].collect()] == [3]

@@ -9,19 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from visitflow.functions.predicates import all_not_null
 from visitflow.functions.timecols import as_wall_time, minute_of
 
 
-def _not_null(*cols: str):
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(c).isNotNull()
-    return cond
-
-
 def _count_by(clicks: DataFrame, *keys: str) -> DataFrame:
     """Clicks per key (null keys dropped); partial counts are combined before the shuffle."""
-    return clicks.where(_not_null(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("click_count"))
+    return clicks.where(all_not_null(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("click_count"))
 
 
 def filter_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
@@ -64,7 +58,7 @@ def blacklist_candidates(user_counts: DataFrame, threshold: int = 100) -> DataFr
 
 def ad_minute_counts(clicks: DataFrame) -> DataFrame:
     """Clicks per ``(click_date, ad_id, minute)``; ``minute`` is the minute's start (UTC)."""
-    clicks = clicks.where(_not_null("click_date", "ad_id", "ts"))
+    clicks = clicks.where(all_not_null("click_date", "ad_id", "ts"))
     return (
         clicks.groupBy("click_date", "ad_id", minute_of(F.col("ts")).alias("minute_ts"))
         .agg(F.count(F.lit(1)).alias("click_count"))
@@ -81,7 +75,7 @@ def ad_trend(clicks: DataFrame, window_minutes: int = 60, method: str = "minute_
     count over the ``window_minutes`` windows that contain it and sums: the 60-fold expansion is
     applied to per-minute counts, not to raw clicks.  ``window`` uses Spark's sliding
     ``window(ts, '60 minutes', '1 minute')`` directly (the streaming form)."""
-    clicks = clicks.where(_not_null("click_date", "ad_id", "ts"))
+    clicks = clicks.where(all_not_null("click_date", "ad_id", "ts"))
     if method == "window":
         win = F.window("ts", f"{window_minutes} minutes", "1 minute")
         counted = clicks.groupBy("click_date", "ad_id", win.alias("w")).agg(F.count(F.lit(1)).alias("click_count"))

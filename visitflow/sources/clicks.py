@@ -78,7 +78,17 @@ def read_click_stream(
     )
     for key, val in (extra_options or {}).items():
         reader = reader.option(key, val)
-    return reader.load().selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
+    try:
+        stream = reader.load()
+    except Exception as exc:  # noqa: BLE001
+        text = str(exc).lower()
+        if "kafka" in text and ("failed to find data source" in text or "data_source_not_found" in text):
+            raise RuntimeError(
+                "the Kafka source needs the spark-sql-kafka-0-10 connector on the classpath "
+                "(for example spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>)"
+            ) from exc
+        raise
+    return stream.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
 
 
 def read_click_files(

@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from visitflow.config import checkpoint_root
+from visitflow.functions.predicates import all_not_null
 from visitflow.operators.ads import ad_minute_counts, ad_trend, filter_blacklisted, province_top_ads
 from visitflow.schemas import CLICK_SCHEMA, TABLE_KEYS
 from visitflow.sinks.parquet import (
@@ -109,7 +110,7 @@ def _clean_batch(out_dir: str, apply_blacklist: bool):
 def _counted(clicks: DataFrame, keys: list[str], watermark_delay: str | None) -> DataFrame:
     """Running count per key; with a watermark the day window is part of the state key so the
     state of a finished day can be dropped (the day window equals ``click_date`` in UTC)."""
-    clicks = clicks.where(_all_not_null(keys))
+    clicks = clicks.where(all_not_null(*keys))
     if watermark_delay:
         grouped = clicks.withWatermark("ts", watermark_delay).groupBy(F.window("ts", "1 day").alias("day"), *keys)
     else:
@@ -117,13 +118,6 @@ def _counted(clicks: DataFrame, keys: list[str], watermark_delay: str | None) ->
     return grouped.agg(F.count(F.lit(1)).alias("click_count"))
 
 
-def _all_not_null(cols):
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(c).isNotNull()
-    return cond
-
-
 # A micro-batch spans a few days; above this many dates the log is read without date pruning.
 MAX_PRUNED_DATES = 366
 
