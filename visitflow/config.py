@@ -22,6 +22,10 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # AQE merges small shuffle outputs up to this size; the default (1 MB) turns a stage of a few
+    # hundred KB that expands its rows (the 60-window trend) into a single task.  Large stages
+    # are sized by spark.sql.shuffle.partitions and the advisory size as before.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
