@@ -106,3 +106,21 @@ def test_coded_behaviour_counts_blacklisted_users(spark, scratch_dir):
     tables = read_ad_tables(spark, out_dir)
     assert [r.user_id for r in tables["ad_blacklist"].collect()] == [1]
     assert [r.click_count for r in tables["ad_user_click_count"].collect()] == [3]
+
+
+def test_blacklist_loader_replaces_the_table_read(spark, scratch_dir):
+    lines_dir, out_dir, ckpt = (f"{scratch_dir}/{x}" for x in ("lines", "out", "ckpt"))
+    os.makedirs(lines_dir)
+    with open(f"{lines_dir}/part-1.txt", "w") as fh:
+        fh.write("P,C,1,5,1704067200000\nP,C,2,5,1704067201000\n")
+    spark.createDataFrame([(2,)], "user_id long").write.parquet(f"{scratch_dir}/external_blacklist")
+    calls = []
+
+    def loader(session):
+        calls.append(1)
+        return session.read.parquet(f"{scratch_dir}/external_blacklist")
+
+    _run(spark, lines_dir, out_dir, ckpt, threshold=100, blacklist_loader=loader)
+    counts = {r.user_id: r.click_count for r in read_ad_tables(spark, out_dir)["ad_user_click_count"].collect()}
+    assert counts == {1: 1}
+    assert calls

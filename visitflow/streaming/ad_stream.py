@@ -85,9 +85,12 @@ def _ensure_table(spark: SparkSession, path: str, schema) -> None:
     empty.write.mode("append").partitionBy(BATCH_COL).parquet(path)
 
 
-def _clean_batch(out_dir: str, apply_blacklist: bool):
+def _clean_batch(out_dir: str, apply_blacklist: bool, blacklist_loader=None):
     clean_path, rejected_path = f"{out_dir}/clean_clicks", f"{out_dir}/rejected_lines"
     blacklist_path = f"{out_dir}/ad_blacklist"
+    if blacklist_loader is None:
+        def blacklist_loader(spark):
+            return current_blacklist(spark, blacklist_path)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -99,7 +102,7 @@ def _clean_batch(out_dir: str, apply_blacklist: bool):
             upsert(bad, rejected_path, [], batch_id)
             good = parsed.where(F.col("parse_error").isNull()).select(*TYPED_COLUMNS)
             if apply_blacklist:
-                good = filter_blacklisted(good, current_blacklist(spark, blacklist_path))
+                good = filter_blacklisted(good, blacklist_loader(spark))
             upsert(good, clean_path, [], batch_id)
         finally:
             parsed.unpersist()
@@ -172,6 +175,20 @@ def _user_batch(out_dir: str, threshold: int):
     return run
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE_CONF = "spark.sql.streaming.stateStore.providerClass"
+
+
+def _choose_state_store(spark: SparkSession, state_store: str) -> None:
+    """Use RocksDB for the running counts unless the session already names a provider."""
+    if state_store != "rocksdb":
+        return
+    current = spark.conf.get(_STATE_CONF, None)
+    if current is None or current.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(_STATE_CONF, ROCKSDB_PROVIDER)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def start_ad_stream(
     spark: SparkSession,
     lines: DataFrame,
@@ -185,17 +202,26 @@ def start_ad_stream(
     window_minutes: int = 60,
     wait_for_clean: bool | None = None,
     max_files_per_trigger: int | None = None,
+    blacklist_loader=None,
+    state_store: str = "rocksdb",
 ) -> AdStream:
     """Start the ad stream on ``lines`` (a streaming frame with a ``value`` column, e.g. from
     ``read_click_stream`` or ``read_click_files``).
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (default: every 5 seconds, as the
     reference).  With ``availableNow`` the ``clean`` query is run to the end before the counting
-    queries start (``wait_for_clean``), so each run of the job sees the whole input."""
+    queries start (``wait_for_clean``), so each run of the job sees the whole input.
+
+    ``blacklist_loader(spark) -> DataFrame`` replaces the blacklist read of every micro-batch
+    (for instance ``load_blacklist(spark, "ad_blacklist", fmt="jdbc", jdbc_options=...)``); by
+    default the stream's own ``ad_blacklist`` table is read.  ``state_store="rocksdb"`` keeps the
+    running counts in RocksDB on local disk instead of the JVM heap (set on first start only; a
+    query keeps the provider recorded in its checkpoint)."""
     trigger = trigger or {"processingTime": "5 seconds"}
     if wait_for_clean is None:
         wait_for_clean = bool(trigger.get("availableNow") or trigger.get("once"))
     ckpt = checkpoint_dir or f"{checkpoint_root(spark)}/ad_stream"
+    _choose_state_store(spark, state_store)
     handle = AdStream(out_dir)
 
     def start(name: str, frame: DataFrame, fn, mode: str = "update") -> None:
@@ -209,7 +235,7 @@ def start_ad_stream(
 
     clean_path = handle.table("clean_clicks")
     _ensure_table(spark, clean_path, CLICK_SCHEMA)
-    start("clean", lines, _clean_batch(out_dir, apply_blacklist), mode="append")
+    start("clean", lines, _clean_batch(out_dir, apply_blacklist, blacklist_loader), mode="append")
     if wait_for_clean:
         handle.queries["clean"].awaitTermination()
 
