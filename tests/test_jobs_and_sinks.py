@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from visitflow.plans import session_job
 from visitflow.sinks import (
-    append, compact, merge_sql, mysql_upsert_sql, read_groups, read_upserted, replace_groups, upsert,
+    append, compact, merge_sql, mysql_upsert_sql, read_groups, read_upserted, replace_groups,
+    replace_groups_sql, upsert,
 )
 from visitflow.sources import load_blacklist, load_driver_inputs, load_users, load_visits
 
@@ -73,6 +74,12 @@ def test_jdbc_statements():
         "WHEN NOT MATCHED THEN INSERT (d, k, n) VALUES (s.d, s.k, s.n)")
     assert mysql_upsert_sql("ad_blacklist", "s", ["user_id"], ["user_id"]) == (
         "INSERT INTO ad_blacklist (user_id) SELECT user_id FROM s ON DUPLICATE KEY UPDATE user_id = VALUES(user_id)")
+    assert replace_groups_sql("ad_province_top3", "s", ["click_date", "province"], ["click_date", "province", "ad_id", "click_count"]) == [
+        "DELETE FROM ad_province_top3 WHERE EXISTS (SELECT 1 FROM s s WHERE s.click_date = ad_province_top3.click_date "
+        "AND s.province = ad_province_top3.province)",
+        "INSERT INTO ad_province_top3 (click_date, province, ad_id, click_count) "
+        "SELECT click_date, province, ad_id, click_count FROM s",
+    ]
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
