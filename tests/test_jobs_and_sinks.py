@@ -101,3 +101,11 @@ def test_session_job_writes_the_registered_results(spark, scratch_dir):
     # a rerun of the same task replaces its rows
     out2 = session_job(spark, visits, users, entry.RANGE_START, entry.RANGE_END, out_dir=f"{scratch_dir}/out")
     assert out2["session_detail"].count() == 536
+
+
+def test_read_before_batch(spark, scratch_dir):
+    path = f"{scratch_dir}/b"
+    upsert(spark.createDataFrame([(1,)], "user_id long"), path, ["user_id"], 0)
+    upsert(spark.createDataFrame([(2,)], "user_id long"), path, ["user_id"], 1)
+    assert sorted(r.user_id for r in read_upserted(spark, path, ["user_id"], before_batch=1).collect()) == [1]
+    assert sorted(r.user_id for r in read_upserted(spark, path, ["user_id"]).collect()) == [1, 2]

@@ -106,6 +106,7 @@ def test_coded_behaviour_counts_blacklisted_users(spark, scratch_dir):
     tables = read_ad_tables(spark, out_dir)
     assert [r.user_id for r in tables["ad_blacklist"].collect()] == [1]
     assert [r.click_count for r in tables["ad_user_click_count"].collect()] == [3]
+    assert spark.read.parquet(f"{out_dir}/ad_blacklist").count() == 1   # listed once, not per batch
 
 
 def test_blacklist_loader_replaces_the_table_read(spark, scratch_dir):

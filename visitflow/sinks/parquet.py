@@ -78,6 +78,7 @@ def read_upserted(
     keys: Sequence[str],
     only: DataFrame | None = None,
     where: Column | None = None,
+    before_batch: int | None = None,
 ) -> DataFrame | None:
     """Current rows of an upsert table: per key, the row of the highest batch.
 
@@ -85,10 +86,13 @@ def read_upserted(
     batches costs one row per task, not one per batch.  ``only`` (a frame of some key columns)
     restricts the read to the keys it matches; the semi join comes before the aggregation, so
     ``where`` is a predicate on key columns applied to the log first (a predicate on a partition
-    column prunes folders)."""
+    column prunes folders).  ``before_batch=N`` gives the table as it was before batch ``N``
+    (what a replay of batch ``N`` must compare against)."""
     log = _read_log(spark, path)
     if log is None:
         return None
+    if before_batch is not None:
+        log = log.where(F.col(BATCH_COL) < int(before_batch))
     if where is not None:
         log = log.where(where)
     if only is not None:

@@ -168,6 +168,11 @@ def _user_batch(out_dir: str, threshold: int):
         try:
             upsert(changed, counts_path, USER_KEYS, batch_id)
             heavy = changed.where(F.col("click_count") >= int(threshold)).select("user_id").distinct()
+            # a listed user whose count keeps growing is not written again, so the log holds
+            # each user once (plus replays of the same batch, which overwrite themselves)
+            known = read_upserted(changed.sparkSession, blacklist_path, ["user_id"], before_batch=batch_id)
+            if known is not None:
+                heavy = heavy.join(known, "user_id", "left_anti")
             upsert(heavy, blacklist_path, ["user_id"], batch_id)
         finally:
             changed.unpersist()
