@@ -62,7 +62,7 @@ def test_ad_trend_window_edges(spark):
     rows = [("p", "c", 1, 1, "2024-01-01 00:00:00"), ("p", "c", 1, 1, "2024-01-01 00:59:59"),
             ("p", "c", 1, 1, "2024-01-01 01:00:00")]
     clicks = clicks_df(spark, rows)
-    for method in ("minute_chain", "window"):
+    for method in ("minute_frame", "minute_chain", "window"):
         got = {r.window_end: r.click_count for r in ad_trend(clicks, method=method).collect()}
         # window [end-60min, end): the 00:00:00 click counts for ends 00:01 .. 01:00
         assert got[dt.datetime(2024, 1, 1, 0, 1)] == 1
@@ -84,9 +84,10 @@ def test_both_trend_methods_agree(spark):
     rows = [("p", "c", u, u % 3, f"2024-01-01 {h:02d}:{(7 * u) % 60:02d}:{u % 60:02d}")
             for u in range(60) for h in (0, 5, 23)]
     clicks = clicks_df(spark, rows)
-    a = sorted(tuple(r) for r in ad_trend(clicks, method="minute_chain").collect())
+    a = sorted(tuple(r) for r in ad_trend(clicks, method="minute_frame").collect())
     b = sorted(tuple(r) for r in ad_trend(clicks, method="window").collect())
-    assert a == b and len(a) > 0
+    c = sorted(tuple(r) for r in ad_trend(clicks, method="minute_chain").collect())
+    assert a == b == c and len(a) > 0
 
 
 def test_minute_region_and_user_counts(spark):

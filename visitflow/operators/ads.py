@@ -66,20 +66,56 @@ def ad_minute_counts(clicks: DataFrame) -> DataFrame:
     )
 
 
-def ad_trend(clicks: DataFrame, window_minutes: int = 60, method: str = "minute_chain") -> DataFrame:
+def _trend_by_minute_frame(clicks: DataFrame, window_minutes: int):
+    """Sliding counts from per-minute counts without re-aggregating expanded rows.
+
+    A (date, ad) group holds at most 1440 minute rows, so a window partitioned by it is bounded
+    however hot the ad is.  For each minute ``m`` the range frame collects the counts of the
+    ``window_minutes`` minutes up to ``m``; the row then emits the window ends ``m+1 ..`` up to
+    the next minute with clicks (or ``m + window_minutes``), each end exactly once, with the
+    sum of the collected counts still inside ``[end - window, end)``."""
+    per_minute = clicks.groupBy(
+        "click_date", "ad_id", F.floor(F.unix_seconds(minute_of(F.col("ts"))) / 60).cast("long").alias("mi")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("click_date", "ad_id").orderBy("mi")
+    recent = F.collect_list(F.struct("mi", "n")).over(w.rangeBetween(-(window_minutes - 1), 0))
+    last_end = F.least(F.col("mi") + window_minutes, F.coalesce(F.lead("mi").over(w), F.col("mi") + window_minutes))
+    framed = per_minute.select("click_date", "ad_id", "mi", recent.alias("recent"), last_end.alias("last_end"))
+    ends = framed.select(
+        "click_date", "ad_id", "recent", F.explode(F.sequence(F.col("mi") + 1, F.col("last_end"))).alias("end_mi")
+    )
+    in_window = F.filter("recent", lambda x: x["mi"] >= F.col("end_mi") - window_minutes)
+    counted = ends.select(
+        "click_date",
+        "ad_id",
+        F.timestamp_seconds(F.col("end_mi") * 60).alias("w_end"),
+        F.aggregate(in_window, F.lit(0).cast("long"), lambda acc, x: acc + x["n"]).alias("click_count"),
+    )
+    return counted, as_wall_time(F.col("w_end"))
+
+
+def ad_trend(clicks: DataFrame, window_minutes: int = 60, method: str = "minute_frame") -> DataFrame:
     """Per ``(click_date, ad_id, window_end)``: clicks in ``[window_end - window, window_end)``,
     for every minute end whose window holds a click; ``minute`` is ``window_end``'s minute of
     the hour.  The date is the click's date, so a window across midnight gives a row per date.
 
-    ``minute_chain`` (batch default) first counts clicks per minute, then spreads each minute's
-    count over the ``window_minutes`` windows that contain it and sums: the 60-fold expansion is
-    applied to per-minute counts, not to raw clicks.  ``window`` uses Spark's sliding
-    ``window(ts, '60 minutes', '1 minute')`` directly (the streaming form)."""
+    All methods give the same rows:
+
+    * ``minute_frame`` (batch default): clicks per minute, then a range frame per (date, ad)
+      (at most 1440 rows per group, so bounded under any skew) emits every window end once;
+      only minute counts cross the network, the expanded ends are produced after the last
+      shuffle.
+    * ``minute_chain``: clicks per minute, each minute's count spread over the windows that
+      contain it, summed by (date, ad, end): a second shuffle of up to 60 rows per minute.
+    * ``window``: Spark's sliding ``window(ts, '60 minutes', '1 minute')`` on raw clicks (the
+      form a streaming aggregation can use)."""
     clicks = clicks.where(all_not_null("click_date", "ad_id", "ts"))
     if method == "window":
         win = F.window("ts", f"{window_minutes} minutes", "1 minute")
         counted = clicks.groupBy("click_date", "ad_id", win.alias("w")).agg(F.count(F.lit(1)).alias("click_count"))
         end = as_wall_time(F.col("w.end"))
+    elif method == "minute_frame":
+        counted, end = _trend_by_minute_frame(clicks, int(window_minutes))
     elif method == "minute_chain":
         per_minute = clicks.groupBy("click_date", "ad_id", minute_of(F.col("ts")).alias("m")).agg(
             F.count(F.lit(1)).alias("n")
