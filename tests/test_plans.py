@@ -70,3 +70,56 @@ def test_top_categories_is_a_distributed_top_k(spark):
 def test_category_counts_scan_events_once(spark):
     text = plan(spark, "category_counts")
     assert text.count(f"InMemoryFileIndex [file:{SF}/events.parquet]") == 1
+
+
+@pytest.fixture
+def skew_conf(spark):
+    """Force shuffle joins and small partition sizes so AQE's skew handling is visible on a small
+    fixture (the defaults apply it above 256 MB)."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def _final_plan(df) -> str:
+    df.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_hot_user_and_session_are_split(spark, skew_conf):
+    from conftest import users_df, visit, visits_df
+    from visitflow.operators import category_click_events, category_counts, session_detail, top_categories
+    from visitflow.operators import visits_in_range
+
+    rows = [visit("hot", f"2019-01-14 01:{i % 60:02d}:{i // 60:02d}", user_id=0, page_id=i % 10,
+                  action="click", click=1 + i % 3) for i in range(3000)]
+    rows += [visit(f"s{i}", f"2019-01-14 02:{i % 60:02d}:00", user_id=1 + i % 500, page_id=i % 7,
+                   action=["click", "order", "pay"][i % 3], click=1 + i % 3, order=1 + i % 3, pay=1 + i % 3)
+             for i in range(6000)]
+    visits = visits_df(spark, rows, partitions=8)
+    in_range = visits_in_range(visits, users_df(spark, range(0, 501)), "2019-01-14 00:00:00", "2019-01-15 00:00:00")
+    text = _final_plan(in_range)
+    assert "SortMergeJoin(skew=true)" in text
+    assert in_range.count() == 9000
+    top = top_categories(category_counts(in_range))
+    detail = session_detail(in_range, category_click_events(in_range, top))
+    text = _final_plan(detail)
+    assert "SortMergeJoin(skew=true)" in text
+    assert detail.where("session_id = 'hot'").count() == 3000
