@@ -49,6 +49,8 @@ USER_KEYS = TABLE_KEYS["ad_user_click_count"]
 GROUP_KEYS = TABLE_KEYS["ad_province_groups"]
 TREND_KEYS = TABLE_KEYS["ad_click_trend"]
 MINUTE_KEYS = ["click_date", "ad_id", "minute"]
+# Every count table is laid out by date, then by micro-batch: readers of some dates prune the rest.
+DATE_PARTITION = ["click_date"]
 
 
 @dataclass
@@ -141,7 +143,7 @@ def _daily_batch(out_dir: str, top_n: int):
         spark = batch.sparkSession
         changed = batch.select(*DAILY_KEYS, "click_count").persist()
         try:
-            upsert(changed, daily_path, DAILY_KEYS, batch_id, partition_by=["click_date"])
+            upsert(changed, daily_path, DAILY_KEYS, batch_id, partition_by=DATE_PARTITION)
             # re-rank only the (date, province) groups this batch touched, reading only their dates
             touched = changed.select(*GROUP_KEYS).distinct()
             current = read_upserted(spark, daily_path, DAILY_KEYS, only=touched,
@@ -155,7 +157,7 @@ def _daily_batch(out_dir: str, top_n: int):
 
 def _upsert_batch(path: str, keys: list[str], columns: list[str]):
     def run(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch.select(*columns), path, keys, batch_id)
+        upsert(batch.select(*columns), path, keys, batch_id, partition_by=DATE_PARTITION)
 
     return run
 
@@ -166,7 +168,7 @@ def _user_batch(out_dir: str, threshold: int):
     def run(batch: DataFrame, batch_id: int) -> None:
         changed = batch.select(*USER_KEYS, "click_count").persist()
         try:
-            upsert(changed, counts_path, USER_KEYS, batch_id)
+            upsert(changed, counts_path, USER_KEYS, batch_id, partition_by=DATE_PARTITION)
             heavy = changed.where(F.col("click_count") >= int(threshold)).select("user_id").distinct()
             # a listed user whose count keeps growing is not written again, so the log holds
             # each user once (plus replays of the same batch, which overwrite themselves)
