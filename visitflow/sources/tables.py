@@ -13,6 +13,8 @@ from visitflow.schemas import BLACKLIST_SCHEMA, USER_SCHEMA, VISIT_SCHEMA
 _VISIT_TEXT_SCHEMA = T.StructType(
     [T.StructField(f.name, f.dataType) for f in VISIT_SCHEMA.fields]
 )
+# Only the user id is ever read from the user table.
+USER_REQUIRED = ("user_id",)
 _TEXT_OPTIONS = {
     "header": "false",
     "mode": "PERMISSIVE",
@@ -21,9 +23,18 @@ _TEXT_OPTIONS = {
 }
 
 
-def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the schema's columns in order with its types (extra columns are pruned)."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+def _conform(df: DataFrame, schema: T.StructType, required: tuple[str, ...] | None = None) -> DataFrame:
+    """Select the schema's columns in order with its types (extra columns are pruned).  Columns
+    outside ``required`` (default: all) may be missing and then read as null."""
+    required = tuple(f.name for f in schema.fields) if required is None else required
+    present = set(df.columns)
+    missing = [c for c in required if c not in present]
+    if missing:
+        raise ValueError(f"missing columns: {missing}")
+    return df.select([
+        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ])
 
 
 def load_visits(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
@@ -39,11 +50,11 @@ def load_visits(spark: SparkSession, source: str, fmt: str = "parquet") -> DataF
 
 def load_users(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
     if fmt == "parquet":
-        return _conform(spark.read.parquet(source), USER_SCHEMA)
+        return _conform(spark.read.parquet(source), USER_SCHEMA, USER_REQUIRED)
     if fmt == "csv":
         return spark.read.options(**_TEXT_OPTIONS).schema(USER_SCHEMA).csv(source)
     if fmt == "table":
-        return _conform(spark.table(source), USER_SCHEMA)
+        return _conform(spark.table(source), USER_SCHEMA, USER_REQUIRED)
     raise ValueError(f"unknown format {fmt!r}")
 
 
