@@ -125,3 +125,20 @@ def test_blacklist_loader_replaces_the_table_read(spark, scratch_dir):
     counts = {r.user_id: r.click_count for r in read_ad_tables(spark, out_dir)["ad_user_click_count"].collect()}
     assert counts == {1: 1}
     assert calls
+
+
+def test_chained_trend_writes_closed_windows_once(spark, scratch_dir):
+    from pyspark.sql import functions as F
+
+    from visitflow.operators import ad_trend
+
+    clicks = load_driver_clicks(spark, "/root/testdata/sf0.001")
+    lines_dir, out_dir, ckpt = (f"{scratch_dir}/{x}" for x in ("lines", "out", "ckpt"))
+    _write_lines(spark, clicks, lines_dir, 3)
+    _run(spark, lines_dir, out_dir, ckpt, threshold=10**9, watermark_delay="10 minutes", trend_method="chain")
+    got = read_ad_tables(spark, out_dir)["ad_click_trend"]
+    latest = clicks.agg(F.max("ts")).collect()[0][0]
+    closed = ad_trend(clicks).where(
+        F.col("window_end") <= F.lit(latest).cast("timestamp_ntz") - F.expr("INTERVAL 10 MINUTES"))
+    assert _rows(got) == _rows(closed)
+    assert spark.read.parquet(f"{out_dir}/ad_click_trend").count() == got.count()   # one write per window

@@ -108,12 +108,22 @@ def ad_trend(clicks: DataFrame, window_minutes: int = 60, method: str = "minute_
     * ``minute_chain``: clicks per minute, each minute's count spread over the windows that
       contain it, summed by (date, ad, end): a second shuffle of up to 60 rows per minute.
     * ``window``: Spark's sliding ``window(ts, '60 minutes', '1 minute')`` on raw clicks (the
-      form a streaming aggregation can use)."""
+      form a streaming aggregation can use in ``update`` mode).
+    * ``window_chain``: one-minute windows, then the sliding window over their ``window_time``:
+      two chained event-time aggregations, which a stream runs in ``append`` mode with a
+      watermark (each window is written once, when the watermark closes it)."""
     clicks = clicks.where(all_not_null("click_date", "ad_id", "ts"))
     if method == "window":
         win = F.window("ts", f"{window_minutes} minutes", "1 minute")
         counted = clicks.groupBy("click_date", "ad_id", win.alias("w")).agg(F.count(F.lit(1)).alias("click_count"))
         end = as_wall_time(F.col("w.end"))
+    elif method == "window_chain":
+        per_minute = clicks.groupBy(F.window("ts", "1 minute").alias("mw"), "click_date", "ad_id").agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        win = F.window(F.window_time("mw"), f"{window_minutes} minutes", "1 minute")
+        counted = per_minute.groupBy(win.alias("w"), "click_date", "ad_id").agg(F.sum("n").alias("click_count"))
+        end = as_wall_time(F.col("w.end"))
     elif method == "minute_frame":
         counted, end = _trend_by_minute_frame(clicks, int(window_minutes))
     elif method == "minute_chain":

@@ -211,6 +211,7 @@ def start_ad_stream(
     max_files_per_trigger: int | None = None,
     blacklist_loader=None,
     state_store: str = "rocksdb",
+    trend_method: str = "window",
 ) -> AdStream:
     """Start the ad stream on ``lines`` (a streaming frame with a ``value`` column, e.g. from
     ``read_click_stream`` or ``read_click_files``).
@@ -223,7 +224,12 @@ def start_ad_stream(
     (for instance ``load_blacklist(spark, "ad_blacklist", fmt="jdbc", jdbc_options=...)``); by
     default the stream's own ``ad_blacklist`` table is read.  ``state_store="rocksdb"`` keeps the
     running counts in RocksDB on local disk instead of the JVM heap (set on first start only; a
-    query keeps the provider recorded in its checkpoint)."""
+    query keeps the provider recorded in its checkpoint).
+
+    ``trend_method="window"`` keeps every sliding window in the state store and rewrites its
+    running count each batch (``update`` mode).  ``"chain"`` counts one-minute windows first and
+    slides over those (``append`` mode, needs ``watermark_delay``): 60 times less state per
+    click, and each window is written once, when the watermark closes it."""
     trigger = trigger or {"processingTime": "5 seconds"}
     if wait_for_clean is None:
         wait_for_clean = bool(trigger.get("availableNow") or trigger.get("once"))
@@ -256,8 +262,13 @@ def start_ad_stream(
           _upsert_batch(handle.table("ad_stat"), REGION_KEYS, [*REGION_KEYS, "click_count"]))
     start("user", _counted(clicks, USER_KEYS, watermark_delay), _user_batch(out_dir, threshold))
     trend_input = clicks.withWatermark("ts", watermark_delay) if watermark_delay else clicks
-    start("trend", ad_trend(trend_input, window_minutes, method="window"),
-          _upsert_batch(handle.table("ad_click_trend"), TREND_KEYS, [*TREND_KEYS, "minute", "click_count"]))
+    trend_sink = _upsert_batch(handle.table("ad_click_trend"), TREND_KEYS, [*TREND_KEYS, "minute", "click_count"])
+    if trend_method == "chain":
+        if not watermark_delay:
+            raise ValueError("trend_method='chain' needs watermark_delay")
+        start("trend", ad_trend(trend_input, window_minutes, method="window_chain"), trend_sink, mode="append")
+    else:
+        start("trend", ad_trend(trend_input, window_minutes, method="window"), trend_sink)
     minute_input = clicks.withWatermark("ts", watermark_delay) if watermark_delay else clicks
     start("minute", ad_minute_counts(minute_input),
           _upsert_batch(handle.table("ad_minute_count"), MINUTE_KEYS, [*MINUTE_KEYS, "click_count"]))
