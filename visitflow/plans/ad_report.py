@@ -29,7 +29,9 @@ def ad_report(
     """All ad tables from typed clicks.  Clicks of users in ``blacklist`` are removed first;
     ``ad_blacklist`` is the given blacklist grown by this data's heavy clickers."""
     clean = filter_blacklisted(clicks, blacklist) if blacklist is not None else clicks
-    clean = clean.persist(StorageLevel.MEMORY_AND_DISK)
+    if out_dir is not None:
+        # shared by the seven writes; lost blocks are recomputed from the scan
+        clean = clean.persist(StorageLevel.MEMORY_AND_DISK)
     daily = daily_ad_counts(clean)
     users = user_ad_counts(clean)
     grown = blacklist_candidates(users, threshold)
@@ -45,10 +47,23 @@ def ad_report(
         "ad_blacklist": grown,
     }
     if out_dir is None:
-        return outputs
+        return outputs  # lazy frames; caching them is the caller's choice
+
+    def write(name: str, frame: DataFrame) -> DataFrame:
+        frame.write.mode("overwrite").parquet(f"{out_dir}/{name}")
+        return spark.read.parquet(f"{out_dir}/{name}")
+
     try:
-        for name, frame in outputs.items():
-            frame.write.mode("overwrite").parquet(f"{out_dir}/{name}")
+        # the ranking and the blacklist read the written count tables instead of aggregating again
+        written_daily = write("ad_daily_count", daily)
+        write("ad_province_top3", province_top_ads(written_daily, top_n))
+        written_users = write("ad_user_click_count", users)
+        grown = blacklist_candidates(written_users, threshold)
+        if blacklist is not None:
+            grown = grown.unionByName(blacklist.select("user_id")).distinct()
+        write("ad_blacklist", grown)
+        for name in ("ad_stat", "ad_click_trend", "ad_minute_count"):
+            write(name, outputs[name])
     finally:
         clean.unpersist()
     return {name: spark.read.parquet(f"{out_dir}/{name}") for name in TABLES}

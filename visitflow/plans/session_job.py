@@ -50,9 +50,12 @@ def session_job(
 ) -> dict[str, DataFrame]:
     """Run the session analysis for ``[start, end)``.  With ``out_dir`` every table is written
     there (partitioned by ``task_id``; a rerun of a task replaces its rows) and the returned
-    frames read the written tables; without it the frames are returned unwritten."""
+    frames read the written tables; without it the frames are returned unwritten (the summary
+    and the top categories are still checkpointed; the range filter is left uncached)."""
     checkpoint_root(spark)
-    in_range = visits_in_range(visits, users, start, end).persist(StorageLevel.MEMORY_AND_DISK)
+    in_range = visits_in_range(visits, users, start, end)
+    if out_dir is not None:
+        in_range = in_range.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         summary = session_summary(in_range).checkpoint(eager=True)
         top = top_categories(category_counts(in_range, pay_requires_action), top_n, task_id).checkpoint(eager=True)
