@@ -122,3 +122,11 @@ def test_kafka_source_names_the_missing_connector(spark):
     else:  # connector present: the frame has the two string columns
         assert stream.columns == ["key", "value"]
         pytest.skip("Kafka connector is installed")
+
+
+def test_empty_clicks_give_empty_tables(spark):
+    empty = clicks_df(spark, [])
+    for frame in (daily_ad_counts(empty), region_ad_counts(empty), user_ad_counts(empty), ad_minute_counts(empty),
+                  province_top_ads(daily_ad_counts(empty)), ad_trend(empty),
+                  blacklist_candidates(user_ad_counts(empty)), filter_blacklisted(empty, empty.select("user_id"))):
+        assert frame.count() == 0

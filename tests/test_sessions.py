@@ -143,3 +143,7 @@ def test_summary_of_visits_from_events_adapter(spark):
     assert (rows[0].pay_category_id, rows[0].pay_product_id, rows[0].page_id) == (7, 2, 7)
     assert (rows[1].search_keyword, rows[1].page_id) == ("view", 8)
     assert rows[2].order_category_id is None and rows[2].session_id == "3-2024-01-05"
+
+
+def test_sample_of_no_sessions_is_empty(spark):
+    assert sample_sessions(_sessions_over_hours(spark, []), n=30, seed=1).count() == 0
