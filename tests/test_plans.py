@@ -123,3 +123,18 @@ def test_hot_user_and_session_are_split(spark, skew_conf):
     text = _final_plan(detail)
     assert "SortMergeJoin(skew=true)" in text
     assert detail.where("session_id = 'hot'").count() == 3000
+
+
+def test_hot_user_is_split_before_a_per_user_count(spark, skew_conf):
+    from visitflow.operators import user_ad_counts
+    from visitflow.sources import with_click_time
+
+    rows = [("P", "C", 0 if i % 3 == 0 else i % 400, i % 20, 1704067200000 + i * 1000) for i in range(30000)]
+    clicks = spark.createDataFrame(rows, "province string, city string, user_id long, ad_id long, ts_ms long")
+    customers = spark.createDataFrame([(i,) for i in range(400)], "c_custkey long")
+    joined = clicks.repartition(8).join(customers.repartition(8), clicks.user_id == customers.c_custkey)
+    counts = user_ad_counts(with_click_time(joined.drop("c_custkey")))
+    text = _final_plan(counts)
+    assert "SortMergeJoin(skew=true)" in text
+    expected = sum(1 for r in rows if r[2] == 0)
+    assert counts.where("user_id = 0").agg({"click_count": "sum"}).collect()[0][0] == expected

@@ -22,6 +22,10 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even when the join's partitioning would otherwise be reused
+    # by the aggregation above it (e.g. clicks joined on user_id, then counted per user): the
+    # extra shuffle costs less than one task holding a user with a third of the rows.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # AQE merges small shuffle outputs up to this size; the default (1 MB) turns a stage of a few
     # hundred KB that expands its rows (the 60-window trend) into a single task.  Large stages
     # are sized by spark.sql.shuffle.partitions and the advisory size as before.
