@@ -109,3 +109,14 @@ def test_read_before_batch(spark, scratch_dir):
     upsert(spark.createDataFrame([(2,)], "user_id long"), path, ["user_id"], 1)
     assert sorted(r.user_id for r in read_upserted(spark, path, ["user_id"], before_batch=1).collect()) == [1]
     assert sorted(r.user_id for r in read_upserted(spark, path, ["user_id"]).collect()) == [1, 2]
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001"), reason="driver test data not present")
+def test_session_job_custom_writer(spark):
+    visits, users = load_driver_inputs(spark, "/root/testdata/sf0.001", entry.RANGE_START, entry.RANGE_END)
+    written = {}
+    session_job(spark, visits, users, entry.RANGE_START, entry.RANGE_END,
+                write_table=lambda name, frame: written.__setitem__(name, frame.count()))
+    assert set(written) == {"session_step", "session_random_extract", "top10_category", "top10_category_session",
+                            "top10_category_session_ranked", "session_detail"}
+    assert written["session_step"] >= 9

@@ -13,6 +13,8 @@ Plan shape:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,14 +49,20 @@ def session_job(
     top_n: int = 10,
     sessions_per_category: int = 10,
     pay_requires_action: bool = False,
+    write_table: Callable[[str, DataFrame], None] | None = None,
 ) -> dict[str, DataFrame]:
     """Run the session analysis for ``[start, end)``.  With ``out_dir`` every table is written
     there (partitioned by ``task_id``; a rerun of a task replaces its rows) and the returned
     frames read the written tables; without it the frames are returned unwritten (the summary
-    and the top categories are still checkpointed; the range filter is left uncached)."""
+    and the top categories are still checkpointed; the range filter is left uncached).
+
+    ``write_table(name, frame)`` replaces the parquet writer, e.g. to append to the database
+    tables of the same names: ``lambda n, f: append_jdbc(f, url, n, props)``; the frames are then
+    returned unwritten-to-parquet, as computed."""
     checkpoint_root(spark)
+    writing = out_dir is not None or write_table is not None
     in_range = visits_in_range(visits, users, start, end)
-    if out_dir is not None:
+    if writing:
         in_range = in_range.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         summary = session_summary(in_range).checkpoint(eager=True)
@@ -69,11 +77,16 @@ def session_job(
                 in_range, top, sessions_per_category, top_n, task_id),
             "session_detail": session_detail(in_range, events, task_id),
         }
-        if out_dir is None:
+        if not writing:
             return outputs
         for name, frame in outputs.items():
-            append(frame, f"{out_dir}/{name}")
+            if write_table is not None:
+                write_table(name, frame)
+            else:
+                append(frame, f"{out_dir}/{name}")
     finally:
-        if out_dir is not None:
+        if writing:
             in_range.unpersist()
+    if write_table is not None:
+        return outputs
     return {name: spark.read.parquet(f"{out_dir}/{name}").where(F.col("task_id") == task_id) for name in TABLES}
