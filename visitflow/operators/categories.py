@@ -90,8 +90,10 @@ def top_sessions_per_category(
 
 def session_detail(visits: DataFrame, selected: DataFrame, task_id: int = 1) -> DataFrame:
     """All visits of the sessions in ``selected`` (a frame with ``session_id``), as the 12
-    detail columns.  A semi join: a session listed many times still yields its rows once."""
-    sessions = selected.select("session_id").where(F.col("session_id").isNotNull())
+    detail columns.  A semi join: a session listed many times still yields its rows once.
+    ``selected`` repeats a session once per click; the ids are de-duplicated first (partially,
+    before their shuffle), and that shuffle already partitions them by session for the join."""
+    sessions = selected.select("session_id").where(F.col("session_id").isNotNull()).distinct()
     rows = visits.join(sessions, "session_id", "left_semi")
     return rows.select(
         F.lit(task_id).alias("task_id"),
