@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from visitflow.config import bounded_broadcast
 from visitflow.functions.timecols import as_wall_time, timestamp_literal, ts_to_epoch_ms
+from visitflow.schemas import DRIVER_SCHEMAS
 from visitflow.sources.clicks import click_line, with_click_time
 
 # Event type -> visit action (anything else is a search).
@@ -28,7 +29,10 @@ REGION_ROWS = 5
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table, read with its declared schema when known (no footer inference)."""
+    schema = DRIVER_SCHEMAS.get(name)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _prop_k() -> F.Column:
