@@ -21,8 +21,9 @@ def _count_by(clicks: DataFrame, *keys: str) -> DataFrame:
 def filter_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
     """Clicks whose user is not on the blacklist (left anti join on ``user_id``; duplicate
     blacklist rows change nothing, an empty blacklist lets everything through)."""
-    users = blacklist.select("user_id").where(F.col("user_id").isNotNull())
-    return clicks.join(users, "user_id", "left_anti").select(*clicks.columns)
+    users = blacklist.select(F.col("user_id").alias("_listed_user")).where(F.col("_listed_user").isNotNull())
+    # an expression join (not a using-column join) keeps the click columns in their order
+    return clicks.join(users, F.col("user_id") == F.col("_listed_user"), "left_anti")
 
 
 def daily_ad_counts(clicks: DataFrame) -> DataFrame:

@@ -29,8 +29,9 @@ def visits_in_range(
         (F.col("action_time") >= timestamp_literal(start, ts_type))
         & (F.col("action_time") < timestamp_literal(end, ts_type))
     )
-    known = users.select("user_id").where(F.col("user_id").isNotNull())
-    return in_range.join(known, "user_id", "left_semi").select(*visits.columns)
+    known = users.select(F.col("user_id").alias("_known_user")).where(F.col("_known_user").isNotNull())
+    # an expression join (not a using-column join) keeps the left columns in their order
+    return in_range.join(known, F.col("user_id") == F.col("_known_user"), "left_semi")
 
 
 def session_summary(visits: DataFrame) -> DataFrame:

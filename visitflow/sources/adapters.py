@@ -10,6 +10,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,11 +56,15 @@ def visits_from_events(
     """Visits derived from events.  With whole-second ``start``/``end`` the range is also applied
     to the raw ``ts`` so the parquet scan prunes row groups (``action_time`` is ``ts`` truncated
     to the second, so ``[start, end)`` selects the same rows on either column)."""
-    ts_type = events.schema["ts"].dataType
-    if _whole_second(start):
-        events = events.where(F.col("ts") >= timestamp_literal(start, ts_type))
-    if _whole_second(end):
-        events = events.where(F.col("ts") < timestamp_literal(end, ts_type))
+    bounds = []
+    if _whole_second(start) or _whole_second(end):
+        ts_type = events.schema["ts"].dataType
+        if _whole_second(start):
+            bounds.append(F.col("ts") >= timestamp_literal(start, ts_type))
+        if _whole_second(end):
+            bounds.append(F.col("ts") < timestamp_literal(end, ts_type))
+    if bounds:
+        events = events.where(functools.reduce(lambda a, b: a & b, bounds))
     et = F.col("event_type")
     k = _prop_k()
     action = F.when(et == "click", "click").when(et == "purchase", "pay").when(et == "signup", "order")

@@ -14,7 +14,7 @@ TYPED_COLUMNS = ["province", "city", "user_id", "ad_id", "ts_ms", "ts", "click_d
 def with_click_time(df: DataFrame) -> DataFrame:
     """Add ``ts`` (instant) and ``click_date`` (its UTC date) from ``ts_ms``."""
     ts = epoch_ms_to_ts(F.col("ts_ms"))
-    return df.withColumn("ts", ts).withColumn("click_date", F.to_date(ts))
+    return df.withColumns({"ts": ts, "click_date": F.to_date(ts)})
 
 
 def click_line(province: Column, city: Column, user_id: Column, ad_id: Column, ts_ms: Column) -> Column:
