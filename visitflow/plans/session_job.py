@@ -14,6 +14,7 @@ Plan shape:
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,7 @@ def session_job(
     sessions_per_category: int = 10,
     pay_requires_action: bool = False,
     write_table: Callable[[str, DataFrame], None] | None = None,
+    parallel_writes: int = 3,
 ) -> dict[str, DataFrame]:
     """Run the session analysis for ``[start, end)``.  With ``out_dir`` every table is written
     there (partitioned by ``task_id``; a rerun of a task replaces its rows) and the returned
@@ -58,7 +60,9 @@ def session_job(
 
     ``write_table(name, frame)`` replaces the parquet writer, e.g. to append to the database
     tables of the same names: ``lambda n, f: append_jdbc(f, url, n, props)``; the frames are then
-    returned unwritten-to-parquet, as computed."""
+    returned unwritten-to-parquet, as computed.  The six tables are independent once the summary
+    and the top categories are checkpointed, so up to ``parallel_writes`` of them are submitted
+    at once (Spark runs jobs from several threads; small writes then overlap the large ones)."""
     checkpoint_root(spark)
     writing = out_dir is not None or write_table is not None
     in_range = visits_in_range(visits, users, start, end)
@@ -79,11 +83,15 @@ def session_job(
         }
         if not writing:
             return outputs
-        for name, frame in outputs.items():
+        def write(name: str) -> None:
             if write_table is not None:
-                write_table(name, frame)
+                write_table(name, outputs[name])
             else:
-                append(frame, f"{out_dir}/{name}")
+                append(outputs[name], f"{out_dir}/{name}")
+
+        with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
+            for done in [pool.submit(write, name) for name in outputs]:
+                done.result()  # re-raises the first failure
     finally:
         if writing:
             in_range.unpersist()
