@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,7 @@ def ad_report(
     threshold: int = 100,
     top_n: int = 3,
     window_minutes: int = 60,
+    parallel_writes: int = 3,
 ) -> dict[str, DataFrame]:
     """All ad tables from typed clicks.  Clicks of users in ``blacklist`` are removed first;
     ``ad_blacklist`` is the given blacklist grown by this data's heavy clickers."""
@@ -53,17 +56,20 @@ def ad_report(
         frame.write.mode("overwrite").parquet(f"{out_dir}/{name}")
         return spark.read.parquet(f"{out_dir}/{name}")
 
+    def wave(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write independent tables concurrently (Spark runs jobs from several threads)."""
+        with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
+            futures = {name: pool.submit(write, name, frame) for name, frame in frames.items()}
+            return {name: f.result() for name, f in futures.items()}
+
     try:
+        first = wave({name: outputs[name] for name in
+                      ("ad_daily_count", "ad_user_click_count", "ad_stat", "ad_click_trend", "ad_minute_count")})
         # the ranking and the blacklist read the written count tables instead of aggregating again
-        written_daily = write("ad_daily_count", daily)
-        write("ad_province_top3", province_top_ads(written_daily, top_n))
-        written_users = write("ad_user_click_count", users)
-        grown = blacklist_candidates(written_users, threshold)
+        grown = blacklist_candidates(first["ad_user_click_count"], threshold)
         if blacklist is not None:
             grown = grown.unionByName(blacklist.select("user_id")).distinct()
-        write("ad_blacklist", grown)
-        for name in ("ad_stat", "ad_click_trend", "ad_minute_count"):
-            write(name, outputs[name])
+        wave({"ad_province_top3": province_top_ads(first["ad_daily_count"], top_n), "ad_blacklist": grown})
     finally:
         clean.unpersist()
     return {name: spark.read.parquet(f"{out_dir}/{name}") for name in TABLES}
