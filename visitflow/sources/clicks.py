@@ -27,7 +27,9 @@ def parse_click_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Split each line into typed fields and name the first problem in ``parse_error``
     (null for a good line).  Works on batch and streaming frames; all built-in expressions."""
     value = F.col(value_col)
-    parts = F.split(value, ",", -1)
+    # like the wire format's original reader, trailing empty fields do not count ("a,b,1,2,3,"
+    # is a 5-field click); an empty field inside the line still does
+    parts = F.split(F.regexp_replace(value, ",+$", ""), ",", -1)
     user_id = F.get(parts, 2).try_cast("long")
     ad_id = F.get(parts, 3).try_cast("long")
     ts_ms = F.get(parts, 4).try_cast("long")
