@@ -83,11 +83,14 @@ def read_upserted(
     """Current rows of an upsert table: per key, the row of the highest batch.
 
     ``max_by`` is combined map-side before the shuffle on the key, so a key rewritten in many
-    batches costs one row per task, not one per batch.  ``only`` (a frame of some key columns)
-    restricts the read to the keys it matches; the semi join comes before the aggregation, so
-    ``where`` is a predicate on key columns applied to the log first (a predicate on a partition
-    column prunes folders).  ``before_batch=N`` gives the table as it was before batch ``N``
-    (what a replay of batch ``N`` must compare against)."""
+    batches costs one row per task, not one per batch.
+
+    * ``only`` (a frame of some key columns) restricts the read to the keys it matches, with a
+      semi join before the aggregation;
+    * ``where`` is a predicate on key columns applied to the log first (on a partition column it
+      prunes folders);
+    * ``before_batch=N`` gives the table as it was before batch ``N`` (what a replay of batch
+      ``N`` must compare against)."""
     log = _read_log(spark, path)
     if log is None:
         return None
@@ -117,11 +120,20 @@ def read_groups(spark: SparkSession, path: str, group_keys: Sequence[str]) -> Da
     return log.join(last, on, "left_semi").drop(BATCH_COL)
 
 
-def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], groups: bool = False) -> None:
-    """Write the current view of the table at ``path`` to ``target`` as a single batch 0."""
+def compact(
+    spark: SparkSession,
+    path: str,
+    target: str,
+    keys: Sequence[str],
+    groups: bool = False,
+    partition_by: Sequence[str] = (),
+) -> None:
+    """Write the current view of the table at ``path`` to ``target`` as a single batch 0, with
+    the same ``partition_by`` layout as the log it replaces."""
     current = read_groups(spark, path, keys) if groups else read_upserted(spark, path, keys)
     if current is not None:
-        _writer(current.withColumn(BATCH_COL, F.lit(0).cast("long")), [BATCH_COL]).parquet(target)
+        logged = current.withColumn(BATCH_COL, F.lit(0).cast("long"))
+        _writer(logged, [*partition_by, BATCH_COL]).parquet(target)
 
 
 def batch_written(spark: SparkSession, path: str, batch_id: int) -> bool:
