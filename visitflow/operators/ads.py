@@ -58,12 +58,15 @@ def blacklist_candidates(user_counts: DataFrame, threshold: int = 100) -> DataFr
 
 
 def ad_minute_counts(clicks: DataFrame) -> DataFrame:
-    """Clicks per ``(click_date, ad_id, minute)``; ``minute`` is the minute's start (UTC)."""
+    """Clicks per ``(click_date, ad_id, minute)``; ``minute`` is the minute's start (UTC).
+
+    The minute is a tumbling ``window(ts, '1 minute')``, an event-time key: on a watermarked
+    stream the state of closed minutes is dropped."""
     clicks = clicks.where(all_not_null("click_date", "ad_id", "ts"))
     return (
-        clicks.groupBy("click_date", "ad_id", minute_of(F.col("ts")).alias("minute_ts"))
+        clicks.groupBy("click_date", "ad_id", F.window("ts", "1 minute").alias("mw"))
         .agg(F.count(F.lit(1)).alias("click_count"))
-        .select("click_date", "ad_id", as_wall_time(F.col("minute_ts")).alias("minute"), "click_count")
+        .select("click_date", "ad_id", as_wall_time(F.col("mw.start")).alias("minute"), "click_count")
     )
 
 
