@@ -62,7 +62,7 @@ def test_ad_trend_window_edges(spark):
     rows = [("p", "c", 1, 1, "2024-01-01 00:00:00"), ("p", "c", 1, 1, "2024-01-01 00:59:59"),
             ("p", "c", 1, 1, "2024-01-01 01:00:00")]
     clicks = clicks_df(spark, rows)
-    for method in ("minute_frame", "minute_chain", "window", "window_chain"):
+    for method in ("minute_frame", "minute_deltas", "minute_chain", "window", "window_chain"):
         got = {r.window_end: r.click_count for r in ad_trend(clicks, method=method).collect()}
         # window [end-60min, end): the 00:00:00 click counts for ends 00:01 .. 01:00
         assert got[dt.datetime(2024, 1, 1, 0, 1)] == 1
@@ -88,7 +88,8 @@ def test_both_trend_methods_agree(spark):
     b = sorted(tuple(r) for r in ad_trend(clicks, method="window").collect())
     c = sorted(tuple(r) for r in ad_trend(clicks, method="minute_chain").collect())
     d = sorted(tuple(r) for r in ad_trend(clicks, method="window_chain").collect())
-    assert a == b == c == d and len(a) > 0
+    e = sorted(tuple(r) for r in ad_trend(clicks, method="minute_deltas").collect())
+    assert a == b == c == d == e and len(a) > 0
 
 
 def test_minute_region_and_user_counts(spark):

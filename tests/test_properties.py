@@ -123,5 +123,7 @@ def test_ad_trend_matches_brute_force(spark, rows):
         minute = t.replace(second=0)
         for i in range(1, 61):                      # windows [end - 60 min, end) holding t
             expected[(t.date(), ad, minute + dt.timedelta(minutes=i))] += 1
-    got = {(r.click_date, r.ad_id, r.window_end): r.click_count for r in ad_trend(_clicks(spark, rows)).collect()}
-    assert got == dict(expected)
+    for method in ("minute_frame", "minute_deltas"):
+        got = {(r.click_date, r.ad_id, r.window_end): r.click_count
+               for r in ad_trend(_clicks(spark, rows), method=method).collect()}
+        assert got == dict(expected), method
