@@ -32,7 +32,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.ui.enabled": "false",
     # PySpark records the Python call site of every column function for error messages, at the
-    # price of several JVM round trips per call (about 100 ms of driver time per query here).
+    # price of several JVM round trips per call (tens of milliseconds of driver time per query).
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
