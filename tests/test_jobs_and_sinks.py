@@ -2,7 +2,6 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from visitflow.plans import session_job
