@@ -119,3 +119,17 @@ def test_session_job_custom_writer(spark):
     assert set(written) == {"session_step", "session_random_extract", "top10_category", "top10_category_session",
                             "top10_category_session_ranked", "session_detail"}
     assert written["session_step"] >= 9
+
+
+def test_table_and_parquet_loaders(spark, scratch_dir):
+    from conftest import visit, visits_df
+
+    visits = visits_df(spark, [visit("s1", "2019-01-14 01:00:00"), visit("s2", "2019-01-14 02:00:00")])
+    visits.withColumn("extra", visits.page_id * 2).createOrReplaceTempView("user_visit_view")
+    assert load_visits(spark, "user_visit_view", fmt="table").columns == visits.columns   # extra column pruned
+    spark.createDataFrame([(7, "x")], "user_id long, user_name string").write.parquet(f"{scratch_dir}/users")
+    users = load_users(spark, f"{scratch_dir}/users").collect()
+    assert (users[0].user_id, users[0].user_name, users[0].user_age) == (7, "x", None)
+    spark.createDataFrame([("x",)], "user_name string").write.parquet(f"{scratch_dir}/no_ids")
+    with pytest.raises(ValueError):
+        load_users(spark, f"{scratch_dir}/no_ids")
