@@ -40,3 +40,17 @@ def test_entry_runs(spark):
     rows = df.collect()
     assert df.columns == ["bucket", "session_count"]
     assert len(rows) >= 9
+
+
+SPARK_TO_DUCKDB = {
+    "LongType()": "BIGINT", "IntegerType()": "INTEGER", "StringType()": "VARCHAR", "DateType()": "DATE",
+    "TimestampNTZType()": "TIMESTAMP", "DoubleType()": "DOUBLE",
+}
+
+
+@pytest.mark.parametrize("key", sorted(entry.queries()))
+def test_column_types_match_oracle(spark, con, key):
+    spark_types = {f.name: SPARK_TO_DUCKDB.get(str(f.dataType), str(f.dataType))
+                   for f in entry.queries()[key](spark, SF).schema.fields}
+    duck_types = {row[0]: row[1] for row in con.execute("DESCRIBE " + entry.oracle_sql()[key]).fetchall()}
+    assert spark_types == duck_types
