@@ -37,3 +37,14 @@ def test_ads_command(spark, scratch_dir):
     got = spark.read.parquet(f"{scratch_dir}/out/ad_province_top3")
     assert _rows(got) == _rows(entry.queries()["province_top_ads"](spark, SF))
     assert spark.read.parquet(f"{scratch_dir}/out/rejected_lines").count() == 1
+
+
+def test_ads_stream_command_available_now(spark, scratch_dir):
+    from visitflow.streaming import read_ad_tables
+
+    clicks = load_driver_clicks(spark, SF)
+    click_lines(clicks).write.text(f"{scratch_dir}/lines")
+    cli.main(["--master", "local[2]", "ads-stream", "--lines-dir", f"{scratch_dir}/lines", "--out", f"{scratch_dir}/out",
+              "--checkpoint-dir", f"{scratch_dir}/ckpt", "--available-now", "--threshold", "1000000000"])
+    got = read_ad_tables(spark, f"{scratch_dir}/out")["ad_province_top3"]
+    assert _rows(got) == _rows(entry.queries()["province_top_ads"](spark, SF))

@@ -3,6 +3,7 @@
     python -m visitflow.cli session --visits PATH --users PATH --start TS --end TS --out DIR
     python -m visitflow.cli ads --clicks-dir DIR --out DIR [--blacklist DIR]
     python -m visitflow.cli ads-stream --out DIR (--kafka HOSTS [--topic advice] | --lines-dir DIR)
+        [--available-now] [--watermark "1 hour" [--trend chain]]
 
 Paths may be on any Hadoop file system.  On a cluster the master and ``spark.checkpoint.dir``
 come from ``spark-submit``; ``--master`` is for local runs.
@@ -64,6 +65,9 @@ def main(argv: list[str] | None = None) -> None:
     st.add_argument("--interval", default="5 seconds")
     st.add_argument("--watermark")
     st.add_argument("--no-blacklist", action="store_true")
+    st.add_argument("--available-now", action="store_true",
+                    help="process what has arrived, then stop (run the stream as a scheduled job)")
+    st.add_argument("--trend", default="window", choices=["window", "chain"])
 
     args = ap.parse_args(argv)
     spark = _session(args)
@@ -84,9 +88,10 @@ def main(argv: list[str] | None = None) -> None:
             lines = read_click_files(spark, args.lines_dir)
         else:
             raise SystemExit("ads-stream needs --kafka or --lines-dir")
-        stream = start_ad_stream(spark, lines, args.out, checkpoint_dir=args.checkpoint_dir,
-                                 trigger={"processingTime": args.interval}, threshold=args.threshold,
-                                 apply_blacklist=not args.no_blacklist, watermark_delay=args.watermark)
+        trigger = {"availableNow": True} if args.available_now else {"processingTime": args.interval}
+        stream = start_ad_stream(spark, lines, args.out, checkpoint_dir=args.checkpoint_dir, trigger=trigger,
+                                 threshold=args.threshold, apply_blacklist=not args.no_blacklist,
+                                 watermark_delay=args.watermark, trend_method=args.trend)
         stream.await_all()
 
 
