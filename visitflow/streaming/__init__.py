@@ -1,5 +1,11 @@
 """Structured Streaming jobs."""
 
-from visitflow.streaming.ad_stream import AdStream, current_blacklist, read_ad_tables, start_ad_stream
+from visitflow.streaming.ad_stream import (
+    AdStream, blacklist_table_name, current_blacklist, ensure_blacklist_table, read_ad_tables,
+    start_ad_stream,
+)
 
-__all__ = ["AdStream", "current_blacklist", "read_ad_tables", "start_ad_stream"]
+__all__ = [
+    "AdStream", "blacklist_table_name", "current_blacklist", "ensure_blacklist_table",
+    "read_ad_tables", "start_ad_stream",
+]

@@ -3,12 +3,13 @@ top ads of each province and day, the sliding one-hour trend, and a growing blac
 
 Topology (each query has its own checkpoint under ``checkpoint_dir``):
 
-``clean``   lines -> ``parse_click_lines`` -> left anti join with the blacklist -> table
-            ``clean_clicks`` (bad lines -> ``rejected_lines``).  Runs in ``foreachBatch`` so the
-            blacklist table is read afresh every micro-batch: a user detected in one batch is
-            blocked from the next one on (a parquet relation joined to a stream would keep the
-            file list it saw when the query started).  A batch already committed is skipped on
-            replay, so downstream readers never see a click twice.
+``clean``   lines -> ``parse_click_lines`` -> stream-static left anti join with the blacklist
+            -> parquet file sink ``clean_clicks``; ``rejected`` writes the bad lines to
+            ``rejected_lines``.  The blacklist is a catalog table partitioned by batch, whose
+            partitions Spark resolves again at every micro-batch: a user detected in one batch
+            is blocked from the next one on.  The file sink is exactly once (its commit log
+            skips a replayed batch) and the counting queries read that log instead of listing
+            the folder.
 ``daily``   clean clicks -> running count per (date, province, ad) in the state store ->
             upsert ``ad_daily_count``; the touched (date, province) groups are re-ranked from
             that table and replaced in ``ad_province_top3``.
@@ -27,20 +28,18 @@ kept forever, as the reference kept it.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from visitflow.config import checkpoint_root
 from visitflow.functions.predicates import all_not_null
 from visitflow.operators.ads import ad_minute_counts, ad_trend, filter_blacklisted, province_top_ads
 from visitflow.schemas import CLICK_SCHEMA, TABLE_KEYS
-from visitflow.sinks.parquet import (
-    BATCH_COL, batch_written, read_groups, read_upserted, replace_groups, upsert,
-)
+from visitflow.sinks.parquet import BATCH_COL, read_groups, read_upserted, replace_groups, upsert
 from visitflow.sources.clicks import TYPED_COLUMNS, parse_click_lines
 
 DAILY_KEYS = TABLE_KEYS["ad_daily_count"]
@@ -59,6 +58,7 @@ class AdStream:
 
     out_dir: str
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
+    blacklist_table: str | None = None
 
     def table(self, name: str) -> str:
         return f"{self.out_dir}/{name}"
@@ -73,43 +73,29 @@ class AdStream:
                 q.stop()
 
 
-def current_blacklist(spark: SparkSession, path: str) -> DataFrame:
-    current = read_upserted(spark, path, ["user_id"])
-    if current is None:
-        return spark.createDataFrame([], "user_id long")
-    return current.select("user_id")
+def blacklist_table_name(out_dir: str) -> str:
+    """Default catalog name of the stream's blacklist table (one per output folder)."""
+    return "visitflow_blacklist_" + hashlib.md5(out_dir.encode()).hexdigest()[:12]
 
 
-def _ensure_table(spark: SparkSession, path: str, schema) -> None:
-    """Create an empty table folder (through Spark, so it works on any file system) so that a
-    file stream can be started on it before the first batch arrives."""
-    empty = spark.createDataFrame([], schema).withColumn(BATCH_COL, F.lit(0).cast("long"))
-    empty.write.mode("append").partitionBy(BATCH_COL).parquet(path)
+def ensure_blacklist_table(spark: SparkSession, table: str, path: str) -> None:
+    """The blacklist as a parquet catalog table at ``path``, partitioned by batch.  A stream-static
+    join resolves a partitioned catalog table's partitions again at every micro-batch, so users
+    added by the ``user`` query are filtered from the next batch on (a plain parquet path would
+    keep the file list it had when the query started)."""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} (user_id BIGINT, {BATCH_COL} BIGINT) USING parquet "
+        f"PARTITIONED BY ({BATCH_COL}) LOCATION '{path}'"
+    )
+    try:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")  # batches written by an earlier session
+    except Exception as exc:  # noqa: BLE001 - a first run has no folder yet
+        if "does not exist" not in str(exc) and "FileNotFound" not in str(exc):
+            raise
 
 
-def _clean_batch(out_dir: str, apply_blacklist: bool, blacklist_loader=None):
-    clean_path, rejected_path = f"{out_dir}/clean_clicks", f"{out_dir}/rejected_lines"
-    blacklist_path = f"{out_dir}/ad_blacklist"
-    if blacklist_loader is None:
-        def blacklist_loader(spark):
-            return current_blacklist(spark, blacklist_path)
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if batch_written(spark, clean_path, batch_id):
-            return  # replay of a committed batch: its clicks are already downstream
-        parsed = parse_click_lines(batch).persist()
-        try:
-            bad = parsed.where(F.col("parse_error").isNotNull()).select("line", "parse_error")
-            upsert(bad, rejected_path, [], batch_id)
-            good = parsed.where(F.col("parse_error").isNull()).select(*TYPED_COLUMNS)
-            if apply_blacklist:
-                good = filter_blacklisted(good, blacklist_loader(spark))
-            upsert(good, clean_path, [], batch_id)
-        finally:
-            parsed.unpersist()
-
-    return run
+def current_blacklist(spark: SparkSession, table: str) -> DataFrame:
+    return spark.table(table).select("user_id").distinct()
 
 
 def _counted(clicks: DataFrame, keys: list[str], watermark_delay: str | None) -> DataFrame:
@@ -162,20 +148,23 @@ def _upsert_batch(path: str, keys: list[str], columns: list[str]):
     return run
 
 
-def _user_batch(out_dir: str, threshold: int):
-    counts_path, blacklist_path = f"{out_dir}/ad_user_click_count", f"{out_dir}/ad_blacklist"
+def _user_batch(out_dir: str, threshold: int, blacklist_table: str):
+    counts_path = f"{out_dir}/ad_user_click_count"
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         changed = batch.select(*USER_KEYS, "click_count").persist()
         try:
             upsert(changed, counts_path, USER_KEYS, batch_id, partition_by=DATE_PARTITION)
             heavy = changed.where(F.col("click_count") >= int(threshold)).select("user_id").distinct()
-            # a listed user whose count keeps growing is not written again, so the log holds
-            # each user once (plus replays of the same batch, which overwrite themselves)
-            known = read_upserted(changed.sparkSession, blacklist_path, ["user_id"], before_batch=batch_id)
-            if known is not None:
-                heavy = heavy.join(known, "user_id", "left_anti")
-            upsert(heavy, blacklist_path, ["user_id"], batch_id)
+            # a listed user whose count keeps growing is not written again (compared with the
+            # table before this batch).  The table is a set read with ``distinct``: a replayed
+            # batch may append its users a second time, which changes nothing.  (Spark does not
+            # let a write overwrite a table it also reads, even another partition of it.)
+            known = spark.table(blacklist_table).where(F.col(BATCH_COL) < int(batch_id)).select("user_id")
+            new = heavy.join(known, "user_id", "left_anti").select(
+                "user_id", F.lit(int(batch_id)).cast("long").alias(BATCH_COL))
+            new.write.insertInto(blacklist_table)
         finally:
             changed.unpersist()
 
@@ -212,6 +201,7 @@ def start_ad_stream(
     blacklist_loader=None,
     state_store: str = "rocksdb",
     trend_method: str = "window",
+    blacklist_table: str | None = None,
 ) -> AdStream:
     """Start the ad stream on ``lines`` (a streaming frame with a ``value`` column, e.g. from
     ``read_click_stream`` or ``read_click_files``).
@@ -220,9 +210,11 @@ def start_ad_stream(
     reference).  With ``availableNow`` the ``clean`` query is run to the end before the counting
     queries start (``wait_for_clean``), so each run of the job sees the whole input.
 
-    ``blacklist_loader(spark) -> DataFrame`` replaces the blacklist read of every micro-batch
-    (for instance ``load_blacklist(spark, "ad_blacklist", fmt="jdbc", jdbc_options=...)``); by
-    default the stream's own ``ad_blacklist`` table is read.  ``state_store="rocksdb"`` keeps the
+    The blacklist is the catalog table ``blacklist_table`` (default: a name derived from
+    ``out_dir``) stored at ``out_dir/ad_blacklist``.  ``blacklist_loader(spark) -> DataFrame``
+    replaces it as the static side of the join; it must be a relation Spark resolves again per
+    micro-batch, such as a JDBC table (``load_blacklist(spark, "ad_blacklist", fmt="jdbc", ...)``)
+    or another partitioned catalog table.  ``state_store="rocksdb"`` keeps the
     running counts in RocksDB on local disk instead of the JVM heap (set on first start only; a
     query keeps the provider recorded in its checkpoint).
 
@@ -246,21 +238,41 @@ def start_ad_stream(
             .start()
         )
 
-    clean_path = handle.table("clean_clicks")
-    _ensure_table(spark, clean_path, CLICK_SCHEMA)
-    start("clean", lines, _clean_batch(out_dir, apply_blacklist, blacklist_loader), mode="append")
+    clean_path, rejected_path = handle.table("clean_clicks"), handle.table("rejected_lines")
+    table = blacklist_table or blacklist_table_name(out_dir)
+    ensure_blacklist_table(spark, table, handle.table("ad_blacklist"))
+    handle.blacklist_table = table
+
+    def sink(name: str, frame: DataFrame, path: str) -> None:
+        # Spark's file sink: exactly once through its commit log, which readers use instead of
+        # listing the folder
+        handle.queries[name] = (
+            frame.writeStream.format("parquet").outputMode("append")
+            .option("path", path)
+            .option("checkpointLocation", f"{ckpt}/{name}")
+            .trigger(**trigger)
+            .start()
+        )
+
+    parsed = parse_click_lines(lines)
+    good = parsed.where(F.col("parse_error").isNull()).select(*TYPED_COLUMNS)
+    if apply_blacklist:
+        static = blacklist_loader(spark) if blacklist_loader is not None else spark.table(table)
+        good = filter_blacklisted(good, static)
+    sink("clean", good, clean_path)
+    sink("rejected", parsed.where(F.col("parse_error").isNotNull()).select("line", "parse_error"), rejected_path)
     if wait_for_clean:
         handle.queries["clean"].awaitTermination()
+        handle.queries["rejected"].awaitTermination()
 
-    logged = T.StructType([*CLICK_SCHEMA.fields, T.StructField(BATCH_COL, T.LongType())])
-    reader = spark.readStream.schema(logged)
+    reader = spark.readStream.schema(CLICK_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    clicks = reader.parquet(clean_path).drop(BATCH_COL)
+    clicks = reader.parquet(clean_path)
     start("daily", _counted(clicks, DAILY_KEYS, watermark_delay), _daily_batch(out_dir, top_n))
     start("region", _counted(clicks, REGION_KEYS, watermark_delay),
           _upsert_batch(handle.table("ad_stat"), REGION_KEYS, [*REGION_KEYS, "click_count"]))
-    start("user", _counted(clicks, USER_KEYS, watermark_delay), _user_batch(out_dir, threshold))
+    start("user", _counted(clicks, USER_KEYS, watermark_delay), _user_batch(out_dir, threshold, table))
     trend_input = clicks.withWatermark("ts", watermark_delay) if watermark_delay else clicks
     trend_sink = _upsert_batch(handle.table("ad_click_trend"), TREND_KEYS, [*TREND_KEYS, "minute", "click_count"])
     if trend_method == "chain":
@@ -275,7 +287,7 @@ def start_ad_stream(
     return handle
 
 
-def read_ad_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame | None]:
+def read_ad_tables(spark: SparkSession, out_dir: str, blacklist_table: str | None = None) -> dict[str, DataFrame | None]:
     """Current contents of the stream's result tables."""
     return {
         "ad_daily_count": read_upserted(spark, f"{out_dir}/ad_daily_count", DAILY_KEYS),
@@ -284,5 +296,5 @@ def read_ad_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame | N
         "ad_user_click_count": read_upserted(spark, f"{out_dir}/ad_user_click_count", USER_KEYS),
         "ad_click_trend": read_upserted(spark, f"{out_dir}/ad_click_trend", TREND_KEYS),
         "ad_minute_count": read_upserted(spark, f"{out_dir}/ad_minute_count", MINUTE_KEYS),
-        "ad_blacklist": current_blacklist(spark, f"{out_dir}/ad_blacklist"),
+        "ad_blacklist": current_blacklist(spark, blacklist_table or blacklist_table_name(out_dir)),
     }
