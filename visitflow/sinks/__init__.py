@@ -4,11 +4,11 @@ from visitflow.sinks.jdbc import (
     append_jdbc, merge_sql, mysql_upsert_sql, replace_groups_jdbc, replace_groups_sql, upsert_jdbc,
 )
 from visitflow.sinks.parquet import (
-    BATCH_COL, append, batch_written, compact, read_groups, read_upserted, replace_groups, upsert,
+    BATCH_COL, append, compact, read_groups, read_upserted, replace_groups, upsert,
 )
 
 __all__ = [
-    "BATCH_COL", "append", "append_jdbc", "batch_written", "compact", "merge_sql",
+    "BATCH_COL", "append", "append_jdbc", "compact", "merge_sql",
     "mysql_upsert_sql", "read_groups", "read_upserted", "replace_groups", "replace_groups_jdbc",
     "replace_groups_sql", "upsert", "upsert_jdbc",
 ]

@@ -134,16 +134,3 @@ def compact(
     if current is not None:
         logged = current.withColumn(BATCH_COL, F.lit(0).cast("long"))
         _writer(logged, [*partition_by, BATCH_COL]).parquet(target)
-
-
-def batch_written(spark: SparkSession, path: str, batch_id: int) -> bool:
-    """True once batch ``batch_id`` of a log table is committed.  Dynamic partition overwrite
-    moves a partition folder into the table only when the write job commits, so the folder's
-    presence marks a finished batch."""
-    try:
-        spark.read.parquet(f"{path}/{BATCH_COL}={int(batch_id)}").schema
-        return True
-    except Exception as exc:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return False
-        raise
