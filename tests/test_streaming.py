@@ -74,6 +74,10 @@ def test_blacklist_feedback_blocks_later_clicks(spark, scratch_dir):
     assert [r.user_id for r in tables["ad_blacklist"].collect()] == [1]
     assert spark.read.parquet(f"{out_dir}/rejected_lines").count() == 1
 
+    # a new session knows the folder but not the catalog entry: the table is re-registered and its
+    # earlier batches recovered (dropping the external table keeps its files)
+    from visitflow.streaming import blacklist_table_name
+    spark.sql(f"DROP TABLE {blacklist_table_name(out_dir)}")
     with open(f"{lines_dir}/part-2.txt", "w") as fh:
         fh.write("P,C,1,5,1704067300000\nP,C,2,5,1704067301000\n")
     _run(spark, lines_dir, out_dir, ckpt, threshold=3)
