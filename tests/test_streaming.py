@@ -176,3 +176,12 @@ def test_continuous_trigger_reaches_the_batch_result(spark, scratch_dir):
     finally:
         stream.stop()
     assert not any(q.isActive for q in stream.queries.values())
+
+
+def test_blacklist_table_name_cannot_point_elsewhere(spark, scratch_dir):
+    from visitflow.streaming import ensure_blacklist_table
+
+    ensure_blacklist_table(spark, "bl_location_check", f"{scratch_dir}/a")
+    ensure_blacklist_table(spark, "bl_location_check", f"{scratch_dir}/a/")   # same place: fine
+    with pytest.raises(ValueError):
+        ensure_blacklist_table(spark, "bl_location_check", f"{scratch_dir}/b")

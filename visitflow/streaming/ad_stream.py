@@ -29,6 +29,7 @@ kept forever, as the reference kept it.
 from __future__ import annotations
 
 import hashlib
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,6 +88,9 @@ def ensure_blacklist_table(spark: SparkSession, table: str, path: str) -> None:
         f"CREATE TABLE IF NOT EXISTS {table} (user_id BIGINT, {BATCH_COL} BIGINT) USING parquet "
         f"PARTITIONED BY ({BATCH_COL}) LOCATION '{path}'"
     )
+    location = _table_location(spark, table)
+    if location is not None and _norm_path(location) != _norm_path(path):
+        raise ValueError(f"table {table} already exists at {location}, not at {path}")
     try:
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")  # batches written by an earlier session
     except Exception as exc:  # noqa: BLE001 - a first run has no folder yet
@@ -94,6 +98,24 @@ def ensure_blacklist_table(spark: SparkSession, table: str, path: str) -> None:
             raise
 
 
+def _table_location(spark: SparkSession, table: str) -> str | None:
+    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+        if row[0] == "Location":
+            return row[1]
+    return None
+
+
+def _norm_path(path: str) -> str:
+    """Compare locations without the local-file scheme and repeated or trailing slashes."""
+    if path.startswith("file:"):
+        path = path[len("file:"):]
+    scheme, sep, rest = path.partition("://")
+    if not sep:
+        scheme, rest = "", path
+    rest = re.sub("/+", "/", rest).rstrip("/")
+    return f"{scheme}://{rest}" if sep else rest
+
+
 def current_blacklist(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table).select("user_id").distinct()
 
