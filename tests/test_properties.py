@@ -127,3 +127,39 @@ def test_ad_trend_matches_brute_force(spark, rows):
         got = {(r.click_date, r.ad_id, r.window_end): r.click_count
                for r in ad_trend(_clicks(spark, rows), method=method).collect()}
         assert got == dict(expected), method
+
+
+@SETTINGS
+@given(rows=visit_rows, n_sessions=st.integers(1, 3), n=st.integers(1, 4))
+def test_category_sessions_match_brute_force(spark, rows, n_sessions, n):
+    from visitflow.operators import category_click_events, session_detail, top_categories, top_sessions_per_category
+
+    c = collections.defaultdict(lambda: [0, 0, 0])
+    for _, _, _, action, cat in rows:
+        if action == "click":
+            c[cat][0] += 1
+        elif action == "order":
+            c[cat][1] += 1
+        elif action == "pay" and cat != 0:
+            c[cat][2] += 1
+    ranked = sorted(((-v[0], -v[1], -v[2], k) for k, v in c.items() if all(v)))[:n]
+    top = {k: -clicks for clicks, _, _, k in ranked}
+    clicks = [(sid, cat) for sid, _, _, action, cat in rows if action == "click" and cat != 0 and cat in top]
+
+    visits = _visits(spark, rows)
+    top_df = top_categories(category_counts(visits), n=n)
+    events = sorted((r.category_id, r.session_id, r.click_count) for r in category_click_events(visits, top_df, n=n).collect())
+    assert events == sorted((cat, sid, top[cat]) for sid, cat in clicks)
+
+    per = collections.Counter(clicks)
+    expected_top = []
+    for cat in top:
+        sessions = sorted(((-cnt, sid) for (sid, cc), cnt in per.items() if cc == cat))[:n_sessions]
+        expected_top += [(cat, sid, -negc) for negc, sid in sessions]
+    got_top = sorted((r.category_id, r.session_id, r.click_count)
+                     for r in top_sessions_per_category(visits, top_df, n_sessions=n_sessions, n=n).collect())
+    assert got_top == sorted(expected_top)
+
+    chosen = {sid for sid, _ in clicks}
+    detail = session_detail(visits, category_click_events(visits, top_df, n=n)).collect()
+    assert len(detail) == sum(1 for r in rows if r[0] in chosen)
