@@ -28,14 +28,15 @@ def clicks_df(spark, rows):
 
 
 def test_parse_clicks_sample_and_bad_lines(spark):
-    good, bad = parse_clicks(_lines(spark, [SAMPLE, "a,b", "p,c,x,1,2", "", None, "p,c,1,2,3,4", "p,c,1,2,3,", "p,c,,2,3"]))
+    good, bad = parse_clicks(_lines(spark, [SAMPLE, "a,b", "p,c,x,1,2", "", None, "p,c,1,2,3,4", "p,c,1,2,3,", "p,c,,2,3",
+                                            "p,c,1,2,9223372036854775807"]))
     rows = sorted(good.collect(), key=lambda r: r.province)
     assert len(rows) == 2 and (rows[0].province, rows[0].ts_ms) == ("p", 3)
     r = rows[1]
     assert (r.province, r.city, r.user_id, r.ad_id, r.ts_ms) == ("天津市", "天津市2", 9, 43, 1545552355516)
     assert r.click_date == dt.date(2018, 12, 23)
     reasons = sorted(tuple(x) for x in bad.groupBy("parse_error").count().collect())
-    assert reasons == [("empty", 2), ("field_count", 2), ("user_id", 2)]
+    assert reasons == [("empty", 2), ("field_count", 2), ("ts_ms", 1), ("user_id", 2)]
 
 
 def test_filter_blacklisted(spark):

@@ -8,12 +8,21 @@ from pyspark.sql import functions as F
 from visitflow.functions.timecols import epoch_ms_to_ts
 
 CLICK_FIELDS = 5
+# Spark's timestamp range, 0001-01-01 00:00:00 to 9999-12-31 23:59:59.999 UTC, in
+# epoch milliseconds.  A click outside it is rejected instead of failing the job on overflow.
+MIN_TS_MS = -62135596800000
+MAX_TS_MS = 253402300799999
 TYPED_COLUMNS = ["province", "city", "user_id", "ad_id", "ts_ms", "ts", "click_date"]
 
 
+def _ts_ms_in_range(ts_ms: Column) -> Column:
+    return ts_ms.between(MIN_TS_MS, MAX_TS_MS)
+
+
 def with_click_time(df: DataFrame) -> DataFrame:
-    """Add ``ts`` (instant) and ``click_date`` (its UTC date) from ``ts_ms``."""
-    ts = epoch_ms_to_ts(F.col("ts_ms"))
+    """Add ``ts`` (instant) and ``click_date`` (its UTC date) from ``ts_ms`` (null outside the
+    timestamp range)."""
+    ts = F.when(_ts_ms_in_range(F.col("ts_ms")), epoch_ms_to_ts(F.col("ts_ms")))
     return df.withColumns({"ts": ts, "click_date": F.to_date(ts)})
 
 
@@ -38,7 +47,7 @@ def parse_click_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
         .when(F.size(parts) != CLICK_FIELDS, F.lit("field_count"))
         .when(user_id.isNull(), F.lit("user_id"))
         .when(ad_id.isNull(), F.lit("ad_id"))
-        .when(ts_ms.isNull(), F.lit("ts_ms"))
+        .when(ts_ms.isNull() | ~_ts_ms_in_range(ts_ms), F.lit("ts_ms"))
     )
     parsed = lines.select(
         value.alias("line"),
