@@ -199,12 +199,15 @@ def queries() -> dict[str, str]:
                                              ORDER BY click_count DESC, ad_id) AS rn
                 FROM daily_counts) WHERE rn <= 3""",
         "ad_trend": c + """
-            SELECT click_date, ad_id,
-                   CAST(minute + i * INTERVAL 1 MINUTE AS TIMESTAMP) AS window_end,
-                   strftime(minute + i * INTERVAL 1 MINUTE, '%M') AS minute,
+            , ends AS (
+                SELECT click_date, ad_id, click_count,
+                       CAST(minute + i * INTERVAL 1 MINUTE AS TIMESTAMP) AS window_end
+                FROM (SELECT *, unnest(range(1, 61)) AS i FROM minute_counts)
+            )
+            SELECT click_date, ad_id, window_end, strftime(window_end, '%M') AS minute,
                    CAST(sum(click_count) AS BIGINT) AS click_count
-            FROM minute_counts, range(1, 61) t(i)
-            GROUP BY ALL""",
+            FROM ends
+            GROUP BY click_date, ad_id, window_end""",
         "ad_minute_counts": c + "SELECT * FROM minute_counts",
         "region_ad_counts": c + """
             SELECT click_date, province, city, ad_id, CAST(count(*) AS BIGINT) AS click_count
