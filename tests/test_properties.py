@@ -163,3 +163,29 @@ def test_category_sessions_match_brute_force(spark, rows, n_sessions, n):
     chosen = {sid for sid, _ in clicks}
     detail = session_detail(visits, category_click_events(visits, top_df, n=n)).collect()
     assert len(detail) == sum(1 for r in rows if r[0] in chosen)
+
+
+@SETTINGS
+@given(
+    sessions=st.lists(st.tuples(st.integers(0, 5), st.integers(0, 59)), min_size=0, max_size=80),
+    n=st.integers(1, 40),
+    seed=st.integers(0, 1000),
+)
+def test_sample_matches_brute_force(spark, sessions, n, seed):
+    import hashlib
+    import math
+
+    from visitflow.operators import sample_sessions
+
+    rows = [(f"s{i}", BASE + dt.timedelta(hours=h, minutes=m)) for i, (h, m) in enumerate(sessions)]
+    df = spark.createDataFrame(
+        [(sid, t, t, 2) for sid, t in rows],
+        "session_id string, start_time timestamp_ntz, end_time timestamp_ntz, page_count long",
+    ).repartition(3)
+    total = len(rows)
+    expected = set()
+    for hour in {t.hour for _, t in rows}:
+        group = sorted((hashlib.md5(f"{seed}:{sid}".encode()).hexdigest(), sid) for sid, t in rows if t.hour == hour)
+        quota = min(len(group), math.ceil(n * len(group) / total))
+        expected |= {sid for _, sid in group[:quota]}
+    assert {r.session_id for r in sample_sessions(df, n=n, seed=seed).collect()} == expected
