@@ -19,10 +19,13 @@ def _ts_ms_in_range(ts_ms: Column) -> Column:
     return ts_ms.between(MIN_TS_MS, MAX_TS_MS)
 
 
-def with_click_time(df: DataFrame) -> DataFrame:
-    """Add ``ts`` (instant) and ``click_date`` (its UTC date) from ``ts_ms`` (null outside the
-    timestamp range)."""
-    ts = F.when(_ts_ms_in_range(F.col("ts_ms")), epoch_ms_to_ts(F.col("ts_ms")))
+def with_click_time(df: DataFrame, checked: bool = True) -> DataFrame:
+    """Add ``ts`` (instant) and ``click_date`` (its UTC date) from ``ts_ms``.  ``checked`` makes
+    ``ts`` null outside the timestamp range (needed for parsed input; about 20% of the ad queries'
+    time, so ``checked=False`` where ``ts_ms`` was derived from a timestamp column)."""
+    ts = epoch_ms_to_ts(F.col("ts_ms"))
+    if checked:
+        ts = F.when(_ts_ms_in_range(F.col("ts_ms")), ts)
     return df.withColumns({"ts": ts, "click_date": F.to_date(ts)})
 
 
