@@ -68,6 +68,16 @@ class AdStream:
         for q in self.queries.values():
             q.awaitTermination(timeout)
 
+    def process_all_available(self) -> None:
+        """Block until every query has processed what is available now: the parsing queries
+        first, then the counting queries that read their output."""
+        for name in ("clean", "rejected"):
+            if name in self.queries:
+                self.queries[name].processAllAvailable()
+        for name, q in self.queries.items():
+            if name not in ("clean", "rejected"):
+                q.processAllAvailable()
+
     def stop(self) -> None:
         for q in self.queries.values():
             if q.isActive:
