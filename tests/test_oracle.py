@@ -6,7 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from tools.compare_oracle import _digest, duck
+from tools.compare_oracle import SPARK_TO_DUCKDB, _digest, duck
 
 SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
@@ -42,12 +42,6 @@ def test_entry_runs(spark):
     assert len(rows) >= 9
 
 
-SPARK_TO_DUCKDB = {
-    "LongType()": "BIGINT", "IntegerType()": "INTEGER", "StringType()": "VARCHAR", "DateType()": "DATE",
-    "TimestampNTZType()": "TIMESTAMP", "DoubleType()": "DOUBLE",
-}
-
-
 @pytest.mark.parametrize("key", sorted(entry.queries()))
 def test_column_types_match_oracle(spark, con, key):
     spark_types = {f.name: SPARK_TO_DUCKDB.get(str(f.dataType), str(f.dataType))
