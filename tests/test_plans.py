@@ -138,3 +138,10 @@ def test_hot_user_is_split_before_a_per_user_count(spark, skew_conf):
     assert "SortMergeJoin(skew=true)" in text
     expected = sum(1 for r in rows if r[2] == 0)
     assert counts.where("user_id = 0").agg({"click_count": "sum"}).collect()[0][0] == expected
+
+
+def test_trend_shuffles_only_minute_counts(spark):
+    tree = plan(spark, "ad_trend").split("\n\n", 1)[0]
+    # one exchange for the per-minute counts, one to gather a (date, ad) group; the second window
+    # shares that partitioning and the expanded window ends are never shuffled
+    assert len(re.findall(r"(?<!Broadcast)Exchange \(\d+\)", tree)) == 2
