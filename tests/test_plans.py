@@ -145,3 +145,8 @@ def test_trend_shuffles_only_minute_counts(spark):
     # one exchange for the per-minute counts, one to gather a (date, ad) group; the second window
     # shares that partitioning and the expanded window ends are never shuffled
     assert len(re.findall(r"(?<!Broadcast)Exchange \(\d+\)", tree)) == 2
+
+
+def test_sample_computes_the_summary_once(spark):
+    df = entry.queries()["sample_sessions"](spark, SF)
+    assert "ReusedExchange" in _final_plan(df)   # the hour counts reuse the summary's shuffle
