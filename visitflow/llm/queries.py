@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, tokens
+from . import decontaminate, packing, tokens
 from .common import ship
 
 
@@ -23,9 +23,15 @@ def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return judged.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 QUERIES = {
     "op2_prefix_token_counts": op2_prefix_token_counts,
     "op3_pattern_packing": op3_pattern_packing,
+    "op4_decontamination": op4_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
