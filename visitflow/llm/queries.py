@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, tokens
+from . import decontaminate, jaccard, packing, tokens
 from .common import ship
 
 
@@ -28,10 +28,15 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_prefix_token_counts": op2_prefix_token_counts,
     "op3_pattern_packing": op3_pattern_packing,
     "op4_decontamination": op4_decontamination,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
