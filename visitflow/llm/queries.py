@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, packing, tokens
+from . import decontaminate, jaccard, packing, quality, tokens
 from .common import ship
 
 
@@ -14,6 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = tokens.prefix_token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counts.select("doc_id", "n_bytes", "n_tokens", "over_limit")
@@ -33,6 +37,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_prefix_token_counts": op2_prefix_token_counts,
     "op3_pattern_packing": op3_pattern_packing,
     "op4_decontamination": op4_decontamination,
