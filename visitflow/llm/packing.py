@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, steps
-from .tokens import PRETOKEN, Memory
+from .tokens import PRETOKEN, Memory, WordBytes, byte_letters
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Pieces that one bucket of a length's ranks holds on average.
@@ -32,25 +33,38 @@ FIT_ROUNDS = 300
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library, which is asked once for each pretoken."""
+    """Ids of whole texts by the tokenizers library, whose model is asked once for each pretoken."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
+        self.model = Tokenizer.from_file(path).model
+        self.letters = str.maketrans({chr(b): c for c, b in byte_letters().items()})
+        self.space = self.letters[ord(" ")]
         added = json.load(open(path, encoding="utf-8")).get("added_tokens", [])
-        self.special = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in added}
+        self.special = {t["content"]: array("I", [t["id"]]).tobytes() for t in added}
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if added else None
         self.split = regex.compile(PRETOKEN).findall
-        self.known = Memory(lambda p: np.array(self.library.encode(p, add_special_tokens=False).ids, "<u4").tobytes())
+        self.known = Memory(self.pretoken_ids)
+        self.ids_of = WordBytes(self.stretch_ids, self.pretoken_ids, list(self.special))
 
-    def __call__(self, text: str) -> bytes:
-        """The text's ids as little-endian unsigned 32-bit numbers."""
+    def pretoken_ids(self, pretoken: str) -> bytes:
+        if pretoken.isascii() and pretoken.isprintable():
+            written = pretoken.replace(" ", self.space)  # other printable ASCII is written as itself
+        else:
+            written = pretoken.encode("utf-8").decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
+
+    def stretch_ids(self, text: str) -> bytes:
         if not any(s in text for s in self.special):
             return b"".join(map(self.known.__getitem__, self.split(text)))
         return b"".join(self.special[part] if part in self.special else b"".join(map(self.known.__getitem__, self.split(part)))
                         for part in self.cut_special.split(text))
 
+    def __call__(self, text: str) -> bytes:
+        """The text's ids as little-endian unsigned 32-bit numbers."""
+        return self.ids_of(text)
+
 
 _encoders: dict[str, Encoder] = {}
 
@@ -64,7 +78,7 @@ def encoder(path: str) -> Encoder:
 def token_pieces(docs: DataFrame, vocabulary: str, size: int = 1024, end_id: int = 2) -> DataFrame:
     """Each document's ids and the end id, cut into pieces of ``size`` where there are more; the
     first piece of a cut document is the shorter one.  Null text is empty and gives the end id alone."""
-    ending = np.array([end_id], "<u4").tobytes()
+    ending = array("I", [end_id]).tobytes()
 
     def cut_up(batches):
         encode = encoder(vocabulary)

@@ -30,8 +30,8 @@ _KINDS = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
 _CONTRACTED = r"'(?:[stmd]|re|ve|ll)"
 #: A pretoken, or a white-space run with the pretoken behind it.
 UNIT = rf"{_CONTRACTED}| ?\p{{L}}+| ?\p{{N}}+| ?[^\s\p{{L}}\p{{N}}]+|\s+ (?:{_KINDS})|\s+(?:{_CONTRACTED}|{_KINDS})|\s+"
-#: Units of up to so many characters are remembered, so many of them at a time.
-KEPT_CHARS, KEPT_UNITS = 40, 300_000
+#: Units and words of up to so many characters are remembered, so many of them at a time.
+KEPT_CHARS, KEPT_UNITS = 40, 1_200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -57,6 +57,34 @@ class Memory(dict):
         return value
 
 
+class WordBytes:
+    """What ``make`` gives for a whole text, put together from what it gives for its words.
+
+    Between words that are divided by one space each nothing looks across: a space belongs to the
+    word behind it.  A text with other white space beside a space is made as a whole."""
+
+    def __init__(self, make, make_pretoken, special: list[str]):
+        self.make, self.make_pretoken, self.special = make, make_pretoken, special
+        self.words = Memory(self.word)
+
+    def word(self, word: str) -> bytes:
+        if word.isalpha():
+            return self.make_pretoken(" " + word)
+        if not word or word[0].isspace() or word[-1].isspace():
+            raise ValueError("white space meets a space")
+        return self.make(" " + word)
+
+    def __call__(self, text: str) -> bytes:
+        words = text.split(" ")
+        if any(s in text for s in self.special) or len(words) < 3 or words[0] == "" or words[0][-1].isspace() or words[-1] == "" or words[-1][0].isspace():
+            return self.make(text)
+        try:
+            inner = b"".join(map(self.words.__getitem__, words[1:-1]))
+        except ValueError:
+            return self.make(text)
+        return self.make(words[0]) + inner + self.make(" " + words[-1])
+
+
 class PrefixCounter:
     """Prefix token counts under one vocabulary file (byte-level BPE, .json)."""
 
@@ -85,6 +113,7 @@ class PrefixCounter:
         self.allowed: dict[int, bool] = {}
         self.stands: dict[int, bool] = {}
         self.table = Memory(lambda unit: self.packed(self.unit_counts(unit)))
+        self.steps_of = WordBytes(self.stretch_steps, lambda p: self.packed(self.char_counts(p)), self.special)
 
     def kept_apart(self, a: int, b: int, until: float) -> bool:
         """No merge joins the end of token ``a`` with the start of ``b`` before time ``until``.
@@ -181,9 +210,10 @@ class PrefixCounter:
             raise OverflowError("one more character changes the count by over 127 tokens")
         return bytes([d & 255 for d in step])
 
-    def steps_of(self, text: str) -> bytes:
+    def stretch_steps(self, text: str) -> bytes:
         """One signed byte for each character: the tokens that the prefix ending there has more
-        than the prefix before.  Special strings are one token when they are complete."""
+        than the prefix before.  Special strings are one token when they are complete.
+        ``steps_of`` gives the same by way of remembered words."""
         if self.cut_special is None or not any(s in text for s in self.special):
             return b"".join(map(self.table.__getitem__, self.units(text)))
         out, pieces = [], self.cut_special.split(text)
