@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, lines, packing, quality, tokens
+from . import decontaminate, jaccard, lines, packing, quality, tokens, topk
 from .common import ship
 
 
@@ -41,6 +41,11 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_prefix_token_counts": op2_prefix_token_counts,
@@ -48,6 +53,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op6_line_dedup": op6_line_dedup,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_top_k": op10_top_k,
 }
 
 ORACLE_SQL: dict[str, str] = {}
