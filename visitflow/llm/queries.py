@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, lines, packing, quality, tokens, topk
+from . import decontaminate, jaccard, lines, packing, pages, quality, tokens, topk
 from .common import ship
 
 
@@ -37,6 +37,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return freed.select("doc_id", "text", "n_lines", "n_dropped", "emptied")
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op3_pattern_packing": op3_pattern_packing,
     "op4_decontamination": op4_decontamination,
     "op6_line_dedup": op6_line_dedup,
+    "op7_main_text": op7_main_text,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_top_k": op10_top_k,
 }
