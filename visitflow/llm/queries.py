@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, lines, packing, pages, quality, tokens, topk
+from . import decontaminate, jaccard, lines, packing, pages, quality, surrogates, tokens, topk
 from .common import ship
 
 
@@ -32,6 +32,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_private(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     freed = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return freed.select("doc_id", "text", "n_lines", "n_dropped", "emptied")
@@ -55,6 +59,7 @@ QUERIES = {
     "op2_prefix_token_counts": op2_prefix_token_counts,
     "op3_pattern_packing": op3_pattern_packing,
     "op4_decontamination": op4_decontamination,
+    "op5_surrogates": op5_surrogates,
     "op6_line_dedup": op6_line_dedup,
     "op7_main_text": op7_main_text,
     "op9_jaccard_join": op9_jaccard_join,
