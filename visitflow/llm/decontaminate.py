@@ -19,6 +19,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -271,7 +272,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, sh
     repeated items and rows count once each; empty tables give no rows (of documents) or only
     clean rows (of the benchmark); other columns are not read.  Items shorter than ``width``
     words are one window."""
-    shared = benchmark_blocks(benchmark, width, block_chars)
+    judge = judged_shards(benchmark_blocks(benchmark, width, block_chars), shard_words, 0, 1)
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return plain.mapInArrow(lambda batches: (found for _, found in judge(batches)), SCHEMA)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, shard_words: int = SHARD_WORDS,
+          block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns."""
+    judge = judged_shards(benchmark_blocks(benchmark, width, block_chars), shard_words, docs.columns.index("doc_id"), docs.columns.index("text"))
+
+    def keep(batches):
+        for held, found in judge(batches):
+            kept = pa.Table.from_batches(held).filter(pc.invert(found.column("contaminated")))
+            yield from kept.to_batches()
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
+def judged_shards(shared: list, shard_words: int, id_index: int, text_index: int):
+    """A function from record batches to (the batches of a shard, the result row of each of their rows)."""
 
     def blocks():
         for one in shared:
@@ -279,26 +299,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, sh
             if len(shared) > 1:  # hold one block at a time
                 one.__dict__.pop("_value", None)
 
+    def close(held):
+        ids, parts, shift, word_shift = [], [], 0, 0
+        for batch, (h, s, e, r, o) in held:
+            ids += batch.column(id_index).to_pylist()
+            parts.append((h, s + shift, e + shift, r[:-1] + word_shift, o[:-1] + shift))
+            shift, word_shift = shift + int(o[-1]), word_shift + len(h)
+        h, s, e, r, o = (np.concatenate(p) for p in zip(*parts))
+        return [batch for batch, _ in held], judge_shard(ids, h, s, e, np.append(r, len(h)), o, blocks)
+
     def judge(batches):
         held, words = [], 0
-
-        def close():
-            ids, parts, shift, word_shift = [], [], 0, 0
-            for doc_ids, (h, s, e, r, o) in held:
-                ids += doc_ids
-                parts.append((h, s + shift, e + shift, r[:-1] + word_shift, o[:-1] + shift))
-                shift, word_shift = shift + int(o[-1]), word_shift + len(h)
-            h, s, e, r, o = (np.concatenate(p) for p in zip(*parts))
-            return judge_shard(ids, h, s, e, np.append(r, len(h)), o, blocks)
-
-        for batch in steps(batches):
-            found = words_of(batch.column(1))
-            held.append((batch.column(0).to_pylist(), found))
+        for batch in steps(batches, text_index):
+            found = words_of(batch.column(text_index))
+            held.append((batch, found))
             words += len(found[0])
             if words >= shard_words:
-                yield close()
+                yield close(held)
                 held, words = [], 0
         if held:
-            yield close()
+            yield close(held)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(judge, SCHEMA)
+    return judge

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, NOT_SPACE, cut, flat, mix, shingles, steps, word_hashes, word_spans
-from .linking import blocked, candidate_pairs, connected_components
+from .linking import blocked, candidate_pairs, connected_components, with_links
 
 #: Counters of the rarity table; any order of shingles is right, a good one makes short lists.
 COUNTER_BITS = 22
@@ -146,9 +146,9 @@ def near_sizes(percent: int):
 
 
 def jaccard_classes(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents, classes, links): documents with n, s1, s2; one class (node, rep, n, s1, s2) for
-    each distinct set, rep its smallest doc_id; links (a, b) between nodes that connect, directly or
-    over others, all classes whose similarity reaches percent / 100."""
+    """(documents, classes, components): documents with n, s1, s2; one class (node, rep, n, s1, s2)
+    for each distinct set, rep its smallest doc_id; the component of every node that is linked, directly
+    or over others, to another whose similarity reaches percent / 100."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = cut(described(docs, width, percent))
     classes = cut(
@@ -161,13 +161,13 @@ def jaccard_classes(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple
     columns, order = ["n", "pos", "sketch"], ["n", "node"]
     first = cut(candidate_pairs(rows.withColumn("group", F.col("node")), columns, order, near_sizes(percent), forest=True))
     judged = cut(verified(docs, classes, first, width, percent))
-    links = judged.where("linked").select("a", "b")
+    known = cut(connected_components(judged.where("linked").select("a", "b")))
     if not judged.where("not linked").isEmpty():  # else everything left out is connected
-        known = cut(connected_components(links))
         rows = rows.join(known, "node", "left").withColumn("group", F.coalesce("component", "node"))
         second = cut(candidate_pairs(rows, columns, order, near_sizes(percent), forest=False).join(judged.select("a", "b"), ["a", "b"], "left_anti"))
-        links = cut(links.union(verified(docs, classes, second, width, percent).where("linked").select("a", "b")))
-    return found.select("doc_id", "n", "s1", "s2"), classes.select("node", "rep", "n", "s1", "s2"), links
+        if not second.isEmpty():
+            known = cut(with_links(known, cut(verified(docs, classes, second, width, percent).where("linked").select("a", "b"))))
+    return found.select("doc_id", "n", "s1", "s2"), classes.select("node", "rep", "n", "s1", "s2"), known
 
 
 def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
@@ -176,10 +176,18 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     Null and empty texts have no shingles and are components of their own; repeated rows are one
     class; a row with a null doc_id has the component of its class, null if that has no doc_id; an
     empty table gives no row; other columns are not read."""
-    found, classes, links = jaccard_classes(docs, width, percent)
-    linked = cut(connected_components(links).join(classes.select("node", "rep"), "node"))
+    found, classes, known = jaccard_classes(docs, width, percent)
+    linked = cut(known.join(classes.select("node", "rep"), "node"))
     smallest = cut(linked.groupBy("component").agg(F.min("rep").alias("component_id")))
     of_node = linked.join(smallest, "component").select("node", "component_id")
     of_class = cut(classes.join(of_node, "node", "left").select("s1", "s2", "n", F.coalesce("component_id", "rep").alias("component_id")))
     return found.join(of_class, ["s1", "s2", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose doc_id is its component's smallest; rows
+    of components without any doc_id stay."""
+    judged = jaccard_components(docs, width, percent)
+    kept = judged.where(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")), "left_semi")

@@ -143,3 +143,15 @@ def connected_components(links: DataFrame) -> DataFrame:
         if size[0] == size[1]:
             break
     return edges.select(F.col("high").alias("node"), F.col("low").alias("component")).union(edges.select("low", "low").distinct())
+
+
+def with_links(known: DataFrame, links: DataFrame) -> DataFrame:
+    """The components of ``known`` (node, component) after further links between any nodes."""
+    if links.isEmpty():
+        return known
+    root = known.select(F.col("node").alias("member"), F.col("component").alias("root"))
+    for side in ("a", "b"):
+        links = links.join(root, F.col(side) == F.col("member"), "left").withColumn(side, F.coalesce("root", side)).drop("member", "root")
+    above = cut(connected_components(links))
+    moved = known.join(above.toDF("component", "top"), "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    return moved.union(above.join(known.select("node"), "node", "left_anti"))

@@ -228,3 +228,16 @@ def quality_scores(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN
     lang and source among them, are not read."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return score(docs, train(docs, labels, max_rows), threshold)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that quality_scores() predicts 1 for, with all their columns."""
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(train(plain, labels, max_rows))
+    text_index = docs.columns.index("text")
+
+    def keep(batches):
+        for batch in steps(batches, text_index):
+            yield batch.filter(pa.array(shared.value.scores(statistics(batch.column(text_index))) >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, lines, packing, pages, quality, surrogates, tokens, topk
+from . import decontaminate, jaccard, lines, packing, pages, quality, secrets, surrogates, tokens, topk
 from .common import ship
 
 
@@ -45,6 +45,10 @@ def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES = {
     "op5_surrogates": op5_surrogates,
     "op6_line_dedup": op6_line_dedup,
     "op7_main_text": op7_main_text,
+    "op8_secret_scan": op8_secret_scan,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_top_k": op10_top_k,
 }
