@@ -1,0 +1,61 @@
+import random
+
+from helpers import brute_components, documents, prose
+
+from visitflow.llm import jaccard
+from visitflow.llm.linking import connected_components
+
+
+def edited(text: str, seed: int, edits: int) -> str:
+    r = random.Random(seed)
+    words = text.split()
+    for _ in range(edits):
+        words[r.randrange(len(words))] = f"e{r.randrange(10**6)}"
+    return " ".join(words)
+
+
+def check(spark, rows, **extra):
+    got = jaccard.jaccard_components(documents(spark, rows, **extra)).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute_components(rows)))
+
+
+def test_like_brute_force(spark):
+    r = random.Random(2)
+    texts = [prose(k, r.randrange(1, 150)) for k in range(40)]
+    for k in range(160):
+        texts.append(edited(texts[r.randrange(40)], k, r.randrange(0, 6)))
+    texts += [None, "", " \t", "One", "one", "one two", "One  TWO", "a b c", "A b\nc", "É é", "é é"]
+    r.shuffle(texts)
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (5, texts[5]), (500, texts[6]), (None, "only without id here")]
+    check(spark, rows, n=1, node="x", component_id=3, s1="y")
+
+
+def test_chains_of_near_copies(spark):
+    """Each text links to the next alone; one component all the same."""
+    base = prose(77, 200).split()
+    rows = []
+    for k in range(30):
+        rows.append((100 - k, " ".join(base)))
+        base[6 * k + 3] = f"n{k}"
+    check(spark, rows)
+
+
+def test_a_large_group_is_split_into_blocks(spark, monkeypatch):
+    from visitflow.llm import linking
+
+    monkeypatch.setattr(linking.blocked, "__defaults__", (16,))
+    base = prose(9, 120)
+    check(spark, [(k, edited(base, k, k % 4)) for k in range(150)])
+
+
+def test_empty_table(spark):
+    assert jaccard.jaccard_components(documents(spark, ["a"]).limit(0)).count() == 0
+    docs = documents(spark, [prose(1, 50), prose(1, 50), prose(2, 50)], component_id=7)
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 2]
+
+
+def test_connected_components(spark):
+    links = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 160)] + [(200, 201), (201, 200), (202, 202), (150, 5)]
+    got = dict(connected_components(spark.createDataFrame(links, "a long, b long")).collect())
+    assert got == {**{k: 0 for k in [*range(61), *range(100, 160)]}, 200: 200, 201: 200}

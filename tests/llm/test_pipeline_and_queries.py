@@ -1,0 +1,90 @@
+import os
+
+import public_tokenizers
+import pytest
+from helpers import brute_components, brute_contamination, prose
+from tokenizers import Tokenizer
+
+import __spark_entry__
+import corpus_pipeline
+from test_lines import brute as brute_lines
+from test_tokens_and_packing import check_packing
+
+HERE = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """A folder with documents, labels and benchmark."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    items = [(k, prose(900 + k, 30)) for k in range(5)]
+    texts = [prose(k, 20 + k % 50) + "\n" + prose(k + 5000, 15) for k in range(120)]
+    texts += [prose(k, 40) + " " + items[k % 5][1] for k in range(200, 210)]  # contaminated
+    texts += [texts[k] + " and more" for k in range(10)] + [prose(k // 2 + 7000, 60) for k in range(20)]
+    texts += [prose(k, 30).upper().replace(" ", "!! ") for k in range(300, 400)] + [None, "", "x" * 3000]
+    rows = [(i, t, "en", "src0", len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    labels = [(i, 0 if "!!" in (t or "") else 1, 0) for i, t in enumerate(texts)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return folder, dict(enumerate(texts)), items
+
+
+def test_stages_like_brute_force(spark, tables):
+    folder, texts, items = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "jaccard_join", "decontamination", "packing"]
+    stage = dict(corpus_pipeline.STAGES)
+    columns = docs.dtypes
+
+    good = stage["quality"](spark, docs, folder)
+    kept = {r.doc_id: r.text for r in good.collect()}
+    assert set(kept) == {i for i, t in texts.items() if "!!" not in (t or "")}
+
+    freed = stage["line_dedup"](spark, good, folder)
+    want = {i: t for i, t in brute_lines(list(kept.items())).items() if not (t == "" and kept[i])}
+    assert {r.doc_id: r.text for r in freed.collect()} == want
+
+    single = stage["jaccard_join"](spark, freed, folder)
+    one = {i for i, _, c in brute_components(list(want.items())) if i == c}
+    assert {r.doc_id for r in single.collect()} == one
+
+    clean = stage["decontamination"](spark, single, folder)
+    judged = brute_contamination([(i, want[i]) for i in one], items)
+    left = {i: want[i] for i, (n, hit, _) in judged.items() if not (hit and 20 * hit >= n)}
+    assert {r.doc_id: r.text for r in clean.collect()} == left and len(left) < len(one)
+    for df in (good, freed, single, clean):
+        assert df.dtypes == columns
+
+    rows = corpus_pipeline.run(spark, folder).collect()
+    check_packing(rows, left, Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def test_registered():
+    names = list(__spark_entry__.queries())
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert not any(n.startswith("op") for n in __spark_entry__.oracle_sql())
+
+
+COLUMNS = {
+    "op1": ["doc_id", "held_out", "score", "predicted"], "op2": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
+    "op3": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+    "op4": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"], "op7": ["page_id", "url", "text", "n_chars"],
+    "op9": ["doc_id", "n_shingles", "component_id"], "op10": ["query_id", "rank", "vec_id", "score"]}
+
+
+@pytest.mark.skipif(not os.path.isdir(HERE), reason="needs the driver's tables")
+@pytest.mark.parametrize("name", [n for n in __spark_entry__.queries() if n.startswith("op")])
+def test_queries_return_a_row_for_each_row(spark, name):
+    got = __spark_entry__.queries()[name](spark, HERE)
+    key = name.split("_")[0]
+    assert key not in COLUMNS or got.columns == COLUMNS[key]
+    rows = got.collect()
+    table = {"op7": "pages", "op10": "embeddings"}.get(key, "documents")
+    n = spark.read.parquet(f"{HERE}/{table}.parquet").count()
+    if key == "op3":
+        assert len({r.doc_id for r in rows}) == n
+    elif key == "op10":
+        assert len(rows) == 20 * spark.read.parquet(f"{HERE}/{table}.parquet").where("vec_id % 20 = 0").count()
+    elif key != "op8":
+        assert len(rows) == n

@@ -1,0 +1,72 @@
+import re
+
+from helpers import documents, prose
+from pyspark.sql import functions as F
+
+from visitflow.llm import secrets, surrogates
+
+ROWS = [
+    (1, "Mail Bob.Smith@Mail.example.com or bob.smith@mail.example.com, +1 (616) 555-6540 and +16165556540; card 4111 1111 1111 1111, 4111111111111111."),
+    (2, "Mrs. Anna Smith met Dr. Smith and Mr. JOHN Smith at 10.0.0.1. Госпожа Анна Петрова. 078-05-1120 DE89 3704 0044 0532 0130 00"),
+    (3, None), (4, ""), (None, "x a@b.co"), (2, "dup a@b.co"), (2, "dup a@b.co"), (7, "version 12.5 of 2024"), (8, "a@b.co " * 3000)]
+
+
+def luhn(digits):
+    return sum(sum(divmod(2 * int(c), 10)) if k % 2 else int(c) for k, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def test_surrogates(spark):
+    docs = documents(spark, ROWS, n_entities="x", h=1, place=2, kind=3, new=4)
+    rows = surrogates.replace_private(docs).collect()
+    assert len(rows) == len(ROWS) and rows[0].h == 1
+    text = {r.doc_id: r for r in rows}
+    one = text[1].text
+    assert not re.search("(?i)smith|616|4111", one)
+    big, small = re.findall(r"\S+@[\w.]+", one)
+    assert big.lower() == small and big != small and re.fullmatch(r"[A-Z][a-z]{2}\.[A-Z][a-z]{4}@[A-Z][a-z]{3}\.[a-z]{7}\.com", big)
+    phone, plain = re.search(r"(\+1 \(\d{3}\) \d{3}-\d{4}) and (\+1\d{10});", one).groups()
+    assert re.sub(r"\D", "", phone) == re.sub(r"\D", "", plain)
+    spaced, solid = re.search(r"card ((?:\d{4} ){3}\d{4}), (\d{16})", one).groups()
+    assert spaced.replace(" ", "") == solid and luhn(solid)
+    two = [r.text for r in rows if r.doc_id == 2 and "met" in r.text][0]
+    found = re.match(r"Mrs\. (\w+) (\w+) met Dr\. (\w+) and Mr\. ([A-Z]+) (\w+) at \d+\.\d+\.\d+\.\d+\. Госпожа ([а-яА-Я]+) ([а-яА-Я]+)\. \d{3}-\d\d-\d{4} DE", two)
+    assert found and found[2] == found[3] == found[5] and found[1].endswith(("a", "ia", "ine")) and not re.search("Smith|Anna|JOHN|Анна|Петрова|10.0.0.1", two)
+    assert len({r.text[-6:] for r in rows if (r.text or "").startswith("dup")}) == 1
+    assert (text[3].text, text[4].text, text[7].text, text[7].n_entities, text[8].n_entities) == (None, "", ROWS[7][1], 0, 3000)
+    again = surrogates.replace_private(docs, key="other").where("doc_id = 1").first().text
+    assert again != one
+    assert surrogates.replace_private(docs.limit(0)).count() == 0
+
+
+def test_distinct_stays_distinct_when_the_format_is_small(spark):
+    """All ten thousand of a kind but one: draws collide and are drawn anew."""
+    entities = spark.range(300).select(F.lit("ssn").alias("kind"), F.format_string("%03d", F.col("id")).alias("canon"))
+    made = surrogates.mapping(entities, "k").collect()
+    assert len(made) == 300 == len({r.surrogate for r in made}) and not {r.surrogate for r in made} & {r.canon for r in made}
+
+
+def test_secret_scan(spark):
+    hexes = [f"{k * 7919 + 13:040x}"[::-1].replace("0", "a7") [:40] for k in range(60)]
+    texts = [prose(k, 20) + f' token = "{h}" ' + prose(k, 5) for k, h in enumerate(hexes)]
+    texts += [prose(k, 20) + f" {10**15 + k * 104729} " + prose(k, 5) for k in range(100, 160)]
+    texts += [prose(k, 20) + f" commit {h[::-1]} " for k, h in enumerate(hexes)]
+    texts += [None, "", "w" * 50_000, "9" * 50_000]
+    docs = documents(spark, texts + [(5, texts[5])], value="x", label=1, h=2, path="y")
+    rows = secrets.scan(docs).collect()
+    assert len(rows) == 181
+    for r in rows:
+        begin, length = r.begin, r.length
+        value = texts[r.doc_id][begin : begin + length]
+        import hashlib
+
+        assert hashlib.sha256(value.encode()).hexdigest() == r.value_sha256
+    held = [r for r in rows if r.held_out]
+    assert len(held) > 15 and all(r.secret == (r.doc_id < 60) for r in held)
+    assert secrets.scan(docs.limit(0)).count() == 0
+
+
+def test_labelled_findings_decide(spark):
+    texts = [prose(k, 10) + f" 1{k:017d} end" for k in range(80)] + [prose(k, 10) + f" Zq{k:04d}Xy7Kp93LmW8 end" for k in range(80)]
+    labels = spark.createDataFrame([(f"1{k:017d}", 0) for k in range(80)] + [(f"Zq{k:04d}Xy7Kp93LmW8", 1) for k in range(80)] + [(None, 1), ("x", None)], "value string, label int")
+    rows = secrets.scan(documents(spark, texts), labels).collect()
+    assert len(rows) == 160 and all(r.secret == (r.doc_id >= 80) for r in rows if r.held_out)
