@@ -50,3 +50,22 @@ def visits_df(spark, rows, partitions: int | None = None):
 
 def users_df(spark, ids):
     return spark.createDataFrame([(i,) for i in ids], "user_id long")
+
+
+def range_results(spark, sf_dir):
+    """The session operators over the visits of the registered time range, by query name."""
+    import __spark_entry__ as entry
+    from visitflow.operators import categories, sessions
+
+    visits = entry._in_range(spark, sf_dir)
+    summary = sessions.session_summary(visits)
+    top = categories.top_categories(categories.category_counts(visits))
+    events = categories.category_click_events(visits, top)
+    return {
+        "session_histogram": sessions.session_histogram(summary),
+        "sample_sessions": sessions.sample_sessions(summary, n=entry.SAMPLE_SIZE, seed=entry.SAMPLE_SEED),
+        "top_categories": top,
+        "category_click_events": events,
+        "top_sessions_per_category": categories.top_sessions_per_category(visits, top),
+        "session_detail": categories.session_detail(visits, events),
+    }

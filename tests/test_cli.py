@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from conftest import range_results
 from visitflow import cli
 from visitflow.sources import click_lines, load_driver_clicks, load_driver_inputs
 
@@ -24,9 +25,9 @@ def test_session_command(spark, scratch_dir):
     cli.main(["--master", "local[2]", "session", "--visits", f"{scratch_dir}/visits", "--users", f"{scratch_dir}/users",
               "--start", entry.RANGE_START, "--end", entry.RANGE_END, "--out", f"{scratch_dir}/out"])
     got = spark.read.parquet(f"{scratch_dir}/out/session_detail")
-    assert _rows(got) == _rows(entry.queries()["session_detail"](spark, SF))
+    assert _rows(got) == _rows(range_results(spark, SF)["session_detail"])
     hist = spark.read.parquet(f"{scratch_dir}/out/session_step").drop("task_id")
-    assert _rows(hist) == _rows(entry.queries()["session_histogram"](spark, SF))
+    assert _rows(hist) == _rows(range_results(spark, SF)["session_histogram"])
 
 
 def test_ads_command(spark, scratch_dir):

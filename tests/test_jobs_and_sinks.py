@@ -4,6 +4,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from conftest import range_results
 from visitflow.plans import session_job
 from visitflow.sinks import (
     append, compact, merge_sql, mysql_upsert_sql, read_groups, read_upserted, replace_groups,
@@ -85,7 +86,7 @@ def test_jdbc_statements():
 def test_session_job_writes_the_registered_results(spark, scratch_dir):
     visits, users = load_driver_inputs(spark, SF, entry.RANGE_START, entry.RANGE_END)
     out = session_job(spark, visits, users, entry.RANGE_START, entry.RANGE_END, out_dir=f"{scratch_dir}/out")
-    q = entry.queries()
+    q = range_results(spark, SF)
     pairs = {
         "session_random_extract": "sample_sessions",
         "top10_category": "top_categories",
@@ -94,9 +95,9 @@ def test_session_job_writes_the_registered_results(spark, scratch_dir):
         "session_detail": "session_detail",
     }
     for table, key in pairs.items():
-        assert _rows(out[table]) == _rows(q[key](spark, SF)), table
+        assert _rows(out[table]) == _rows(q[key]), table
     hist = out["session_step"].drop("task_id")
-    assert _rows(hist) == _rows(q["session_histogram"](spark, SF))
+    assert _rows(hist) == _rows(q["session_histogram"])
     # a rerun of the same task replaces its rows
     out2 = session_job(spark, visits, users, entry.RANGE_START, entry.RANGE_END, out_dir=f"{scratch_dir}/out")
     assert out2["session_detail"].count() == 536

@@ -24,14 +24,14 @@ def plan(spark, key) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(entry._QUERIES))
 def test_no_python_and_no_cross_join(spark, key):
     text = plan(spark, key)
     assert not any(n in text for n in PYTHON_NODES)
     assert not any(n in text for n in CROSS_NODES)
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(entry._QUERIES))
 def test_events_scan_is_pruned(spark, key):
     text = plan(spark, key)
     for schema in re.findall(r"ReadSchema: struct<([^>]*)>", text):

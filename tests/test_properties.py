@@ -148,7 +148,7 @@ def test_category_sessions_match_brute_force(spark, rows, n_sessions, n):
 
     visits = _visits(spark, rows)
     top_df = top_categories(category_counts(visits), n=n)
-    events = sorted((r.category_id, r.session_id, r.click_count) for r in category_click_events(visits, top_df, n=n).collect())
+    events = sorted((r.category_id, r.session_id, r.click_count) for r in category_click_events(visits, top_df).collect())
     assert events == sorted((cat, sid, top[cat]) for sid, cat in clicks)
 
     per = collections.Counter(clicks)
@@ -157,11 +157,11 @@ def test_category_sessions_match_brute_force(spark, rows, n_sessions, n):
         sessions = sorted(((-cnt, sid) for (sid, cc), cnt in per.items() if cc == cat))[:n_sessions]
         expected_top += [(cat, sid, -negc) for negc, sid in sessions]
     got_top = sorted((r.category_id, r.session_id, r.click_count)
-                     for r in top_sessions_per_category(visits, top_df, n_sessions=n_sessions, n=n).collect())
+                     for r in top_sessions_per_category(visits, top_df, n_sessions=n_sessions).collect())
     assert got_top == sorted(expected_top)
 
     chosen = {sid for sid, _ in clicks}
-    detail = session_detail(visits, category_click_events(visits, top_df, n=n)).collect()
+    detail = session_detail(visits, category_click_events(visits, top_df)).collect()
     assert len(detail) == sum(1 for r in rows if r[0] in chosen)
 
 

@@ -2,20 +2,15 @@
 
 * Lineage is cut only into the shared folder named by ``spark.checkpoint.dir``; a machine-local
   folder is chosen only for a ``local[...]`` master where that setting is unset (tests, bench).
-* A join side is marked for broadcast only when its row count has a bound that is known before the
-  job runs (for example the output of ``limit(n)``).  Every other small side is left to AQE, which
-  measures the side at run time and falls back to a sort-merge join beyond the threshold.
+* No join side is marked for broadcast: AQE measures each side at run time, broadcasts the small
+  ones and uses a sort-merge join, whose skewed keys it splits, for the others.
 """
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Largest statically bounded side we are willing to ship to every executor.
-BROADCAST_ROW_LIMIT = 100_000
+from pyspark.sql import SparkSession
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -77,9 +72,3 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="visitflow-ckpt-"))
     return sc.getCheckpointDir()
 
-
-def bounded_broadcast(df: DataFrame, row_bound: int | None) -> DataFrame:
-    """Broadcast ``df`` only when ``row_bound`` (a bound known before running) is small enough."""
-    if row_bound is not None and row_bound <= BROADCAST_ROW_LIMIT:
-        return F.broadcast(df)
-    return df

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitflow.config import bounded_broadcast
 from visitflow.schemas import DETAIL_COLUMNS
 
 
@@ -52,31 +51,31 @@ def top_categories(counts: DataFrame, n: int = 10, task_id: int = 1) -> DataFram
     )
 
 
-def _top_clicks(visits: DataFrame, top: DataFrame, n: int) -> DataFrame:
-    """Click rows (``click_category_id != 0``, any action) of the top categories.  ``top`` has at
-    most ``n`` rows, a bound known before running, so it is broadcast."""
+def _top_clicks(visits: DataFrame, top: DataFrame) -> DataFrame:
+    """Click rows (``click_category_id != 0``, any action) of the top categories; AQE
+    measures ``top`` and broadcasts it when it is small."""
     clicks = visits.where(F.col("click_category_id") != 0).select(
         F.col("click_category_id").alias("category_id"), "session_id"
     )
-    return clicks.join(bounded_broadcast(top.select("category_id", "click_count"), n), "category_id")
+    return clicks.join(top.select("category_id", "click_count"), "category_id")
 
 
-def category_click_events(visits: DataFrame, top: DataFrame, n: int = 10, task_id: int = 1) -> DataFrame:
+def category_click_events(visits: DataFrame, top: DataFrame, task_id: int = 1) -> DataFrame:
     """One row per click on a top category, carrying the category's total click count
     (``task_id, category_id, session_id, click_count``)."""
-    return _top_clicks(visits, top, n).select(
+    return _top_clicks(visits, top).select(
         F.lit(task_id).alias("task_id"), "category_id", "session_id", "click_count"
     )
 
 
 def top_sessions_per_category(
-    visits: DataFrame, top: DataFrame, n_sessions: int = 10, n: int = 10, task_id: int = 1
+    visits: DataFrame, top: DataFrame, n_sessions: int = 10, task_id: int = 1
 ) -> DataFrame:
     """For each top category, the ``n_sessions`` sessions with most clicks on it (ties by
     session id).  The literal rank bound lets Spark trim each map task's rows per category
     before the shuffle."""
     per_session = (
-        _top_clicks(visits, top, n)
+        _top_clicks(visits, top)
         .groupBy("category_id", "session_id")
         .agg(F.count(F.lit(1)).alias("click_count"))
     )

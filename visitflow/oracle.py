@@ -47,7 +47,7 @@ in_range AS (
 summary AS (
     SELECT session_id, min(action_time) AS start_time, max(action_time) AS end_time,
            CAST(count(DISTINCT page_id) AS BIGINT) AS page_count
-    FROM in_range WHERE session_id IS NOT NULL AND action_time IS NOT NULL
+    FROM visits WHERE session_id IS NOT NULL AND action_time IS NOT NULL
     GROUP BY session_id
     HAVING count(DISTINCT page_id) <> 1
 ),
@@ -70,11 +70,11 @@ hist AS (
     FROM labels l
 ),
 cat_events AS (
-    SELECT click_category_id AS category_id, 'click' AS kind FROM in_range WHERE action = 'click'
+    SELECT click_category_id AS category_id, 'click' AS kind FROM visits WHERE action = 'click'
     UNION ALL
-    SELECT order_category_id, 'order' FROM in_range WHERE action = 'order'
+    SELECT order_category_id, 'order' FROM visits WHERE action = 'order'
     UNION ALL
-    SELECT pay_category_id, 'pay' FROM in_range WHERE pay_category_id <> 0
+    SELECT pay_category_id, 'pay' FROM visits WHERE pay_category_id <> 0
 ),
 cat_counts AS (
     SELECT category_id,
@@ -94,7 +94,7 @@ top_cat AS (
 ),
 cat_click_events AS (
     SELECT 1 AS task_id, t.category_id, v.session_id, t.click_count
-    FROM in_range v JOIN top_cat t ON v.click_category_id = t.category_id
+    FROM visits v JOIN top_cat t ON v.click_category_id = t.category_id
     WHERE v.click_category_id <> 0
 )
 """
@@ -185,7 +185,7 @@ def queries() -> dict[str, str]:
                    click_category_id, click_product_id,
                    order_category_id AS order_category_ids, order_product_id AS order_product_ids,
                    pay_category_id AS pay_category_ids, pay_product_id AS pay_product_ids
-            FROM in_range
+            FROM visits
             WHERE session_id IN (SELECT session_id FROM cat_click_events)""",
         "parse_clicks": c + """
             SELECT province, city, user_id, ad_id, ts_ms, click_date FROM ad_clicks""",

@@ -7,8 +7,8 @@ Plan shape:
   blocks from the scan;
 * the per-session summary feeds the histogram and the sample; it is an aggregate that costs two
   shuffles, so it is checkpointed to the shared checkpoint folder rather than recomputed;
-* the top categories (at most ``top_n`` rows) are checkpointed once and broadcast into the three
-  frames that use them, so the category aggregate runs once.
+* the top categories (at most ``top_n`` rows) are checkpointed once for the three frames
+  that use them, so the category aggregate runs once.
 """
 
 from __future__ import annotations
@@ -71,14 +71,14 @@ def session_job(
     try:
         summary = session_summary(in_range).checkpoint(eager=True)
         top = top_categories(category_counts(in_range, pay_requires_action), top_n, task_id).checkpoint(eager=True)
-        events = category_click_events(in_range, top, top_n, task_id)
+        events = category_click_events(in_range, top, task_id)
         outputs = {
             "session_step": session_histogram(summary).select(F.lit(task_id).alias("task_id"), "bucket", "session_count"),
             "session_random_extract": sample_sessions(summary, sample_size, seed, task_id),
             "top10_category": top,
             "top10_category_session": events,
             "top10_category_session_ranked": top_sessions_per_category(
-                in_range, top, sessions_per_category, top_n, task_id),
+                in_range, top, sessions_per_category, task_id),
             "session_detail": session_detail(in_range, events, task_id),
         }
         if not writing:

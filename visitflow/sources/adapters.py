@@ -15,7 +15,6 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitflow.config import bounded_broadcast
 from visitflow.functions.timecols import as_wall_time, timestamp_literal, ts_to_epoch_ms
 from visitflow.schemas import DRIVER_SCHEMAS
 from visitflow.sources.clicks import click_line, with_click_time
@@ -24,9 +23,6 @@ from visitflow.sources.clicks import click_line, with_click_time
 ACTION_OF_EVENT = {"click": "click", "purchase": "pay", "signup": "order"}
 PAGES = 10
 ADS = 20
-# TPC-H fixes the dimension sizes: 25 nations in 5 regions.
-NATION_ROWS = 25
-REGION_ROWS = 5
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,14 +98,13 @@ def ad_clicks_from_tables(
 ) -> DataFrame:
     """Typed clicks (``province city user_id ad_id ts_ms ts click_date``).
 
-    nation and region are fixed-size dimensions and are broadcast; customer grows with the data,
-    so the click-customer join is left to the planner (AQE broadcasts it only when measured small,
-    and splits a skewed user key)."""
+    All joins are left to the planner: AQE broadcasts a side only when it is measured small, and
+    splits a skewed user key."""
     geo = nation.join(
-        bounded_broadcast(region, REGION_ROWS), F.col("n_regionkey") == F.col("r_regionkey")
+        region, F.col("n_regionkey") == F.col("r_regionkey")
     ).select("n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("province"))
     cust = customer.select("c_custkey", "c_nationkey").join(
-        bounded_broadcast(geo, NATION_ROWS), F.col("c_nationkey") == F.col("n_nationkey")
+        geo, F.col("c_nationkey") == F.col("n_nationkey")
     ).select("c_custkey", "province", "city")
     clicks = events.where(F.col("event_type") == "click").select(
         F.col("user_id").cast("long").alias("user_id"),
