@@ -7,8 +7,8 @@ import __spark_entry__ as entry
 from conftest import range_results
 from visitflow.plans import session_job
 from visitflow.sinks import (
-    append, compact, merge_sql, mysql_upsert_sql, read_groups, read_upserted, replace_groups,
-    replace_groups_sql, upsert,
+    batches_of, fold, jdbc_writer, merge_sql, mysql_upsert_sql, read_groups, read_task, read_upserted,
+    replace_groups, replace_groups_sql, replace_task, upsert,
 )
 from visitflow.sources import load_blacklist, load_driver_inputs, load_users, load_visits
 
@@ -29,8 +29,6 @@ def test_upsert_latest_wins_and_replay_is_idempotent(spark, scratch_dir):
     assert _rows(read_upserted(spark, path, keys)) == expected
     upsert(spark.createDataFrame([("a", 2, 25), ("b", 1, 5)], "d string, k long, v long"), path, keys, 1)
     assert _rows(read_upserted(spark, path, keys)) == expected
-    compact(spark, path, f"{scratch_dir}/c", keys)
-    assert _rows(read_upserted(spark, f"{scratch_dir}/c", keys)) == expected
     assert read_upserted(spark, f"{scratch_dir}/missing", keys) is None
 
 
@@ -44,12 +42,48 @@ def test_replace_groups_keeps_last_batch_per_group(spark, scratch_dir):
         replace_groups(spark.createDataFrame([("x", 1)], "d string, n long"), path, ["d", "p"], 2)
 
 
-def test_append_replaces_a_rerun_task(spark, scratch_dir):
-    path = f"{scratch_dir}/a"
-    append(spark.createDataFrame([(1, "s1"), (1, "s2")], "task_id int, s string"), path)
-    append(spark.createDataFrame([(2, "s9")], "task_id int, s string"), path)
-    append(spark.createDataFrame([(1, "s1"), (1, "s2")], "task_id int, s string"), path)
+def test_a_rerun_task_is_replaced_also_by_nothing(spark, scratch_dir):
+    path, schema = f"{scratch_dir}/a", "task_id int, s string"
+    one = spark.createDataFrame([(1, "s1"), (1, "s2")], schema)
+    replace_task(one, path, 1)
+    replace_task(spark.createDataFrame([(2, "s9")], schema), path, 2)
+    replace_task(one, path, 1)
     assert spark.read.parquet(path).count() == 3
+    replace_task(one.limit(0), path, 1)
+    assert read_task(spark, path, one.schema, 1).collect() == [] and read_task(spark, path, one.schema, 1).columns == one.columns
+    assert [tuple(r) for r in read_task(spark, path, one.schema, 2).collect()] == [(2, "s9")]
+
+
+@pytest.mark.parametrize("groups", [False, True])
+def test_logs_stay_short_and_replays_change_nothing(spark, scratch_dir, groups):
+    """Sixty batches on one date: a bounded number of batch folders and files, whatever is replayed."""
+    path, keys = f"{scratch_dir}/log", ["d", "k"]
+    want, most = {}, 0
+
+    def batch(n):
+        rows = [("2024-01-01", k, n * 100 + k) for k in range(n % 7, 20, 3)] + ([("2024-01-02", 5, n)] if n < 3 else [])
+        df = spark.createDataFrame(rows, "d string, k long, v long").coalesce(1)
+        fold(spark, path, keys, n, "d", ["2024-01-01"], groups=groups, above=5)
+        if groups:
+            replace_groups(df, path, keys, n, partition_by=["d"])
+        else:
+            upsert(df, path, keys, n, partition_by=["d"])
+        want.update({(d, k): v for d, k, v in rows})
+
+    for n in range(60):
+        batch(n)
+        if n % 13 == 0:
+            batch(n)  # the same batch again
+        most = max(most, len(batches_of(spark, f"{path}/d=2024-01-01")))
+    assert most <= 7
+    import glob
+
+    assert len(glob.glob(f"{path}/d=2024-01-01/*/*.parquet")) <= 7 * 9
+    got = read_groups(spark, path, keys) if groups else read_upserted(spark, path, keys)
+    assert {(str(r.d), r.k): r.v for r in got.collect()} == want
+    if not groups:
+        one = read_upserted(spark, path, keys, date_col="d", dates=["2024-01-02", "2024-02-30"])
+        assert [(r.k, r.v) for r in one.collect()] == [(5, 2)]
 
 
 def test_text_sources_read_reference_layout(spark, scratch_dir):
@@ -61,6 +95,15 @@ def test_text_sources_read_reference_layout(spark, scratch_dir):
     assert rows[0].action_time == dt.datetime(2019, 1, 14, 1, 2, 3)
     assert (rows[0].click_category_id, rows[0].search_keyword, rows[0].page_id) == (12, None, 5)
     assert rows[1].action_time.hour == 13 and rows[1].search_keyword == "cake"
+    from visitflow.schemas import VISIT_SCHEMA
+    from visitflow.sources import read_text_rows
+
+    bad = ["2019-01-14,8,abc-3,2019-01-14 25:00:00,search,0,0,0,0,0,0,cake,3", "2019-01-14,8,abc-4"]
+    with open(visit_file, "a", newline="") as fh:
+        fh.write("".join(f"{line}\r\n" for line in bad))
+    rows, rejects = read_text_rows(spark, visit_file, VISIT_SCHEMA)
+    assert rows.count() == 2 == load_visits(spark, visit_file, fmt="csv").count()
+    assert sorted(r.line.strip() for r in rejects.collect()) == sorted(bad)
     user_file = f"{scratch_dir}/userInfo.txt"
     with open(user_file, "w", newline="") as fh:
         fh.write("7,name7,sex7,7,professional7,33\r\n")
@@ -103,12 +146,46 @@ def test_session_job_writes_the_registered_results(spark, scratch_dir):
     assert out2["session_detail"].count() == 536
 
 
-def test_read_before_batch(spark, scratch_dir):
-    path = f"{scratch_dir}/b"
-    upsert(spark.createDataFrame([(1,)], "user_id long"), path, ["user_id"], 0)
-    upsert(spark.createDataFrame([(2,)], "user_id long"), path, ["user_id"], 1)
-    assert sorted(r.user_id for r in read_upserted(spark, path, ["user_id"], before_batch=1).collect()) == [1]
-    assert sorted(r.user_id for r in read_upserted(spark, path, ["user_id"]).collect()) == [1, 2]
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001"), reason="driver test data not present")
+def test_session_job_without_visits(spark, scratch_dir):
+    """An empty range on a first run, and one that turns a task's tables empty."""
+    visits, users = load_driver_inputs(spark, "/root/testdata/sf0.001")
+    for out in (f"{scratch_dir}/new", f"{scratch_dir}/full"):
+        if out.endswith("full"):
+            full = session_job(spark, visits, users, entry.RANGE_START, entry.RANGE_END, out_dir=out)
+            assert full["session_detail"].count() > 0
+        empty = session_job(spark, visits, users, "1999-01-01 00:00:00", "1999-01-02 00:00:00", out_dir=out)
+        counts = {name: frame.count() for name, frame in empty.items()}
+        assert counts.pop("session_step") == 9 and set(counts.values()) == {0}
+        assert {r.session_count for r in empty["session_step"].collect()} == {0}
+
+
+def test_jdbc_sequence_and_replay(spark, monkeypatch):
+    """What is staged, in which order the statements run; no database is at hand, so execution is not tested."""
+    from pyspark.sql import DataFrameWriter
+
+    events = []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, mode=None, properties=None: events.append(("stage", url, table, mode)))
+    write = jdbc_writer("jdbc:x", lambda statements: events.append(("run", *[s.split(" ")[0] for s in statements])))
+    counts = spark.createDataFrame([("2024-01-01", "P", 1, 2)], "click_date string, province string, ad_id long, click_count long")
+    for _ in range(2):
+        write("ad_daily_count", counts, 7)
+        write("ad_province_top3", counts, 7)
+    once = [("stage", "jdbc:x", "ad_daily_count_staging_7", "overwrite"), ("run", "MERGE"), ("run", "DROP"),
+            ("stage", "jdbc:x", "ad_province_top3_staging_7", "overwrite"), ("run", "DELETE", "INSERT"), ("run", "DROP")]
+    assert events == once * 2
+
+
+def test_jdbc_loaders_conform(spark, monkeypatch):
+    from visitflow.sources import tables
+
+    asked = []
+    monkeypatch.setattr(tables, "read_jdbc", lambda s, t, o=None: (asked.append((t, o)), spark.createDataFrame([(3, "x")], "user_id int, other string"))[1])
+    assert load_users(spark, "user_info", fmt="jdbc", jdbc_options={"url": "u"}).first().user_id == 3
+    assert load_blacklist(spark, fmt="jdbc", jdbc_options={"url": "u"}).first().user_id == 3
+    with pytest.raises(ValueError, match="missing"):
+        load_visits(spark, "user_visit", fmt="jdbc", jdbc_options={"url": "u"})
+    assert asked == [("user_info", {"url": "u"}), ("ad_blacklist", {"url": "u"}), ("user_visit", {"url": "u"})]
 
 
 @pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001"), reason="driver test data not present")

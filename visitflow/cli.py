@@ -3,7 +3,7 @@
     python -m visitflow.cli session --visits PATH --users PATH --start TS --end TS --out DIR
     python -m visitflow.cli ads --clicks-dir DIR --out DIR [--blacklist DIR]
     python -m visitflow.cli ads-stream --out DIR (--kafka HOSTS [--topic advice] | --lines-dir DIR)
-        [--available-now] [--watermark "1 hour" [--trend chain]]
+        [--available-now] [--watermark "1 day"] [--trend chain|window]
 
 Paths may be on any Hadoop file system.  On a cluster the master and ``spark.checkpoint.dir``
 come from ``spark-submit``; ``--master`` is for local runs.
@@ -17,8 +17,10 @@ from pyspark.sql import SparkSession
 
 from visitflow.config import SESSION_CONF, build_session
 from visitflow.plans import ad_report, session_job
+from visitflow.schemas import USER_SCHEMA, VISIT_SCHEMA
 from visitflow.sources import (
     load_blacklist, load_users, load_visits, parse_clicks, read_click_files, read_click_stream,
+    read_text_rows,
 )
 from visitflow.streaming import start_ad_stream
 
@@ -63,17 +65,20 @@ def main(argv: list[str] | None = None) -> None:
     st.add_argument("--checkpoint-dir")
     st.add_argument("--threshold", type=int, default=100)
     st.add_argument("--interval", default="5 seconds")
-    st.add_argument("--watermark")
+    st.add_argument("--watermark", default="1 day")
     st.add_argument("--no-blacklist", action="store_true")
     st.add_argument("--available-now", action="store_true",
                     help="process what has arrived, then stop (run the stream as a scheduled job)")
-    st.add_argument("--trend", default="window", choices=["window", "chain"])
+    st.add_argument("--trend", default="chain", choices=["window", "chain"])
 
     args = ap.parse_args(argv)
     spark = _session(args)
     if args.cmd == "session":
         visits = load_visits(spark, args.visits, args.format)
         users = load_users(spark, args.users, args.format)
+        if args.format == "csv":
+            for name, path, schema in (("visits", args.visits, VISIT_SCHEMA), ("users", args.users, USER_SCHEMA)):
+                read_text_rows(spark, path, schema)[1].write.mode("overwrite").text(f"{args.out}/rejected_{name}")
         session_job(spark, visits, users, args.start, args.end, out_dir=args.out, task_id=args.task_id,
                     sample_size=args.sample_size, seed=args.seed)
     elif args.cmd == "ads":

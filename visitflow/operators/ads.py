@@ -70,34 +70,6 @@ def ad_minute_counts(clicks: DataFrame) -> DataFrame:
     )
 
 
-def _trend_by_minute_frame(clicks: DataFrame, window_minutes: int):
-    """Sliding counts from per-minute counts without re-aggregating expanded rows.
-
-    A (date, ad) group holds at most 1440 minute rows, so a window partitioned by it is bounded
-    however hot the ad is.  For each minute ``m`` the range frame collects the counts of the
-    ``window_minutes`` minutes up to ``m``; the row then emits the window ends ``m+1 ..`` up to
-    the next minute with clicks (or ``m + window_minutes``), each end exactly once, with the
-    sum of the collected counts still inside ``[end - window, end)``."""
-    per_minute = clicks.groupBy(
-        "click_date", "ad_id", F.floor(F.unix_seconds(minute_of(F.col("ts"))) / 60).cast("long").alias("mi")
-    ).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("click_date", "ad_id").orderBy("mi")
-    recent = F.collect_list(F.struct("mi", "n")).over(w.rangeBetween(-(window_minutes - 1), 0))
-    last_end = F.least(F.col("mi") + window_minutes, F.coalesce(F.lead("mi").over(w), F.col("mi") + window_minutes))
-    framed = per_minute.select("click_date", "ad_id", "mi", recent.alias("recent"), last_end.alias("last_end"))
-    ends = framed.select(
-        "click_date", "ad_id", "recent", F.explode(F.sequence(F.col("mi") + 1, F.col("last_end"))).alias("end_mi")
-    )
-    in_window = F.filter("recent", lambda x: x["mi"] >= F.col("end_mi") - window_minutes)
-    counted = ends.select(
-        "click_date",
-        "ad_id",
-        F.timestamp_seconds(F.col("end_mi") * 60).alias("w_end"),
-        F.aggregate(in_window, F.lit(0).cast("long"), lambda acc, x: acc + x["n"]).alias("click_count"),
-    )
-    return counted, as_wall_time(F.col("w_end"))
-
-
 def _trend_by_minute_deltas(clicks: DataFrame, window_minutes: int):
     """Sliding counts as a running sum of enter/leave deltas, without array lambdas.
 
@@ -105,9 +77,7 @@ def _trend_by_minute_deltas(clicks: DataFrame, window_minutes: int):
     enters the windows), ``-n`` at end ``m+window+1`` (it leaves them), and the window ends
     ``m+1 ..`` up to the next minute with clicks (or ``m+window``).  A running sum ordered by end,
     deltas before ends, is each end's count.  Both windows are partitioned by (date, ad), at most
-    1440 minute rows, so the second adds a sort but no shuffle.  Cheaper than ``minute_frame``
-    when ads are clicked in most minutes (no per-end scan of the last hour); slower on sparse
-    data, where the sort dominates."""
+    1440 minute rows, so the second adds a sort but no shuffle."""
     per_minute = clicks.groupBy(
         "click_date", "ad_id", F.floor(F.unix_seconds(minute_of(F.col("ts"))) / 60).cast("long").alias("mi")
     ).agg(F.count(F.lit(1)).alias("n"))
@@ -151,13 +121,6 @@ def ad_trend(clicks: DataFrame, window_minutes: int = 60, method: str = "minute_
     * ``minute_deltas`` (batch default): clicks per minute, then per (date, ad) (at most 1440
       minute rows, so bounded under any skew) a running sum of enter/leave deltas emits every
       window end once; only minute counts cross the network, no re-aggregation, no lambdas.
-      With ads clicked in most minutes, as at 100 TB, it is 2.7 times faster than
-      ``minute_frame`` (1.4 s against 3.9 s for 1.44 million minute rows on ``local[8]``).
-    * ``minute_frame``: the same windows, each end summing the collected counts of the last hour
-      (an interpreted array lambda): faster on sparse data such as the test tables (0.7 s against
-      1.1 s at sf0.1), slower when the last hour holds many clicked minutes.
-    * ``minute_chain``: clicks per minute, each minute's count spread over the windows that
-      contain it, summed by (date, ad, end): a second shuffle of up to 60 rows per minute.
     * ``window``: Spark's sliding ``window(ts, '60 minutes', '1 minute')`` on raw clicks (the
       form a streaming aggregation can use in ``update`` mode).
     * ``window_chain``: one-minute windows, then the sliding window over their ``window_time``:
@@ -175,29 +138,8 @@ def ad_trend(clicks: DataFrame, window_minutes: int = 60, method: str = "minute_
         win = F.window(F.window_time("mw"), f"{window_minutes} minutes", "1 minute")
         counted = per_minute.groupBy(win.alias("w"), "click_date", "ad_id").agg(F.sum("n").alias("click_count"))
         end = as_wall_time(F.col("w.end"))
-    elif method == "minute_frame":
-        counted, end = _trend_by_minute_frame(clicks, int(window_minutes))
     elif method == "minute_deltas":
         counted, end = _trend_by_minute_deltas(clicks, int(window_minutes))
-    elif method == "minute_chain":
-        per_minute = clicks.groupBy("click_date", "ad_id", minute_of(F.col("ts")).alias("m")).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        offsets = F.sequence(F.lit(1), F.lit(int(window_minutes)))
-        spread = per_minute.select(
-            "click_date",
-            "ad_id",
-            "n",
-            F.explode(offsets).alias("i"),
-            "m",
-        ).select(
-            "click_date",
-            "ad_id",
-            "n",
-            (F.col("m") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("i"))).alias("w_end"),
-        )
-        counted = spread.groupBy("click_date", "ad_id", "w_end").agg(F.sum("n").alias("click_count"))
-        end = as_wall_time(F.col("w_end"))
     else:
         raise ValueError(f"unknown method {method!r}")
     return counted.select(

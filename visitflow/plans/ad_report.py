@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
@@ -28,9 +29,12 @@ def ad_report(
     top_n: int = 3,
     window_minutes: int = 60,
     parallel_writes: int = 3,
+    write_table: Callable[[str, DataFrame, int], None] | None = None,
 ) -> dict[str, DataFrame]:
     """All ad tables from typed clicks.  Clicks of users in ``blacklist`` are removed first;
-    ``ad_blacklist`` is the given blacklist grown by this data's heavy clickers."""
+    ``ad_blacklist`` is the given blacklist grown by this data's heavy clickers.
+    ``write_table(name, rows, 0)`` gets every table that was written to ``out_dir`` as well, e.g.
+    ``jdbc_writer(url, execute)``."""
     clean = filter_blacklisted(clicks, blacklist) if blacklist is not None else clicks
     if out_dir is not None:
         # shared by the seven writes; lost blocks are recomputed from the scan
@@ -72,4 +76,8 @@ def ad_report(
         wave({"ad_province_top3": province_top_ads(first["ad_daily_count"], top_n), "ad_blacklist": grown})
     finally:
         clean.unpersist()
-    return {name: spark.read.parquet(f"{out_dir}/{name}") for name in TABLES}
+    written = {name: spark.read.parquet(f"{out_dir}/{name}") for name in TABLES}
+    if write_table is not None:
+        for name, rows in written.items():
+            write_table(name, rows, 0)
+    return written

@@ -27,7 +27,7 @@ from visitflow.operators.categories import (
 from visitflow.operators.sessions import (
     sample_sessions, session_histogram, session_summary, visits_in_range,
 )
-from visitflow.sinks.parquet import append
+from visitflow.sinks.parquet import read_task, replace_task
 
 # Result table names (the reference's, plus the histogram table it only printed and the ranked
 # sessions its comments promised).
@@ -54,7 +54,7 @@ def session_job(
     parallel_writes: int = 3,
 ) -> dict[str, DataFrame]:
     """Run the session analysis for ``[start, end)``.  With ``out_dir`` every table is written
-    there (partitioned by ``task_id``; a rerun of a task replaces its rows) and the returned
+    there (partitioned by ``task_id``; a rerun of a task replaces its rows, also by none) and the returned
     frames read the written tables; without it the frames are returned unwritten (the summary
     and the top categories are still checkpointed; the range filter is left uncached).
 
@@ -87,7 +87,7 @@ def session_job(
             if write_table is not None:
                 write_table(name, outputs[name])
             else:
-                append(outputs[name], f"{out_dir}/{name}")
+                replace_task(outputs[name], f"{out_dir}/{name}", task_id)
 
         with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
             for done in [pool.submit(write, name) for name in outputs]:
@@ -97,4 +97,4 @@ def session_job(
             in_range.unpersist()
     if write_table is not None:
         return outputs
-    return {name: spark.read.parquet(f"{out_dir}/{name}").where(F.col("task_id") == task_id) for name in TABLES}
+    return {name: read_task(spark, f"{out_dir}/{name}", outputs[name].schema, task_id) for name in TABLES}

@@ -45,7 +45,8 @@ CLICK_SCHEMA = T.StructType([
 
 CLICK_COLUMNS = ["province", "city", "user_id", "ad_id", "ts_ms", "click_date"]
 
-# Result tables and their keys (the key decides what an upsert replaces).
+# Result tables and their keys (the key decides what an upsert replaces).  Fixed values: the names
+# must equal those of the existing database tables.
 TABLE_KEYS = {
     "ad_stat": ["click_date", "province", "city", "ad_id"],
     "ad_user_click_count": ["click_date", "user_id", "ad_id"],
@@ -53,9 +54,11 @@ TABLE_KEYS = {
     "ad_province_groups": ["click_date", "province"],
     "ad_daily_count": ["click_date", "province", "ad_id"],
     "ad_click_trend": ["click_date", "ad_id", "window_end"],
+    "ad_minute_count": ["click_date", "ad_id", "minute"],
     "ad_blacklist": ["user_id"],
 }
 
+# The columns of the detail table, in order.
 DETAIL_COLUMNS = [
     "task_id", "user_id", "session_id", "page_id", "action_time", "search_keyword",
     "click_category_id", "click_product_id", "order_category_ids", "order_product_ids",

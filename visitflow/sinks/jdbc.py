@@ -16,6 +16,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
+from visitflow.schemas import TABLE_KEYS
+
 Executor = Callable[[Sequence[str]], None]
 
 
@@ -90,3 +92,18 @@ def replace_groups_jdbc(
     df.write.jdbc(url, staging, mode="overwrite", properties=properties or {})
     execute(replace_groups_sql(table, staging, group_keys, df.columns))
     execute([f"DROP TABLE {staging}"])
+
+
+def jdbc_writer(
+    url: str, execute: Executor, properties: dict[str, str] | None = None, dialect: str = "ansi"
+) -> Callable[[str, DataFrame, int], None]:
+    """A ``write_table(name, rows, batch_id)`` for the ad tables: the ranked groups are replaced,
+    every other table is merged by its key."""
+
+    def write(name: str, rows: DataFrame, batch_id: int) -> None:
+        if name == "ad_province_top3":
+            replace_groups_jdbc(rows, url, name, TABLE_KEYS["ad_province_groups"], execute, properties, batch_id)
+        else:
+            upsert_jdbc(rows, url, name, TABLE_KEYS[name], execute, properties, dialect, batch_id)
+
+    return write

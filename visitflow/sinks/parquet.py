@@ -1,21 +1,25 @@
-"""Result tables on parquet: append, keyed upsert, and replace-by-group.
+"""Result tables on parquet: replace by task, keyed upsert, and replace-by-group.
 
 Spark's parquet writer has no upsert, so keyed tables are kept as a log partitioned by
 ``batch_id``: every (micro-)batch writes the rows it changes into its own partition with dynamic
 partition overwrite, and readers take, per key, the row of the highest batch.  Writing batch
 ``N`` twice (a replayed micro-batch) replaces partition ``N`` with the same rows, so replays
 are idempotent without any bookkeeping; writing costs O(changed rows), never a rewrite of the
-table.  ``compact`` folds the log into one batch when it grows long.
+table.  ``fold`` keeps the log of a date short: before a batch is written, a date with more than
+``FOLD_ABOVE`` batches gets its current rows appended to its last batch and loses the others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BATCH_COL = "batch_id"
+#: A date's log holds at most so many batches (and the one being written).
+FOLD_ABOVE = 12
 
 
 def _writer(df: DataFrame, partition_cols: Sequence[str]):
@@ -32,14 +36,17 @@ def _check_columns(df: DataFrame, cols: Sequence[str]) -> None:
         raise ValueError(f"key columns missing from the frame: {missing}")
 
 
-def append(df: DataFrame, path: str, replace_partitions: Sequence[str] = ("task_id",)) -> None:
-    """Append ``df`` to a parquet table.  Rows are grouped in partitions by
-    ``replace_partitions`` (the task id by default), and a rerun of the same task replaces that
-    task's partition instead of adding the rows a second time."""
-    if replace_partitions:
-        _writer(df, replace_partitions).parquet(path)
-    else:
-        df.write.mode("append").parquet(path)
+def replace_task(df: DataFrame, path: str, task_id: int) -> None:
+    """Write ``df`` as all rows of one task: the folder ``task_id=<id>`` is replaced, also by an
+    empty result."""
+    df.drop("task_id").write.mode("overwrite").parquet(f"{path}/task_id={int(task_id)}")
+
+
+def read_task(spark: SparkSession, path: str, schema: T.StructType, task_id: int) -> DataFrame:
+    """The rows of one task, with the declared schema (``task_id`` is the first column)."""
+    stored = T.StructType([f for f in schema.fields if f.name != "task_id"])
+    rows = spark.read.schema(stored).parquet(f"{path}/task_id={int(task_id)}")
+    return rows.select(F.lit(int(task_id)).alias("task_id"), *stored.names)
 
 
 def upsert(
@@ -55,30 +62,93 @@ def upsert(
     _writer(logged, [*partition_by, BATCH_COL]).parquet(path)
 
 
-def replace_groups(df: DataFrame, path: str, group_keys: Sequence[str], batch_id: int) -> None:
+def replace_groups(
+    df: DataFrame, path: str, group_keys: Sequence[str], batch_id: int, partition_by: Sequence[str] = ()
+) -> None:
     """Replace every group of ``group_keys`` present in ``df`` by its rows in ``df``.
 
     Readers see, per group, only the rows of the last batch that wrote the group."""
-    _check_columns(df, group_keys)
-    _writer(df.withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long")), [BATCH_COL]).parquet(path)
+    _check_columns(df, [*group_keys, *partition_by])
+    _writer(df.withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long")), [*partition_by, BATCH_COL]).parquet(path)
+
+
+def _folder(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path, for listing and deleting."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _folder(spark, path)
+    return fs.exists(folder)
+
+
+def batches_of(spark: SparkSession, path: str) -> list[int]:
+    """The batch ids below a folder (one date of a log)."""
+    fs, folder = _folder(spark, path)
+    if not fs.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{BATCH_COL}="))
 
 
-def _read_log(spark: SparkSession, path: str) -> DataFrame | None:
+def fold(
+    spark: SparkSession, path: str, keys: Sequence[str], batch_id: int, date_col: str, dates: Sequence,
+    groups: bool = False, above: int = FOLD_ABOVE,
+) -> None:
+    """Shorten the logs of ``dates`` before batch ``batch_id`` is written.
+
+    A date with more than ``above`` earlier batches gets its current rows appended to the last of
+    them; only then are the others deleted.  A crash in between leaves rows that agree with each
+    other, and earlier batches are never written again, so a replay folds to the same rows.
+    ``dates`` are those of one micro-batch; no other folder is listed."""
+    for date in dates:
+        folder = f"{path}/{date_col}={date}"
+        earlier = [b for b in batches_of(spark, folder) if b < int(batch_id)]
+        if len(earlier) <= above:
+            continue
+        log = spark.read.option("basePath", path).parquet(*(f"{folder}/{BATCH_COL}={b}" for b in earlier))
+        current = _last_groups(log, keys) if groups else _last_rows(log, keys)
+        stored = [c for c in current.columns if c != date_col]
+        current.select(*stored).write.mode("append").parquet(f"{folder}/{BATCH_COL}={earlier[-1]}")
+        fs, _ = _folder(spark, folder)
+        for b in earlier[:-1]:
+            fs.delete(_folder(spark, f"{folder}/{BATCH_COL}={b}")[1], True)
+
+
+def _read_log(spark: SparkSession, path: str, date_col: str | None = None, dates: Sequence | None = None) -> DataFrame | None:
+    """The log, or the folders of ``dates`` alone."""
     try:
-        return spark.read.parquet(path)
+        if dates is None:
+            return spark.read.parquet(path)
+        folders = [f for f in (f"{path}/{date_col}={d}" for d in dates) if folder_exists(spark, f)]
+        return spark.read.option("basePath", path).parquet(*folders) if folders else None
     except Exception as exc:  # noqa: BLE001 - a table never written is empty
         if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
             return None
         raise
 
 
+def _last_rows(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    values = [c for c in log.columns if c not in keys and c != BATCH_COL]
+    latest = log.groupBy(*keys).agg(
+        F.max_by(F.struct(*[F.col(c) for c in values]), F.col(BATCH_COL)).alias("_row")
+    )
+    return latest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values])
+
+
+def _last_groups(log: DataFrame, group_keys: Sequence[str]) -> DataFrame:
+    last = log.groupBy(*group_keys).agg(F.max(BATCH_COL).alias(BATCH_COL))
+    return log.join(last, [*group_keys, BATCH_COL], "left_semi").drop(BATCH_COL).distinct()
+
+
 def read_upserted(
     spark: SparkSession,
     path: str,
     keys: Sequence[str],
     only: DataFrame | None = None,
-    where: Column | None = None,
-    before_batch: int | None = None,
+    date_col: str | None = None,
+    dates: Sequence | None = None,
 ) -> DataFrame | None:
     """Current rows of an upsert table: per key, the row of the highest batch.
 
@@ -87,24 +157,13 @@ def read_upserted(
 
     * ``only`` (a frame of some key columns) restricts the read to the keys it matches, with a
       semi join before the aggregation;
-    * ``where`` is a predicate on key columns applied to the log first (on a partition column it
-      prunes folders);
-    * ``before_batch=N`` gives the table as it was before batch ``N`` (what a replay of batch
-      ``N`` must compare against)."""
-    log = _read_log(spark, path)
+    * ``dates`` reads the folders of these values of ``date_col`` alone."""
+    log = _read_log(spark, path, date_col, dates)
     if log is None:
         return None
-    if before_batch is not None:
-        log = log.where(F.col(BATCH_COL) < int(before_batch))
-    if where is not None:
-        log = log.where(where)
     if only is not None:
         log = log.join(only, list(only.columns), "left_semi")
-    values = [c for c in log.columns if c not in keys and c != BATCH_COL]
-    latest = log.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(c) for c in values]), F.col(BATCH_COL)).alias("_row")
-    )
-    return latest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values])
+    return _last_rows(log, keys)
 
 
 def read_groups(spark: SparkSession, path: str, group_keys: Sequence[str]) -> DataFrame | None:
@@ -113,24 +172,4 @@ def read_groups(spark: SparkSession, path: str, group_keys: Sequence[str]) -> Da
     The last batch per group is a partial aggregate; the rows are then found with an equi join
     on (group, batch), so a group written by many batches is spread over those batches."""
     log = _read_log(spark, path)
-    if log is None:
-        return None
-    last = log.groupBy(*group_keys).agg(F.max(BATCH_COL).alias(BATCH_COL))
-    on = [*group_keys, BATCH_COL]
-    return log.join(last, on, "left_semi").drop(BATCH_COL)
-
-
-def compact(
-    spark: SparkSession,
-    path: str,
-    target: str,
-    keys: Sequence[str],
-    groups: bool = False,
-    partition_by: Sequence[str] = (),
-) -> None:
-    """Write the current view of the table at ``path`` to ``target`` as a single batch 0, with
-    the same ``partition_by`` layout as the log it replaces."""
-    current = read_groups(spark, path, keys) if groups else read_upserted(spark, path, keys)
-    if current is not None:
-        logged = current.withColumn(BATCH_COL, F.lit(0).cast("long"))
-        _writer(logged, [*partition_by, BATCH_COL]).parquet(target)
+    return None if log is None else _last_groups(log, group_keys)

@@ -9,10 +9,7 @@ from pyspark.sql import types as T
 
 from visitflow.schemas import BLACKLIST_SCHEMA, USER_SCHEMA, VISIT_SCHEMA
 
-# The text form is comma separated, one row per line (CRLF), no header, fields in this order.
-_VISIT_TEXT_SCHEMA = T.StructType(
-    [T.StructField(f.name, f.dataType) for f in VISIT_SCHEMA.fields]
-)
+# The text form is comma separated, one row per line (CRLF), no header, fields in the schema's order.
 # Only the user id is ever read from the user table.
 USER_REQUIRED = ("user_id",)
 _TEXT_OPTIONS = {
@@ -37,27 +34,46 @@ def _conform(df: DataFrame, schema: T.StructType, required: tuple[str, ...] | No
     ])
 
 
-def load_visits(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
-    """Visits from a parquet path, the text form (``fmt="csv"``) or a catalog table."""
-    if fmt == "parquet":
-        return _conform(spark.read.parquet(source), VISIT_SCHEMA)
-    if fmt == "csv":
-        return spark.read.options(**_TEXT_OPTIONS).schema(_VISIT_TEXT_SCHEMA).csv(source)
-    if fmt == "table":
-        return _conform(spark.table(source), VISIT_SCHEMA)
-    raise ValueError(f"unknown format {fmt!r}")
+def read_text_rows(spark: SparkSession, source: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of the text form: lines that do not hold the schema's fields, short ones and
+    ones with a bad number or time among them, are set apart with their text in ``line``."""
+    bad = "_bad_line"
+    row = F.from_csv("value", T.StructType([*schema.fields, T.StructField(bad, T.StringType())]).simpleString()[len("struct<"):-1]
+                     .replace(":", " "), {**_TEXT_OPTIONS, "columnNameOfCorruptRecord": bad})
+    lines = spark.read.text(source).where(F.col("value") != "").select("value", row.alias("row"))
+    return (lines.where(F.col(f"row.{bad}").isNull()).select("row.*").drop(bad),
+            lines.where(F.col(f"row.{bad}").isNotNull()).select(F.col("value").alias("line")))
 
 
-def load_users(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
+def _load(spark, source, fmt, schema, required, jdbc_options) -> DataFrame:
     if fmt == "parquet":
-        return _conform(spark.read.parquet(source), USER_SCHEMA, USER_REQUIRED)
+        return _conform(spark.read.parquet(source), schema, required)
     if fmt == "csv":
-        return spark.read.options(**_TEXT_OPTIONS).schema(USER_SCHEMA).csv(source)
+        return read_text_rows(spark, source, schema)[0]
     if fmt == "table":
-        return _conform(spark.table(source), USER_SCHEMA, USER_REQUIRED)
+        return _conform(spark.table(source), schema, required)
+    if fmt == "jdbc":
+        return _conform(read_jdbc(spark, source, jdbc_options), schema, required)
     raise ValueError(f"unknown format {fmt!r}")
 
 
+def read_jdbc(spark: SparkSession, source: str, options: dict[str, str] | None = None) -> DataFrame:
+    """A database table, or a query in parentheses with an alias, through Spark's JDBC source
+    (``url``, ``user``, ``partitionColumn`` ... in ``options``)."""
+    return spark.read.format("jdbc").options(**{"dbtable": source, **(options or {})}).load()
+
+
+def load_visits(spark: SparkSession, source: str, fmt: str = "parquet", jdbc_options: dict[str, str] | None = None) -> DataFrame:
+    """Visits from a parquet path, the text form (``fmt="csv"``; bad lines are left out,
+    ``read_text_rows`` returns them), a catalog table or a database table (``fmt="jdbc"``)."""
+    return _load(spark, source, fmt, VISIT_SCHEMA, None, jdbc_options)
+
+
+def load_users(spark: SparkSession, source: str, fmt: str = "parquet", jdbc_options: dict[str, str] | None = None) -> DataFrame:
+    """Users, from the same sources as visits; only the user id is required."""
+    return _load(spark, source, fmt, USER_SCHEMA, USER_REQUIRED, jdbc_options)
+
+
 def load_blacklist(
     spark: SparkSession,
     source: str | None = None,
@@ -71,8 +87,7 @@ def load_blacklist(
     is re-read in every micro-batch, whereas a parquet listing is fixed when the query starts.
     """
     if fmt == "jdbc":
-        opts = {"dbtable": source or "ad_blacklist", **(jdbc_options or {})}
-        return _conform(spark.read.format("jdbc").options(**opts).load(), BLACKLIST_SCHEMA)
+        return _conform(read_jdbc(spark, source or "ad_blacklist", jdbc_options), BLACKLIST_SCHEMA)
     if source is None:
         return spark.createDataFrame([], BLACKLIST_SCHEMA)
     if fmt == "parquet":

@@ -16,31 +16,38 @@ Topology (each query has its own checkpoint under ``checkpoint_dir``):
 ``region``  running count per (date, province, city, ad) -> upsert ``ad_stat``.
 ``user``    running count per (date, user, ad) -> upsert ``ad_user_click_count``; users at or
             over the threshold are added to ``ad_blacklist`` (the feedback loop).
-``trend``   sliding ``window(ts, 60 min, 1 min)`` per (date, ad) -> upsert ``ad_click_trend``.
+``trend``   clicks per minute, then the sliding hour over the minutes, per (date, ad); each window
+            is written to ``ad_click_trend`` once, when the watermark closes it.
 ``minute``  count per (date, ad, minute) -> upsert ``ad_minute_count``.
 
-All aggregates run in ``update`` mode and write running totals keyed by the table key, so a
-replayed micro-batch rewrites the same values.  With ``watermark_delay`` the state of finished
-days (and trend windows) is dropped once the watermark passes them; clicks later than that are
-dropped, as Structured Streaming does for any watermarked aggregate.  Without it the state is
-kept forever, as the reference kept it.
+The counts run in ``update`` mode and write running totals keyed by the table key, so a replayed
+micro-batch rewrites the same values.  A date's log is folded before it grows beyond a fixed number
+of batches, and a micro-batch reads the folders of its own dates alone.
+
+``trend`` and ``minute`` hold windows, so they need ``watermark_delay``: state of windows that the
+watermark has passed is dropped, and so are clicks later than that, whose number
+``AdStream.late_clicks()`` reports.  The running totals are kept for ever unless
+``count_watermark_delay`` bounds them in the same way, by day.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from visitflow.config import checkpoint_root
 from visitflow.functions.predicates import all_not_null
 from visitflow.operators.ads import ad_minute_counts, ad_trend, filter_blacklisted, province_top_ads
 from visitflow.schemas import CLICK_SCHEMA, TABLE_KEYS
-from visitflow.sinks.parquet import BATCH_COL, read_groups, read_upserted, replace_groups, upsert
+from visitflow.sinks.parquet import (
+    BATCH_COL, fold, folder_exists, read_groups, read_upserted, replace_groups, upsert,
+)
 from visitflow.sources.clicks import TYPED_COLUMNS, parse_click_lines
 
 DAILY_KEYS = TABLE_KEYS["ad_daily_count"]
@@ -48,7 +55,7 @@ REGION_KEYS = TABLE_KEYS["ad_stat"]
 USER_KEYS = TABLE_KEYS["ad_user_click_count"]
 GROUP_KEYS = TABLE_KEYS["ad_province_groups"]
 TREND_KEYS = TABLE_KEYS["ad_click_trend"]
-MINUTE_KEYS = ["click_date", "ad_id", "minute"]
+MINUTE_KEYS = TABLE_KEYS["ad_minute_count"]
 # Every count table is laid out by date, then by micro-batch: readers of some dates prune the rest.
 DATE_PARTITION = ["click_date"]
 
@@ -65,8 +72,23 @@ class AdStream:
         return f"{self.out_dir}/{name}"
 
     def await_all(self, timeout: float | None = None) -> None:
-        for q in self.queries.values():
-            q.awaitTermination(timeout)
+        """Wait until every query has ended, ``timeout`` seconds at most.  If one fails, the others
+        are stopped and its error is raised."""
+        end = None if timeout is None else time.monotonic() + timeout
+        while True:
+            for name, q in self.queries.items():
+                if (error := q.exception()) is not None:
+                    self.stop()
+                    raise RuntimeError(f"query {name} failed") from error
+            if not any(q.isActive for q in self.queries.values()) or (end is not None and time.monotonic() > end):
+                return
+            time.sleep(0.2)
+
+    def late_clicks(self) -> dict[str, int]:
+        """By query: rows that came after the watermark had passed them, in the batches that Spark
+        still reports."""
+        return {name: sum(int(op["numRowsDroppedByWatermark"]) for p in q.recentProgress for op in p["stateOperators"])
+                for name, q in self.queries.items()}
 
     def process_all_available(self) -> None:
         """Block until every query has processed what is available now: the parsing queries
@@ -141,62 +163,73 @@ def _counted(clicks: DataFrame, keys: list[str], watermark_delay: str | None) ->
     return grouped.agg(F.count(F.lit(1)).alias("click_count"))
 
 
-# A micro-batch spans a few days; above this many dates the log is read without date pruning.
-MAX_PRUNED_DATES = 366
+def _dates(changed: DataFrame) -> list:
+    """The dates of a micro-batch: one value for each calendar day of its clicks."""
+    return sorted(r[0] for r in changed.select("click_date").distinct().collect())
 
 
-def _date_pruning(changed: DataFrame):
-    """``click_date IN (dates of this batch)`` as a partition filter, or None when the batch
-    spans more than ``MAX_PRUNED_DATES`` days.  At most that many values reach the driver."""
-    dates = [r[0] for r in changed.select("click_date").distinct().limit(MAX_PRUNED_DATES + 1).collect()]
-    if len(dates) > MAX_PRUNED_DATES:
-        return None
-    return F.col("click_date").isin(dates) if dates else F.lit(False)
+def _logged(name: str, path: str, keys: list[str], rows: DataFrame, batch_id: int, dates: list, write_table) -> None:
+    """One micro-batch into a count table: long logs of its dates are folded, then it is written."""
+    fold(rows.sparkSession, path, keys, batch_id, DATE_PARTITION[0], dates)
+    upsert(rows, path, keys, batch_id, partition_by=DATE_PARTITION)
+    if write_table is not None:
+        write_table(name, rows, batch_id)
 
 
-def _daily_batch(out_dir: str, top_n: int):
+def _daily_batch(out_dir: str, top_n: int, write_table):
     daily_path, top_path = f"{out_dir}/ad_daily_count", f"{out_dir}/ad_province_top3"
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         changed = batch.select(*DAILY_KEYS, "click_count").persist()
         try:
-            upsert(changed, daily_path, DAILY_KEYS, batch_id, partition_by=DATE_PARTITION)
+            dates = _dates(changed)
+            _logged("ad_daily_count", daily_path, DAILY_KEYS, changed, batch_id, dates, write_table)
+            if not dates:
+                return
             # re-rank only the (date, province) groups this batch touched, reading only their dates
             touched = changed.select(*GROUP_KEYS).distinct()
-            current = read_upserted(spark, daily_path, DAILY_KEYS, only=touched,
-                                    where=_date_pruning(changed))
-            replace_groups(province_top_ads(current, top_n), top_path, GROUP_KEYS, batch_id)
+            current = read_upserted(spark, daily_path, DAILY_KEYS, only=touched, date_col=DATE_PARTITION[0], dates=dates)
+            top = province_top_ads(current, top_n)
+            fold(spark, top_path, GROUP_KEYS, batch_id, DATE_PARTITION[0], dates, groups=True)
+            replace_groups(top, top_path, GROUP_KEYS, batch_id, partition_by=DATE_PARTITION)
+            if write_table is not None:
+                write_table("ad_province_top3", top, batch_id)
         finally:
             changed.unpersist()
 
     return run
 
 
-def _upsert_batch(path: str, keys: list[str], columns: list[str]):
+def _upsert_batch(name: str, path: str, keys: list[str], columns: list[str], write_table):
     def run(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch.select(*columns), path, keys, batch_id, partition_by=DATE_PARTITION)
+        changed = batch.select(*columns).persist()
+        try:
+            _logged(name, path, keys, changed, batch_id, _dates(changed), write_table)
+        finally:
+            changed.unpersist()
 
     return run
 
 
-def _user_batch(out_dir: str, threshold: int, blacklist_table: str):
+def _user_batch(out_dir: str, threshold: int, blacklist_table: str, write_table):
     counts_path = f"{out_dir}/ad_user_click_count"
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         changed = batch.select(*USER_KEYS, "click_count").persist()
         try:
-            upsert(changed, counts_path, USER_KEYS, batch_id, partition_by=DATE_PARTITION)
+            _logged("ad_user_click_count", counts_path, USER_KEYS, changed, batch_id, _dates(changed), write_table)
             heavy = changed.where(F.col("click_count") >= int(threshold)).select("user_id").distinct()
             # a listed user whose count keeps growing is not written again (compared with the
             # table before this batch).  The table is a set read with ``distinct``: a replayed
             # batch may append its users a second time, which changes nothing.  (Spark does not
             # let a write overwrite a table it also reads, even another partition of it.)
             known = spark.table(blacklist_table).where(F.col(BATCH_COL) < int(batch_id)).select("user_id")
-            new = heavy.join(known, "user_id", "left_anti").select(
-                "user_id", F.lit(int(batch_id)).cast("long").alias(BATCH_COL))
-            new.write.insertInto(blacklist_table)
+            new = heavy.join(known, "user_id", "left_anti")
+            if write_table is not None:  # before the own table: a replay must write them again
+                write_table("ad_blacklist", new, batch_id)
+            new.select("user_id", F.lit(int(batch_id)).cast("long").alias(BATCH_COL)).write.insertInto(blacklist_table)
         finally:
             changed.unpersist()
 
@@ -217,6 +250,19 @@ def _choose_state_store(spark: SparkSession, state_store: str) -> None:
         spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+def _tie_checkpoint(spark: SparkSession, out_dir: str, ckpt: str) -> None:
+    """Refuse tables without their checkpoint and checkpoints of other tables; note whose it is."""
+    if folder_exists(spark, f"{out_dir}/clean_clicks/_spark_metadata") and not folder_exists(spark, f"{ckpt}/clean/metadata"):
+        raise ValueError(f"{out_dir} holds tables of a stream, but {ckpt} is not its checkpoint")
+    owner = f"{ckpt}/_stream"
+    if folder_exists(spark, owner):
+        known = spark.read.text(owner).first()[0]
+        if known != _norm_path(out_dir):
+            raise ValueError(f"{ckpt} is the checkpoint of the stream at {known}, not of {out_dir}")
+    else:
+        spark.createDataFrame([(_norm_path(out_dir),)], "value string").coalesce(1).write.text(owner)
+
+
 def start_ad_stream(
     spark: SparkSession,
     lines: DataFrame,
@@ -225,15 +271,17 @@ def start_ad_stream(
     trigger: dict | None = None,
     threshold: int = 100,
     apply_blacklist: bool = True,
-    watermark_delay: str | None = None,
+    watermark_delay: str = "1 day",
     top_n: int = 3,
     window_minutes: int = 60,
     wait_for_clean: bool | None = None,
     max_files_per_trigger: int | None = None,
     blacklist_loader=None,
     state_store: str = "rocksdb",
-    trend_method: str = "window",
+    trend_method: str = "chain",
     blacklist_table: str | None = None,
+    count_watermark_delay: str | None = None,
+    write_table: Callable[[str, DataFrame, int], None] | None = None,
 ) -> AdStream:
     """Start the ad stream on ``lines`` (a streaming frame with a ``value`` column, e.g. from
     ``read_click_stream`` or ``read_click_files``).
@@ -250,14 +298,30 @@ def start_ad_stream(
     running counts in RocksDB on local disk instead of the JVM heap (set on first start only; a
     query keeps the provider recorded in its checkpoint).
 
-    ``trend_method="window"`` keeps every sliding window in the state store and rewrites its
-    running count each batch (``update`` mode).  ``"chain"`` counts one-minute windows first and
-    slides over those (``append`` mode, needs ``watermark_delay``): 60 times less state per
-    click, and each window is written once, when the watermark closes it."""
+    The checkpoints are in ``checkpoint_dir``, by default ``out_dir/_checkpoints``: a stream
+    started again over the same ``out_dir`` goes on where it ended.  It is refused if ``out_dir``
+    holds its tables but the checkpoint is gone or belongs to another ``out_dir``, for then
+    batches would be skipped or counted twice.
+
+    ``watermark_delay`` bounds the state of ``trend`` and ``minute``.  ``trend_method="chain"``
+    counts one-minute windows first and slides over those: each window is written once, when the
+    watermark closes it.  ``"window"`` keeps every sliding window, 60 times the state, and
+    rewrites its running count each batch (``update`` mode).  ``count_watermark_delay`` drops the
+    state of finished days of the other counts.
+
+    ``write_table(name, rows, batch_id)`` gets the changed rows of every table in every
+    micro-batch, e.g. ``jdbc_writer(url, execute)``; a replayed batch gives the same rows again.
+    New users of ``ad_blacklist`` come the same way, so a ``blacklist_loader`` that reads the
+    database sees them."""
+    if spark.conf.get("spark.sql.session.timeZone").upper() not in ("UTC", "ETC/UTC", "Z", "GMT", "+00:00"):
+        raise ValueError("the ad stream counts days in UTC: set spark.sql.session.timeZone to UTC")
+    if not watermark_delay:
+        raise ValueError("the windows of trend and minute need watermark_delay")
     trigger = trigger or {"processingTime": "5 seconds"}
     if wait_for_clean is None:
         wait_for_clean = bool(trigger.get("availableNow") or trigger.get("once"))
-    ckpt = checkpoint_dir or f"{checkpoint_root(spark)}/ad_stream"
+    ckpt = checkpoint_dir or f"{out_dir}/_checkpoints"
+    _tie_checkpoint(spark, out_dir, ckpt)
     _choose_state_store(spark, state_store)
     handle = AdStream(out_dir)
 
@@ -301,21 +365,19 @@ def start_ad_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     clicks = reader.parquet(clean_path)
-    start("daily", _counted(clicks, DAILY_KEYS, watermark_delay), _daily_batch(out_dir, top_n))
-    start("region", _counted(clicks, REGION_KEYS, watermark_delay),
-          _upsert_batch(handle.table("ad_stat"), REGION_KEYS, [*REGION_KEYS, "click_count"]))
-    start("user", _counted(clicks, USER_KEYS, watermark_delay), _user_batch(out_dir, threshold, table))
-    trend_input = clicks.withWatermark("ts", watermark_delay) if watermark_delay else clicks
-    trend_sink = _upsert_batch(handle.table("ad_click_trend"), TREND_KEYS, [*TREND_KEYS, "minute", "click_count"])
+    start("daily", _counted(clicks, DAILY_KEYS, count_watermark_delay), _daily_batch(out_dir, top_n, write_table))
+    start("region", _counted(clicks, REGION_KEYS, count_watermark_delay),
+          _upsert_batch("ad_stat", handle.table("ad_stat"), REGION_KEYS, [*REGION_KEYS, "click_count"], write_table))
+    start("user", _counted(clicks, USER_KEYS, count_watermark_delay), _user_batch(out_dir, threshold, table, write_table))
+    timed = clicks.withWatermark("ts", watermark_delay)
+    trend_sink = _upsert_batch("ad_click_trend", handle.table("ad_click_trend"), TREND_KEYS,
+                               [*TREND_KEYS, "minute", "click_count"], write_table)
     if trend_method == "chain":
-        if not watermark_delay:
-            raise ValueError("trend_method='chain' needs watermark_delay")
-        start("trend", ad_trend(trend_input, window_minutes, method="window_chain"), trend_sink, mode="append")
+        start("trend", ad_trend(timed, window_minutes, method="window_chain"), trend_sink, mode="append")
     else:
-        start("trend", ad_trend(trend_input, window_minutes, method="window"), trend_sink)
-    minute_input = clicks.withWatermark("ts", watermark_delay) if watermark_delay else clicks
-    start("minute", ad_minute_counts(minute_input),
-          _upsert_batch(handle.table("ad_minute_count"), MINUTE_KEYS, [*MINUTE_KEYS, "click_count"]))
+        start("trend", ad_trend(timed, window_minutes, method="window"), trend_sink)
+    start("minute", ad_minute_counts(timed),
+          _upsert_batch("ad_minute_count", handle.table("ad_minute_count"), MINUTE_KEYS, [*MINUTE_KEYS, "click_count"], write_table))
     return handle
 
 
