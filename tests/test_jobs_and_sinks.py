@@ -86,6 +86,14 @@ def test_logs_stay_short_and_replays_change_nothing(spark, scratch_dir, groups):
         assert [(r.k, r.v) for r in one.collect()] == [(5, 2)]
 
 
+def test_a_batch_of_many_dates_reads_its_own_folders(spark, scratch_dir):
+    path = f"{scratch_dir}/dates"
+    days = [str(dt.date(2020, 1, 1) + dt.timedelta(days=k)) for k in range(450)]
+    upsert(spark.createDataFrame([(d, 1, 2) for d in days], "d string, k long, v long").coalesce(1), path, ["d", "k"], 0, partition_by=["d"])
+    some = read_upserted(spark, path, ["d", "k"], date_col="d", dates=days[:400])
+    assert some.count() == 400 and len(some.inputFiles()) == 400
+
+
 def test_text_sources_read_reference_layout(spark, scratch_dir):
     visit_file = f"{scratch_dir}/userVisit.txt"
     with open(visit_file, "w", newline="") as fh:
