@@ -43,7 +43,7 @@ def test_chains_of_near_copies(spark):
 def test_a_large_group_is_split_into_blocks(spark, monkeypatch):
     from visitflow.llm import linking
 
-    monkeypatch.setattr(linking.blocked, "__defaults__", (16,))
+    monkeypatch.setattr(linking.in_lists, "__defaults__", (16,))
     base = prose(9, 120)
     check(spark, [(k, edited(base, k, k % 4)) for k in range(150)])
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, NOT_SPACE, cut, flat, mix, shingles, steps, word_hashes, word_spans
-from .linking import blocked, candidate_pairs, connected_components, with_links
+from .linking import among, candidate_pairs, connected_components, in_lists, with_links
 
 #: Counters of the rarity table; any order of shingles is right, a good one makes short lists.
 COUNTER_BITS = 22
@@ -96,10 +96,9 @@ def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``pairs`` with ``linked``, judged on the whole sets; only texts in pairs are shuffled."""
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(
-        classes.select("node", F.col("rep").alias("doc_id"), "s1", "s2"), "node")
-
+    """``pairs`` with ``linked``, judged on the whole sets; hardly any text that is in no pair is shuffled."""
+    nodes = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    needed = cut(among(classes.select("node", F.col("rep").alias("doc_id"), "s1", "s2"), "node", nodes).join(nodes, "node"))
     def build(batches):
         for batch in steps(batches):
             ids, sets = [], []
@@ -109,7 +108,7 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
                     sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["node", "members"])
 
-    sets = cut(docs.join(needed, "doc_id").select("doc_id", "text", "node", "s1", "s2")
+    sets = cut(among(docs, "doc_id", needed.select("doc_id")).join(needed, "doc_id").select("doc_id", "text", "node", "s1", "s2")
                .mapInArrow(build, "node long, members binary").dropDuplicates(["node"]))
 
     def judge(batches):
@@ -130,17 +129,15 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
 def near_sizes(percent: int):
     """The filter of candidate_pairs(): sizes, positions and sketches that still allow a link."""
 
-    def near(own, k):
+    def near(own, a, b):
         n, pos, sketch = own["n"], own["pos"], own["sketch"]
-        size = n[k]
-        start = int(np.searchsorted(n[:k], -(-percent * size // 100)))  # sorted by size: skip what is too small
-        common = -(-percent * (n[start:k] + size) // (100 + percent))  # shingles that a link needs in common
-        fits = 1 + np.minimum(n[start:k] - pos[start:k], size - pos[k]) - 1 >= common
+        common = -(-percent * (n[a] + n[b]) // (100 + percent))  # shingles that a link needs in common
+        fits = (100 * n[a] >= percent * n[b]) & (np.minimum(n[a] - pos[a], n[b] - pos[b]) >= common)
         at = np.flatnonzero(fits)
         if len(at):
-            apart = np.bitwise_count(sketch[start + at] ^ sketch[k]).sum(axis=1, dtype=np.int64)
-            fits[at] = apart <= n[start + at] + size - 2 * common[at]
-        return start, fits
+            apart = np.bitwise_count(sketch[a[at]] ^ sketch[b[at]]).sum(axis=1, dtype=np.int64)
+            fits[at] = apart <= n[a[at]] + n[b[at]] - 2 * common[at]
+        return fits
 
     return near
 
@@ -156,15 +153,17 @@ def jaccard_classes(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple
         .agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"))
         .withColumn("node", F.monotonically_increasing_id()))
     posts = classes.select("node", F.col("n").cast("long"), F.posexplode("prefix").alias("pos", "key")).withColumn("pos", F.col("pos").cast("long"))
-    rows = cut(blocked(posts).join(classes.select("node", "sketch"), "node"))
+    rows = cut(in_lists(posts).join(classes.select("node", "sketch"), "node"))
 
-    columns, order = ["n", "pos", "sketch"], ["n", "node"]
-    first = cut(candidate_pairs(rows.withColumn("group", F.col("node")), columns, order, near_sizes(percent), forest=True))
+    keys, columns, order = ["key", "first", "second"], ["n", "pos", "sketch"], ["n", "node"]
+    first = cut(candidate_pairs(rows.withColumn("group", F.col("node")), keys, columns, order, near_sizes(percent), forest=True))
     judged = cut(verified(docs, classes, first, width, percent))
     known = cut(connected_components(judged.where("linked").select("a", "b")))
     if not judged.where("not linked").isEmpty():  # else everything left out is connected
-        rows = rows.join(known, "node", "left").withColumn("group", F.coalesce("component", "node"))
-        second = cut(candidate_pairs(rows, columns, order, near_sizes(percent), forest=False).join(judged.select("a", "b"), ["a", "b"], "left_anti"))
+# a pair was left out only if both its sides are in pairs that were given
+        paired = cut(first.select(F.col("a").alias("node")).union(first.select("b")).distinct())
+        rows = among(rows, "node", paired).join(known, "node", "left").withColumn("group", F.coalesce("component", "node"))
+        second = cut(candidate_pairs(rows, keys, columns, order, near_sizes(percent), forest=False).join(judged.select("a", "b"), ["a", "b"], "left_anti"))
         if not second.isEmpty():
             known = cut(with_links(known, cut(verified(docs, classes, second, width, percent).where("linked").select("a", "b"))))
     return found.select("doc_id", "n", "s1", "s2"), classes.select("node", "rep", "n", "s1", "s2"), known

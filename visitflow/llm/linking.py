@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -40,52 +41,54 @@ class Sets:
         return a != b
 
 
-def blocked(posts: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Rows (key, node, ...) of lists with two rows or more, with block, first and second: a list
-    of up to ``block_rows`` rows is one block, a longer one is dealt into blocks and each of its
-    rows goes to every pair of blocks (first <= second) that its own is part of."""
-    lists = cut(posts.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1"))
-    blocks = F.ceil(F.col("n_rows") / block_rows).cast("int")
-    return (
-        posts.join(lists, "key")
-        .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .withColumn("first", F.least("block", "other")).withColumn("second", F.greatest("block", "other"))
-        .drop("other", "n_rows"))
-
-
-def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Consecutive rows that agree in the first ``keys`` columns, also across batches."""
-    held: list[pa.RecordBatch] = []
+def whole_keys(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """The columns of consecutive rows and a number for each distinct key (the first ``keys`` columns):
+    the rows of one key come together, also across batches.  Binary columns become rows of 64-bit numbers."""
+    held: list[np.ndarray] | None = None  # rows of the last key so far
     for batch in batches:
         if not batch.num_rows:
             continue
-        change = np.zeros(batch.num_rows - 1, bool)
+        columns = []
+        for column in batch.columns:
+            if pa.types.is_binary(column.type):
+                columns.append(np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(batch.num_rows, -1))
+            else:
+                columns.append(column.to_numpy(zero_copy_only=False))
+        if held is not None:
+            columns = [np.concatenate(c) for c in zip(held, columns)]
+        change = np.zeros(len(columns[0]), bool)
         for k in range(keys):
-            values = batch.column(k).to_numpy(zero_copy_only=False)
-            change |= values[1:] != values[:-1]
-            if held and held[-1].column(k)[-1].as_py() != values[0]:
-                yield pa.Table.from_batches(held)
-                held = []
-        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts, cuts[1:]):
-            held.append(batch.slice(a, b - a))
-            if b < batch.num_rows:
-                yield pa.Table.from_batches(held)
-                held = []
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def candidate_pairs(rows: DataFrame, columns: list[str], order: list[str], near: Callable, forest: bool) -> DataFrame:
-    """Pairs (a, b) of nodes, a < b, that ``near`` passes within a block.
-
-    ``rows``: key, first, second, block, node, group and ``columns``, as blocked() makes them; rows
-    of one group are known to be connected and make no pair.  ``near(own, k, upto)`` gets the
-    block's columns by name and returns the places before ``k`` that it may be linked to, as a boolean
-    array over own[...][from:k] and ``from``.  With ``forest`` a task leaves out pairs that pairs it
-    gave before connect: what it gives spans the rest."""
-    names = ["key", "first", "second", "block", "node", "group", *columns]
+            change[1:] |= columns[k][1:] != columns[k][:-1]
+        number = np.cumsum(change)
+        last = int(np.searchsorted(number, number[-1]))
+        if last:
+            yield [c[:last] for c in columns], number[:last]
+        held = [c[last:].copy() for c in columns]
+    if held is not None:
+        yield held, np.zeros(len(held[0]), np.int64)
+
+
+def runs(key: np.ndarray, code: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """The places in the order of key and code, and where each run of rows that agree in both begins
+    (one more at the end); key ascends, and within a run the places do."""
+    order = np.arange(len(key)) if code is None else np.lexsort((code, key))
+    change = key[order][1:] != key[order][:-1]
+    if code is not None:
+        change |= code[order][1:] != code[order][:-1]
+    return order, np.concatenate([[0], np.flatnonzero(change) + 1, [len(order)]])
+
+
+def candidate_pairs(rows: DataFrame, keys: list[str], columns: list[str], order: list[str], near: Callable, forest: bool,
+                    parts: Callable | None = None) -> DataFrame:
+    """Pairs (a, b) of nodes, a < b, that ``near`` passes among rows that agree in ``keys``.
+
+    ``rows``: keys, side, node, perhaps group, and ``columns``.  Rows of one group are known to be
+    connected and make no pair; rows of side 1 and 2 make pairs across the sides alone (0: any).
+    ``near(own, a, b)`` gets the rows' columns by name and says which of the pairs of places a[i], b[i]
+    may be linked, a[i] being the earlier in ``order``.  ``parts(own)`` gives one code or more
+    for each row; rows that agree in none of them make no pair.  With ``forest`` a task leaves out
+    pairs that the pairs it gave before connect: what it gives spans the rest."""
+    names = [*keys, "side", "node", *(["group"] if "group" in rows.columns else []), *columns]
 
     def pairs(batches):
         sets = Sets()
@@ -96,53 +99,188 @@ def candidate_pairs(rows: DataFrame, columns: list[str], order: list[str], near:
             out_a.clear(), out_b.clear()
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-        for table in groups(batches, 3):
-            if table.num_rows < 2:
-                continue
-            own = {n: table.column(k).to_numpy() if not pa.types.is_binary(table.column(k).type) else
-                   np.frombuffer(b"".join(table.column(k).to_pylist()), np.uint64).reshape(table.num_rows, -1)
-                   for k, n in enumerate(names) if k > 2}
-            across = table.column(1)[0].as_py() != table.column(2)[0].as_py()
-            if not across and (own["group"] == own["group"][0]).all():
-                continue
-            for k in range(1, table.num_rows):
-                start, fits = near(own, k)
-                fits &= own["group"][start:k] != own["group"][k]
-                if across:
-                    fits &= own["block"][start:k] != own["block"][k]
-                node = int(own["node"][k])
-                for other in own["node"][start:k][fits].tolist():
-                    if other != node and (not forest or sets.join(other, node)):
-                        out_a.append(other)
-                        out_b.append(node)
+        def give(a: int, b: int) -> bool:
+            if a == b or (forest and not sets.join(a, b)):
+                return False
+            out_a.append(a)
+            out_b.append(b)
+            return True
+
+        def compare(own):
+            side, node, group = own["side"], own["node"], own["group"]
+            # rows of one label need no pair: known to be connected or, for a forest, by pairs given before
+            label = np.array([sets.root(n) for n in node.tolist()], np.int64) if forest else group
+            if (label == label[0]).all():
+                return
+            for k in range(1, len(node)):
+                places = np.flatnonzero((label[:k] != label[k]) & (group[:k] != group[k]) & ((side[:k] != side[k]) | (side[k] == 0)))
+                places = places[near(own, places, np.full(len(places), k))]
+                if forest and len(places):  # one row of each label is enough
+                    places = places[np.unique(label[places], return_index=True)[1]]
+                for at in places.tolist():
+                    if give(int(node[at]), int(node[k])) and forest:
+                        label[(label == label[at]) | (label == label[k])] = sets.root(int(node[k]))
+
+        for found, number in whole_keys(batches, len(keys)):
+            own = dict(zip(names, found))
+            own.setdefault("group", own["node"])
+            node, group, side = own["node"], own["group"], own["side"]
+            for code in [None] if parts is None else parts(own):
+                order, begins = runs(number, code)
+                sizes = np.diff(begins)
+                if forest:  # neighbours first: that connects most rows that are alike
+                    a, b = order[:-1], order[1:]
+                    pair = np.repeat(np.arange(len(sizes)), sizes)
+                    pair = np.flatnonzero((pair[:-1] == pair[1:]) & (group[a] != group[b]) & ((side[a] != side[b]) | (side[b] == 0)))
+                    pair = pair[near(own, a[pair], b[pair])]
+                    for x, y in zip(node[a[pair]].tolist(), node[b[pair]].tolist()):
+                        give(x, y)
+                    long_runs = np.flatnonzero(sizes > 2)
+                else:
+                    sorted_group = group[order]
+                    long_runs = np.flatnonzero(np.minimum.reduceat(sorted_group, begins[:-1]) != np.maximum.reduceat(sorted_group, begins[:-1]))
+                for at in long_runs.tolist():
+                    places = order[begins[at] : begins[at + 1]]
+                    if forest:
+                        first = sets.root(int(node[places[0]]))
+                        if all(sets.root(n) == first for n in node[places[1:]].tolist()):
+                            continue
+                    compare({name: column[places] for name, column in own.items()})
             if len(out_a) >= 10_000:
                 yield flush()
         if out_a:
             yield flush()
 
-    dealt = rows.select(*names).repartition("key", "first", "second").sortWithinPartitions("key", "first", "second", *order)
+    dealt = rows.select(*names).repartition(*keys).sortWithinPartitions(*keys, *order)
     return dealt.mapInArrow(pairs, "a long, b long").distinct()
 
 
+def dealt_blocks(posts: DataFrame, blocks: Column) -> DataFrame:
+    """``posts`` (node, ...) with block pair (first, second) and side: a list of one block stays one
+    group (0, 0) of side 0; of a list of more, each row goes to every pair of blocks that its own is
+    part of, side 1 as the first of the two and 2 as the second (0 where both are one)."""
+    return (
+        posts.withColumn("blocks", F.greatest(blocks, F.lit(1)).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("first", F.least("block", "other")).withColumn("second", F.greatest("block", "other"))
+        .withColumn("side", F.when(F.col("first") == F.col("second"), 0).when(F.col("block") == F.col("first"), 1).otherwise(2).cast("int"))
+        .drop("blocks", "block", "other"))
+
+
+def in_lists(posts: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """dealt_blocks() of the rows (key, node, ...) whose key has two rows or more."""
+    lists = cut(posts.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1"))
+    return dealt_blocks(posts.join(lists, "key"), F.ceil(F.col("n_rows") / block_rows)).drop("n_rows")
+
+
+def in_sampled_lists(posts: DataFrame, block_rows: int = BLOCK_ROWS, one_in: int = 32) -> DataFrame:
+    """dealt_blocks() of all rows (key, node, ...), where a key's rows are estimated from one node in
+    ``one_in``: the estimate decides how a long list is dealt out, never what is compared."""
+    sample = posts.where(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(one_in)) == 0)
+    long_lists = cut(
+        sample.groupBy("key").agg((F.count(F.lit(1)) * one_in).alias("n_rows")).where(F.col("n_rows") > max(2 * block_rows, 8 * one_in)))
+    if long_lists.isEmpty():
+        return posts.select("*", *(F.lit(0).alias(c) for c in ("first", "second", "side")))
+    blocks = F.ceil(F.coalesce("n_rows", F.lit(1)) / block_rows)
+    return dealt_blocks(posts.join(long_lists, "key", "left"), blocks).drop("n_rows")
+
+
+#: Bits of a membership table for each member, and at most (16 MB): beyond that more strangers pass.
+BITS_EACH, MOST_BITS = 16, 1 << 27
+
+
+class Members:
+    """A bitmap of hashed numbers: every member passes, few others do."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+
+    def __call__(self, values: np.ndarray) -> np.ndarray:
+        at = xxhash_of_numbers(values) & np.uint64(64 * len(self.words) - 1)
+        return self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1) != 0
+
+
+def xxhash_of_numbers(values: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64() of numbers: the public 64-bit xxHash of eight bytes, seed 42."""
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (
+        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+    def turned(x, n):
+        return x << np.uint64(n) | x >> np.uint64(64 - n)
+
+    with np.errstate(over="ignore"):
+        h = turned((np.uint64(42 + 8) + p5) ^ turned(values.astype(np.int64).view(np.uint64) * p2, 31) * p1, 27) * p1 + p4
+        h = (h ^ h >> np.uint64(33)) * p2
+        h = (h ^ h >> np.uint64(29)) * p3
+    return h ^ h >> np.uint64(32)
+
+
+def among(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose number in ``column`` is among ``values`` (one column), and a few others:
+    what a join with ``values`` would find, at hardly any shuffle.  Null is not among them."""
+    shared = df.sparkSession.sparkContext.broadcast(members(values))  # of bounded size
+    at = df.columns.index(column)
+
+    def keep(batches):
+        for batch in batches:
+            known = batch.column(at)
+            found = shared.value(pc.fill_null(known, 0).to_numpy(zero_copy_only=False))
+            yield batch.filter(pc.and_(pa.array(found), pc.is_valid(known)))
+
+    return df.mapInArrow(keep, df.schema)
+
+
+def members(values: DataFrame) -> Members:
+    """The bitmap of a table of one column of numbers: a summary of bounded size, made by a
+    partially aggregated group of 64 bits each."""
+    values = values.select(F.col(values.columns[0]).cast("long").alias("value")).where("value is not null")
+    size = min(MOST_BITS, max(1 << 12, 1 << (BITS_EACH * max(1, values.count()) - 1).bit_length()))
+    place = F.xxhash64("value").bitwiseAND(F.lit(size - 1))
+    bits = values.select(place.alias("place")).select(
+        F.shiftright("place", 6).alias("word"), F.expr("shiftleft(1L, cast(place & 63 AS INT))").alias("bit"))
+    table = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    words = np.zeros(size // 64, np.uint64)
+    words[table.column("word").to_numpy()] = table.column("bits").to_numpy().view(np.uint64)
+    return Members(words)
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, component) of all nodes of ``links`` (a, b); component is the smallest node.
 
-    Alternating stars: every node's larger neighbours, then its smaller ones, move to its smallest
-    neighbour until each node has one.  Minima are aggregated before they are shuffled, and joined
-    as tables of their own, so that a hub's links can be split over tasks."""
-    edges = cut(links.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).where("low < high").distinct())
+    First every partition replaces its links by stars around its local components' smallest nodes,
+    where they are; a hub has then one link a partition at most.  The same is repeated with the links
+    dealt out by their larger node until nothing changes: then every node has one parent, a smaller
+    one, and parents are replaced by their own parents until all are roots."""
+
+    def contract(batches):
+        sets, given = Sets(), set()
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                given.add((a, b))
+                sets.join(a, b)
+        stars = [(n, sets.root(n)) for n in sets.parent]
+        changed = len(stars) != len(given) or any(star not in given for star in stars)
+        if stars:
+            node, parent = zip(*stars)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node, pa.int64()), pa.array(parent, pa.int64()), pa.array([changed] * len(node))], ["node", "parent", "changed"])
+
+    schema = "node long, parent long, changed boolean"
+    edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("parent")).mapInArrow(contract, schema))
+    while True:
+        edges = cut(edges.select("node", "parent").repartition("node").mapInArrow(contract, schema))
+        if edges.where("changed").isEmpty():
+            break
+    edges = edges.select("node", "parent")
     while True:
-        both = edges.union(edges.select("high", "low")).toDF("node", "other")
-        least = cut(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("least")))
-        large = cut(both.where("other > node").join(least, "node").select(F.col("least").alias("low"), F.col("other").alias("high")).distinct())
-        least = cut(large.groupBy("high").agg(F.min("low").alias("least")))
-        moved = large.join(least, "high").where("low > least").select(F.col("least").alias("low"), F.col("low").alias("high"))
-        after = cut(moved.union(least.select(F.col("least").alias("low"), "high")).distinct())
-        size = [e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("low", "high").cast("decimal(38,0)"))).first() for e in (edges, after)]
-        edges = after
-        if size[0] == size[1]:
+        above = edges.select(F.col("node").alias("parent"), F.col("parent").alias("top"))
+        moved = cut(edges.join(above, "parent", "left").select("node", F.coalesce("top", "parent").alias("parent"), F.col("top").isNotNull().alias("changed")))
+        edges = moved.select("node", "parent")
+        if moved.where("changed").isEmpty():
             break
-    return edges.select(F.col("high").alias("node"), F.col("low").alias("component")).union(edges.select("low", "low").distinct())
+    edges = edges.withColumnRenamed("parent", "component")
+    return edges.union(edges.select("component", "component").distinct())
 
 
 def with_links(known: DataFrame, links: DataFrame) -> DataFrame:
