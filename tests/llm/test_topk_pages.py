@@ -41,7 +41,7 @@ def test_empty(spark):
 def test_sums_of_slices():
     r = np.random.default_rng(1)
     x, q = r.integers(-500, 500, (77, 9)), r.integers(-70, 70, 9)
-    rows, scores = topk.BitSlices(x).best(q, 77, np.zeros(0, int))
+    rows, scores = topk.BitSlices.of(x).best(q, 77, np.zeros(0, int))
     assert sorted(rows.tolist()) == list(range(77)) and (scores == x[rows] @ q).all()
 
 

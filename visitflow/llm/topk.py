@@ -38,19 +38,24 @@ def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
 
 
 class BitSlices:
-    """``values``: one row for each vector, one column for each component."""
-
-    def __init__(self, values: np.ndarray):
-        self.rows, self.size = values.shape
-        self.low = values.min(axis=0) if self.rows else np.zeros(self.size, np.int64)
-        above = values - self.low
-        self.digits = max(1, int(above.max()).bit_length()) if above.size else 1
-        padded = np.zeros((self.size, -(-self.rows // 64) * 64), np.int64)
-        padded[:, : self.rows] = above.T
-        self.maps = np.stack([
-            np.packbits((padded >> s) & 1, axis=1, bitorder="little").view(np.uint64) if padded.size else np.zeros((self.size, 0), np.uint64)
-            for s in range(self.digits)], axis=1)  # component, digit, words
-        self.all = np.packbits(np.arange(padded.shape[1]) < self.rows, bitorder="little").view(np.uint64)
+    """``low``: each component's minimum; ``maps``: component, digit, words of its bitmap."""
+
+    def __init__(self, low: np.ndarray, maps: np.ndarray, rows: int):
+        self.low, self.maps, self.rows = low, maps, rows
+        self.size, self.digits, words = maps.shape
+        self.all = np.packbits(np.arange(64 * words) < rows, bitorder="little").view(np.uint64)
+
+    @classmethod
+    def of(cls, values: np.ndarray) -> BitSlices:
+        """``values``: one row for each vector, one column for each component."""
+        rows, size = values.shape
+        low = values.min(axis=0) if rows else np.zeros(size, np.int64)
+        above = values - low
+        digits = max(1, int(above.max()).bit_length()) if above.size else 1
+        padded = np.zeros((size, -(-rows // 64) * 64), np.int64)
+        padded[:, :rows] = above.T
+        maps = [np.packbits((padded >> s) & 1, axis=1, bitorder="little").view(np.uint64) for s in range(digits)]
+        return cls(low, np.stack(maps, axis=1), rows)
 
     def add(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
         """Bitmaps of the sum, least significant first, and what to add to get the inner product."""
@@ -114,13 +119,12 @@ def rows_of(bitmap: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
 
 
-def packed(vectors: DataFrame, blocks: int, size: int, most: int) -> DataFrame:
-    """(block, ids, matrix): about ``blocks`` blocks of at most ``most`` vectors, by vec_id within each."""
+def blocks_of(vectors: DataFrame, blocks: int, size: int, most: int, make) -> DataFrame:
+    """About ``blocks`` blocks of at most ``most`` vectors, by vec_id within each: (ids, low, values,
+    block), where ``make`` gives low and values (two arrays) of a block's matrix."""
 
     def pack(batches):
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
+        held = [b for b in batches if b.num_rows]
         table = pa.Table.from_batches(held) if held else None
         for at in range(0, table.num_rows if table else 0, most):
             part = table.slice(at, most)
@@ -129,10 +133,19 @@ def packed(vectors: DataFrame, blocks: int, size: int, most: int) -> DataFrame:
             matrix = np.zeros((len(ids), size), np.int64)
             for k, v in enumerate(part.column(1).to_pylist()):
                 matrix[k, : len(v)] = v
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[order].tobytes()], pa.binary()), pa.array([matrix[order].astype("<i8").tobytes()], pa.binary())], ["ids", "matrix"])
+            cells = [ids[order], *make(matrix[order])]
+            yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in cells], ["ids", "low", "values"])
+
+    return cut(vectors.repartition(blocks).mapInArrow(pack, "ids binary, low binary, values binary").withColumn("block", F.monotonically_increasing_id()))
+
+
+def sliced(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    index = BitSlices.of(matrix)
+    return index.low, index.maps
+
 
-    return cut(vectors.repartition(blocks, "vec_id").mapInArrow(pack, "ids binary, matrix binary").withColumn("block", F.monotonically_increasing_id()))
+def plain(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.zeros(0, np.int64), matrix
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, row_block: int = ROW_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
@@ -148,15 +161,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, row_block: int =
     m, query_size = queries.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     size = max(size or 0, query_size or 0, 1)
     each = max(1, min(query_block, math.ceil(m / MIN_QUERY_BLOCKS)))
-    rows = packed(vectors, max(1, math.ceil(n / row_block)), size, row_block).toDF("ids", "matrix", "rows")
-    asked = packed(queries, max(1, math.ceil(m / each)), size, each).toDF("query_ids", "query_matrix", "query_block")
+    rows = blocks_of(vectors, max(1, math.ceil(n / row_block)), size, row_block, sliced).toDF("ids", "low", "maps", "rows")
+    asked = blocks_of(queries, max(1, math.ceil(m / each)), size, each, plain).drop("low").toDF("query_ids", "query_matrix", "query_block")
     row_numbers, query_numbers = ([r[0] for r in t.select(c).collect()] for t, c in ((rows, "rows"), (asked, "query_block")))  # one number a block
 
     def search(batches):
         for batch in batches:
-            for ids, matrix, query_ids, query_matrix in zip(*(c.to_pylist() for c in batch.columns)):
+            for ids, low, maps, query_ids, query_matrix in zip(*(c.to_pylist() for c in batch.columns)):
                 ids, query_ids = np.frombuffer(ids, np.int64), np.frombuffer(query_ids, np.int64)
-                index = BitSlices(np.frombuffer(matrix, np.int64).reshape(len(ids), size))
+                index = BitSlices(np.frombuffer(low, np.int64), np.frombuffer(maps, np.uint64).reshape(size, -1, -(-len(ids) // 64)), len(ids))
                 found = []
                 for query_id, query in zip(query_ids.tolist(), np.frombuffer(query_matrix, np.int64).reshape(len(query_ids), size)):
                     own = np.arange(*np.searchsorted(ids, [query_id, query_id + 1]))
@@ -167,7 +180,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, row_block: int =
     units = max(1, len(row_numbers) * len(query_numbers))
     by_rows = rows.withColumn("query_block", F.explode(F.lit(query_numbers).cast("array<long>"))).repartition(units, "rows", "query_block")
     by_queries = asked.withColumn("rows", F.explode(F.lit(row_numbers).cast("array<long>"))).repartition(units, "rows", "query_block")
-    found = by_rows.join(by_queries.hint("shuffle_merge"), ["rows", "query_block"]).select("ids", "matrix", "query_ids", "query_matrix").mapInArrow(
+    found = by_rows.join(by_queries.hint("shuffle_merge"), ["rows", "query_block"]).select("ids", "low", "maps", "query_ids", "query_matrix").mapInArrow(
         search, "query_id long, vec_id long, score long")
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
