@@ -9,6 +9,7 @@ import __spark_entry__
 import corpus_pipeline
 from test_lines import brute as brute_lines
 from test_tokens_and_packing import check_packing
+from visitflow.llm import queries as text_queries
 
 HERE = "/root/testdata/sf0.001"
 
@@ -63,7 +64,23 @@ def test_stages_like_brute_force(spark, tables):
 def test_registered():
     names = list(__spark_entry__.queries())
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
-    assert not any(n.startswith("op") for n in __spark_entry__.oracle_sql())
+    assert {n for n in __spark_entry__.oracle_sql() if n.startswith("op")} == {"op4_decontamination", "op9_jaccard_join", "op10_top_k"}
+
+
+@pytest.mark.skipif(not os.path.isdir(HERE), reason="needs the driver's tables")
+@pytest.mark.parametrize("folder", [HERE, "/root/testdata/sf0.01"])
+@pytest.mark.parametrize("name", sorted(text_queries.ORACLE_SQL))
+def test_queries_match_sql(spark, name, folder):
+    import duckdb
+
+    con = duckdb.connect()
+    for table in ("documents", "benchmark", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+    got = __spark_entry__.queries()[name](spark, folder)
+    sql = con.execute(text_queries.ORACLE_SQL[name])
+    columns = [c[0] for c in sql.description]
+    assert sorted(columns) == sorted(got.columns)
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(sql.fetchall())
 
 
 COLUMNS = {
