@@ -102,8 +102,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, member: np.ndarray):
     """Starts and ends of the words in lowered ``data`` and, per document, its range of words."""
-    inside = member[data]
-    edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
+    inside = member.take(data)
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if len(inside) and inside[0]:
+        edge = np.concatenate([[0], edge])
+    if len(inside) and inside[-1]:
+        edge = np.append(edge, len(inside))
     starts, ends = edge[0::2], edge[1::2]
     return starts, ends, np.searchsorted(starts, offsets)
 

@@ -17,6 +17,10 @@ from .common import cut
 BLOCK_ROWS = 1024
 
 
+#: Runs of up to so many rows are compared together, so many pairs at once; longer ones row by row.
+SHORT_RUN, MOST_PAIRS = 64, 500_000
+
+
 class Sets:
     """Union-find over any keys."""
 
@@ -139,12 +143,23 @@ def candidate_pairs(rows: DataFrame, keys: list[str], columns: list[str], order:
                 else:
                     sorted_group = group[order]
                     long_runs = np.flatnonzero(np.minimum.reduceat(sorted_group, begins[:-1]) != np.maximum.reduceat(sorted_group, begins[:-1]))
-                for at in long_runs.tolist():
+                if forest:
+                    nodes = node[order]
+                    long_runs = np.array([at for at in long_runs.tolist()
+                                          if len({sets.root(n) for n in nodes[begins[at] : begins[at + 1]].tolist()}) > 1], np.int64)
+                for size in np.unique(sizes[long_runs[sizes[long_runs] <= SHORT_RUN]]).tolist():
+                    alike = long_runs[sizes[long_runs] == size]
+                    first, second = np.triu_indices(size, 1)
+                    for part in np.array_split(alike, -(-len(alike) * len(first) // MOST_PAIRS)):
+                        places = order[begins[part][:, None] + np.arange(size)]
+                        a, b = places[:, first].ravel(), places[:, second].ravel()
+                        open_ = np.flatnonzero((group[a] != group[b]) & ((side[a] != side[b]) | (side[b] == 0)))
+                        a, b = a[open_], b[open_]
+                        fits = near(own, a, b)
+                        for x, y in zip(node[a[fits]].tolist(), node[b[fits]].tolist()):
+                            give(x, y)
+                for at in long_runs[sizes[long_runs] > SHORT_RUN].tolist():
                     places = order[begins[at] : begins[at + 1]]
-                    if forest:
-                        first = sets.root(int(node[places[0]]))
-                        if all(sets.root(n) == first for n in node[places[1:]].tolist()):
-                            continue
                     compare({name: column[places] for name, column in own.items()})
             if len(out_a) >= 10_000:
                 yield flush()
