@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import ALNUM, LOWER, flat, steps, word_hashes, word_spans
 
 WINDOW = 13
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 500_000
 SAMPLE_EVERY = 16
 #: Characters of benchmark text in one block.
 BLOCK_CHARS = 8_000_000

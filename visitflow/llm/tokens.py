@@ -31,7 +31,7 @@ _CONTRACTED = r"'(?:[stmd]|re|ve|ll)"
 #: A pretoken, or a white-space run with the pretoken behind it.
 UNIT = rf"{_CONTRACTED}| ?\p{{L}}+| ?\p{{N}}+| ?[^\s\p{{L}}\p{{N}}]+|\s+ (?:{_KINDS})|\s+(?:{_CONTRACTED}|{_KINDS})|\s+"
 #: Units and words of up to so many characters are remembered, so many of them at a time.
-KEPT_CHARS, KEPT_UNITS = 40, 1_200_000
+KEPT_CHARS, KEPT_UNITS = 40, 900_000
 
 
 def byte_letters() -> dict[str, int]:
