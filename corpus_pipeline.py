@@ -14,6 +14,10 @@ from visitflow.llm import decontaminate, jaccard, lines, packing, quality
 from visitflow.llm.queries import table
 
 
+#: Words that the packing stage remembers: its Python workers stay beside those of the other stages.
+KEPT_WORDS = 200_000
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
@@ -38,7 +42,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents as packed pieces."""
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), kept=KEPT_WORDS)
 
 
 STAGES = [

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, steps
-from .tokens import PRETOKEN, Memory, WordBytes, byte_letters
+from .tokens import KEPT_UNITS, PRETOKEN, Memory, WordBytes, byte_letters
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Pieces that one bucket of a length's ranks holds on average.
@@ -35,7 +35,7 @@ FIT_ROUNDS = 300
 class Encoder:
     """Ids of whole texts by the tokenizers library, whose model is asked once for each pretoken."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = KEPT_UNITS):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path).model
@@ -45,8 +45,8 @@ class Encoder:
         self.special = {t["content"]: array("I", [t["id"]]).tobytes() for t in added}
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if added else None
         self.split = regex.compile(PRETOKEN).findall
-        self.known = Memory(self.pretoken_ids)
-        self.ids_of = WordBytes(self.stretch_ids, self.pretoken_ids, list(self.special))
+        self.known = Memory(self.pretoken_ids, kept)
+        self.ids_of = WordBytes(self.stretch_ids, self.pretoken_ids, list(self.special), kept)
 
     def pretoken_ids(self, pretoken: str) -> bytes:
         if pretoken.isascii() and pretoken.isprintable():
@@ -66,22 +66,22 @@ class Encoder:
         return self.ids_of(text)
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, kept: int) -> Encoder:
+    if (path, kept) not in _encoders:
+        _encoders[path, kept] = Encoder(path, kept)
+    return _encoders[path, kept]
 
 
-def token_pieces(docs: DataFrame, vocabulary: str, size: int = 1024, end_id: int = 2) -> DataFrame:
+def token_pieces(docs: DataFrame, vocabulary: str, size: int = 1024, end_id: int = 2, kept: int = KEPT_UNITS) -> DataFrame:
     """Each document's ids and the end id, cut into pieces of ``size`` where there are more; the
     first piece of a cut document is the shorter one.  Null text is empty and gives the end id alone."""
     ending = array("I", [end_id]).tobytes()
 
     def cut_up(batches):
-        encode = encoder(vocabulary)
+        encode = encoder(vocabulary, kept)
         for batch in steps(batches):
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -251,10 +251,11 @@ def pack(pieces: DataFrame, size: int = 1024) -> DataFrame:
     return ranked.mapInArrow(seat, PIECE_SCHEMA + ", sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, size: int = 1024, end_id: int = 2) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, size: int = 1024, end_id: int = 2, kept: int = KEPT_UNITS) -> DataFrame:
     """One row for each piece of each document: doc_id, piece, start, length, ids_crc32,
     sequence_id, offset (see token_pieces for the cutting).
 
     Null and empty texts are one piece of the end id; repeated rows are packed once each; a null
-    doc_id is kept; an empty table gives no row; other columns are not read."""
-    return pack(cut(token_pieces(docs, vocabulary, size, end_id)), size)
+    doc_id is kept; an empty table gives no row; other columns are not read.  ``kept``: words whose ids
+    a Python worker remembers, about 250 bytes each."""
+    return pack(cut(token_pieces(docs, vocabulary, size, end_id, kept)), size)

@@ -44,14 +44,14 @@ def byte_letters() -> dict[str, int]:
 class Memory(dict):
     """Results of ``make`` by key; short keys are kept, all are forgotten when there are too many."""
 
-    def __init__(self, make):
+    def __init__(self, make, kept: int = KEPT_UNITS):
         super().__init__()
-        self.make = make
+        self.make, self.kept = make, kept
 
     def __missing__(self, key):
         value = self.make(key)
         if len(key) <= KEPT_CHARS:
-            if len(self) >= KEPT_UNITS:
+            if len(self) >= self.kept:
                 self.clear()
             self[key] = value
         return value
@@ -63,9 +63,9 @@ class WordBytes:
     Between words that are divided by one space each nothing looks across: a space belongs to the
     word behind it.  A text with other white space beside a space is made as a whole."""
 
-    def __init__(self, make, make_pretoken, special: list[str]):
+    def __init__(self, make, make_pretoken, special: list[str], kept: int = KEPT_UNITS):
         self.make, self.make_pretoken, self.special = make, make_pretoken, special
-        self.words = Memory(self.word)
+        self.words = Memory(self.word, kept)
 
     def word(self, word: str) -> bytes:
         if word.isalpha():
