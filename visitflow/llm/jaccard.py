@@ -3,7 +3,7 @@
 Documents with the same shingle set are one class.  Classes that are similar enough share one of
 their rarest shingles, so each class goes into the inverted lists of its prefix.  Lists are sorted
 by set size: sizes and positions that cannot reach the similarity are skipped in blocks.  Each set
-carries a parity sketch (shingles hashed to 1024 bits, each flipping its bit): two sketches differ
+carries a parity sketch (shingles hashed to 256 bits, each flipping its bit): two sketches differ
 in at most as many bits as the sets differ in shingles, so a greater difference rules a pair out.
 
 Sets that are highly similar share their answers: within a task, a set linked to another is not
@@ -25,7 +25,8 @@ from .linking import among, candidate_pairs, connected_components, in_lists, wit
 #: Counters of the rarity table; any order of shingles is right, a good one makes short lists.
 COUNTER_BITS = 22
 COUNTER_PARTS = 256
-SKETCH_BITS = 1024
+#: Bits of a parity sketch; above about four times as many shingles it rules nothing out any more.
+SKETCH_BITS = 256
 
 
 def sets_of(text: pa.Array, width: int):
@@ -85,7 +86,7 @@ def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 s1.append(a)
                 s2.append(b)
                 prefix.append(s[order].view(np.int64))
-                parity = np.bincount((s >> np.uint64(54)).astype(np.int64), minlength=SKETCH_BITS) & 1
+                parity = np.bincount((s >> np.uint64(65 - SKETCH_BITS.bit_length())).astype(np.int64), minlength=SKETCH_BITS) & 1
                 sketch.append(np.packbits(parity.astype(np.uint8)).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
