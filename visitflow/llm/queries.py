@@ -37,7 +37,7 @@ def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    freed = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), radius=None)
+    freed = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), radius=None, short_lines=True)
     return freed.select("doc_id", "text", "n_lines", "n_dropped", "emptied")
 
 
