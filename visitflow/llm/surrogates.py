@@ -11,12 +11,14 @@ occurrence then takes the surrogate in its own format.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
 
-_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*+"
+_EMAIL = r"(?<![A-Za-z0-9._%+-])(?=[._%+-]*+[A-Za-z0-9])[A-Za-z0-9._%+-]++@(?=[.-]*+[A-Za-z0-9])[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*+"
 _IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)"
 _PHONE = r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])"
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
@@ -32,7 +34,8 @@ KINDS = {"email": _EMAIL, "ip": _IP, "phone": _PHONE, "ssn": _SSN, "card": _CARD
 #: One pattern for all; a look at the next character spares the others at most places.
 PATTERN = (rf"{_EMAIL}|(?=[A-Z]){_IBAN}|(?=[MHSDPFГΚ]){_NAME}"
            rf"|(?=[+(0-9])(?:{_IP}|{_PHONE}|{_SSN}|{_CARD})")
-MAX_DRAWS = 30
+#: Draws of one e-mail domain, and the draw from which surrogates get longer by one place a draw.
+SAME_DOMAIN, LONGER = 4, 8
 
 #: Syllables of made-up names: consonants and vowels by script, endings by gender.
 _SYLLABLES = {
@@ -81,20 +84,24 @@ def _name(canon: Column, gender: Column, hexed: Column, syllables: int) -> Colum
 
 
 def surrogate(kind: Column, canon: Column, key: str, draw: int) -> Column:
-    """The ``draw``-th surrogate of an entity, in canonical form."""
+    """The ``draw``-th surrogate of an entity, in canonical form; from draw LONGER on longer than the entity."""
     hexed = _bytes(key, draw, kind, canon)
+    extra = range(max(0, draw - LONGER + 1))
+    digits = F.concat(F.lit(""), *((_number(hexed, F.lit(63 - k)) % 10).cast("string") for k in extra))
+    letters = F.concat(F.lit(""), *(F.char(97 + _number(hexed, F.lit(63 - k)) % 26) for k in extra))
+    scrambled = F.concat(_scrambled(canon, hexed, F.when(kind == "iban", 2).when((kind == "phone") & canon.startswith("+"), 2).otherwise(0)), digits)
     local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
     names = F.regexp_extract(domain, r"^(.*)(\.[^.]*)$", 1)
-    site = F.concat(_scrambled(names, _bytes(key, 0, F.lit("domain"), domain)), F.regexp_extract(domain, r"^(.*)(\.[^.]*)$", 2))
-    email = F.concat(_scrambled(local, hexed), F.lit("@"), F.when(F.instr(domain, ".") > 0, site).otherwise(_scrambled(domain, _bytes(key, 0, F.lit("domain"), domain))))
-    ip = F.concat_ws(".", *((_number(hexed, F.lit(k)) % 254 + 1).cast("string") for k in range(4)))
-    card = _scrambled(canon, hexed)
+    by_domain = _bytes(key, draw // SAME_DOMAIN, F.lit("domain"), domain)
+    site = F.concat(_scrambled(names, by_domain), F.regexp_extract(domain, r"^(.*)(\.[^.]*)$", 2))
+    email = F.concat(_scrambled(local, hexed), letters, F.lit("@"), F.when(F.instr(domain, ".") > 0, site).otherwise(_scrambled(domain, by_domain)))
+    ip = F.concat_ws(".", *((_number(hexed, F.lit(k)) % 254 + 1).cast("string") for k in range(4 + len(extra))))
+    card = scrambled
     fixed = F.concat(F.substr(card, F.lit(1), F.length(card) - 1), ((10 - _luhn(F.concat(F.substr(card, F.lit(1), F.length(card) - 1), F.lit("0"))) % 10) % 10).cast("string"))
     return (
         F.when(kind == "email", email).when(kind == "ip", ip)
-        .when(kind == "phone", _scrambled(canon, hexed, F.when(canon.startswith("+"), 2).otherwise(0)))
         .when(kind == "card", F.when(_luhn(canon) % 10 == 0, fixed).otherwise(card))
-        .when(kind == "iban", _scrambled(canon, hexed, 2)).when(kind == "ssn", _scrambled(canon, hexed))
+        .when(kind.isin("phone", "iban", "ssn"), scrambled)
         .otherwise(_name(canon, F.regexp_extract(kind, "^name:?(.*)$", 1), hexed, 2 + draw // 4)))
 
 
@@ -124,10 +131,11 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 def mapping(entities: DataFrame, key: str) -> DataFrame:
     """kind, canon, surrogate for distinct entities (kind, canon): no surrogate twice within a kind,
-    none that is itself an entity of that kind."""
+    none that is itself an entity of that kind.  Where a format has too few values, surrogates get
+    longer with each draw (see surrogate()), so every entity gets one."""
     entities = cut(entities)
     pending, assigned = entities, None
-    for draw in range(MAX_DRAWS):
+    for draw in count():
         drawn = cut(pending.withColumn("surrogate", surrogate(F.col("kind"), F.col("canon"), key, draw)))
         taken = entities.select("kind", F.col("canon").alias("surrogate"))
         if assigned is not None:
@@ -138,16 +146,16 @@ def mapping(entities: DataFrame, key: str) -> DataFrame:
         pending = cut(pending.join(assigned, ["kind", "canon"], "left_anti"))
         if pending.isEmpty():
             return assigned
-    raise ValueError("the format of some entities has too few values for distinct surrogates")
 
 
 def _in_format(found: Column, kind: Column, made: Column) -> Column:
     """The canonical surrogate with the separators and capitals of the occurrence."""
     chars = F.split(found, "")
-    spaced = F.aggregate(  # fill the places of letters and digits, keep the rest
+    spaced = F.aggregate(  # fill the places of letters and digits, keep the rest; what a longer surrogate has left comes last
         chars, F.struct(F.lit("").alias("out"), F.lit(1).alias("at")),
         lambda s, c: F.when(c.rlike("^[A-Za-z0-9+]$"), F.struct(F.concat(s["out"], F.substr(made, s["at"], F.lit(1))).alias("out"), (s["at"] + 1).alias("at")))
-        .otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at"))))["out"]
+        .otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at"))),
+        lambda s: F.concat(s["out"], F.substr(made, s["at"], F.length(made))))
     cased = F.array_join(F.transform(F.split(made, ""), lambda c, i: F.when(F.substr(found, i + 1, F.lit(1)).rlike(r"^\p{Lu}$"), F.upper(c)).otherwise(c)), "")
     shouted = (F.length(found) > 1) & (found == F.upper(found))
     named = F.when(shouted, F.upper(made)).otherwise(F.concat(F.upper(F.substr(made, F.lit(1), F.lit(1))), F.substr(made, F.lit(2), F.length(made))))
