@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, lines, packing, pages, quality, secrets, surrogates, tokens, topk
+from . import decontaminate, jaccard, lines, packing, pages, quality, secrets, surrogates, tokens, topk, trie
 from .common import ship
 
 
@@ -58,6 +58,11 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, convs = trie.shared_starts(trie.ordered_turns(table(spark, sf_dir, "conversations")))
+    return trie.prefix_trie(turns, convs)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_prefix_token_counts": op2_prefix_token_counts,
@@ -69,6 +74,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_top_k": op10_top_k,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
