@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, lines, packing, pages, quality, secrets, surrogates, tokens, topk, trie
+from . import decontaminate, fim, jaccard, langid, lines, packing, pages, quality, secrets, surrogates, tokens, topk, trie
 from .common import ship
 
 
@@ -63,6 +64,18 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(turns, convs)
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.restore(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = langid.identify(docs, langid.fit(docs.where(langid.learnable(F.col("doc_id")))))
+    return judged.select("doc_id", (~langid.learnable(F.col("doc_id"))).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_prefix_token_counts": op2_prefix_token_counts,
@@ -75,6 +88,8 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_top_k": op10_top_k,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_language": op13_language,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
