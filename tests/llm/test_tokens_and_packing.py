@@ -1,3 +1,4 @@
+import os
 import random
 import zlib
 
@@ -105,3 +106,30 @@ def test_plan_deals_out_every_rank_once(histogram):
     assert dealt == {k: v for k, v in histogram.items() if v}
     sequences = max(s + n for _, _, n, s, _ in slots)
     assert sequences <= 1.1 * (h * np.arange(size + 1)).sum() / size + sum(v for k, v in histogram.items() if 2 * k > size) + 1
+
+
+def sequences_of(slots):
+    return max(s + n for _, _, n, s, _ in slots)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="needs the driver's tables")
+def test_patterns_cost_no_sequence_on_the_given_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    h = np.zeros(1025, np.int64)
+    for row in packing.token_pieces(docs, PATH).groupBy("length").count().collect():
+        h[row["length"]] = 200 * row["count"]
+    alone = packing.Seats(h, 1024)
+    alone.best_fit()
+    n = sequences_of(packing.plan(h, 1024))
+    least = -(-int((h * np.arange(1025)).sum()) // 1024)
+    print(f"sequences: patterns {n}, best fit {alone.sequences}, at least {least}")
+    assert n <= alone.sequences and n <= 1.01 * least
+
+
+def test_plan_is_never_worse_than_best_fit():
+    r = np.random.default_rng(4)
+    for k in range(6):
+        h = np.bincount(np.minimum(r.lognormal(5 + k / 3, 1, 3000).astype(int) + 1, 1024), minlength=1025).astype(np.int64)
+        alone = packing.Seats(h, 1024)
+        alone.best_fit()
+        assert sequences_of(packing.plan(h, 1024)) <= alone.sequences

@@ -4,7 +4,7 @@ Only the histogram of piece lengths (one number for each length up to the sequen
 to the driver.  All patterns of one, two or three lengths that fill a sequence exactly are
 enumerated; repeat counts that explain the histogram are fitted by non-negative least squares,
 rounded down to what the histogram holds, and what is left over is packed best-fit on the
-histogram.  The plan says, for every length, which ranks of its pieces go to which sequences and
+histogram; of the fits with patterns of up to one, two and three lengths the best is taken.  The plan says, for every length, which ranks of its pieces go to which sequences and
 offsets; ranks are dealt out in parallel, in buckets, so that a length that a third of the pieces
 share is spread over many tasks.
 """
@@ -142,78 +142,98 @@ def fit(patterns: np.ndarray, histogram: np.ndarray, rounds: int = FIT_ROUNDS) -
     return x * scale
 
 
-def plan(histogram: np.ndarray, size: int) -> list[tuple[int, int, int, int, int]]:
-    """Slots (length, first rank, ranks, first sequence, offset): the ranks of a length that go
-    one by one to consecutive sequences, at one offset."""
-    left = histogram.astype(np.int64).copy()
-    used = np.zeros(size + 1, np.int64)  # ranks dealt out of each length
-    slots: list[tuple[int, int, int, int, int]] = []
-    sequences = 0
-
-    def place(length: int, n: int, first: int, offset: int) -> None:
-        slots.append((length, int(used[length]), n, first, offset))
-        used[length] += n
-        left[length] -= n
-
-    if left[size]:
-        n = int(left[size])
-        place(size, n, sequences, 0)
-        sequences += n
-    if left.sum():
-        patterns = full_patterns(size, left > 0)
-        if len(patterns):
-            x = fit(patterns, left.astype(float))
-            for k in np.argsort(-x, kind="stable"):
-                if x[k] < 0.5:
-                    break
-                parts = [int(v) for v in patterns[k] if v]
-                n = min(int(round(x[k])), *(int(left[v]) // parts.count(v) for v in parts))
-                if n <= 0:
-                    continue
-                offset = 0
-                for v in parts:
-                    place(v, n, sequences, offset)
-                    offset += v
-                sequences += n
-    # best fit of the residuals, longest first, many equal sequences at a time
-    room: dict[int, list[tuple[int, int]]] = {}  # by free space: (first sequence, how many)
-    spaces: list[int] = []
-
-    def open_up(space: int, first: int, n: int) -> None:
-        if space and n:
-            if space not in room:
-                room[space] = []
-                insort(spaces, space)
-            room[space].append((first, n))
-
-    for length in range(size, 0, -1):
-        while left[length]:
-            at = bisect_left(spaces, length)
-            if at < len(spaces):
-                space = spaces[at]
-                first, n = room[space].pop()
-                take = min(n, int(left[length]))
-                if take < n:
-                    room[space].append((first + take, n - take))
-                elif not room[space]:
-                    del room[space]
-                    spaces.pop(at)
-                place(length, take, first, size - space)
-                open_up(space - length, first, take)
+class Seats:
+    """Sequences that fill up: slots (length, first rank, ranks, first sequence, offset), the ranks of a length that
+    go one by one to consecutive sequences at one offset."""
+
+    def __init__(self, histogram: np.ndarray, size: int):
+        self.size = size
+        self.left = histogram.astype(np.int64).copy()
+        self.used = np.zeros(size + 1, np.int64)  # ranks dealt out of each length
+        self.slots: list[tuple[int, int, int, int, int]] = []
+        self.sequences = 0
+
+    def place(self, length: int, n: int, first: int, offset: int) -> None:
+        self.slots.append((length, int(self.used[length]), n, first, offset))
+        self.used[length] += n
+        self.left[length] -= n
+
+    def fill(self, patterns: np.ndarray, times: np.ndarray) -> None:
+        """The patterns as often as their times, rounded, and what is left allow; those with the largest part first,
+        which have the fewest ways to be filled."""
+        wanted = np.flatnonzero(times >= 0.5)
+        for k in wanted[np.lexsort((-times[wanted], -patterns[wanted, 0]))].tolist():
+            parts = [int(v) for v in patterns[k] if v]
+            n = min(int(round(times[k])), *(int(self.left[v]) // parts.count(v) for v in parts))
+            if n <= 0:
                 continue
-            each = size // length
-            n, one = divmod(int(left[length]), each)
-            if n:
-                for k in range(each):
-                    place(length, n, sequences, k * length)
-                open_up(size - each * length, sequences, n)
-                sequences += n
-            if one:
-                for k in range(one):
-                    place(length, 1, sequences, k * length)
-                open_up(size - one * length, sequences, 1)
-                sequences += 1
-    return slots
+            offset = 0
+            for v in parts:
+                self.place(v, n, self.sequences, offset)
+                offset += v
+            self.sequences += n
+
+    def best_fit(self) -> None:
+        """What is left, longest first, each into the fullest sequence that has room; many equal ones at a time."""
+        room: dict[int, list[tuple[int, int]]] = {}  # by free space: (first sequence, how many)
+        spaces: list[int] = []
+
+        def open_up(space: int, first: int, n: int) -> None:
+            if space and n:
+                if space not in room:
+                    room[space] = []
+                    insort(spaces, space)
+                room[space].append((first, n))
+
+        for length in range(self.size, 0, -1):
+            while self.left[length]:
+                at = bisect_left(spaces, length)
+                if at < len(spaces):
+                    space = spaces[at]
+                    first, n = room[space].pop()
+                    take = min(n, int(self.left[length]))
+                    if take < n:
+                        room[space].append((first + take, n - take))
+                    elif not room[space]:
+                        del room[space]
+                        spaces.pop(at)
+                    self.place(length, take, first, self.size - space)
+                    open_up(space - length, first, take)
+                    continue
+                each = self.size // length
+                for n, several in ((int(self.left[length]) // each, each), (1, int(self.left[length]) % each)):
+                    if n and several:
+                        for k in range(several):
+                            self.place(length, n, self.sequences, k * length)
+                        open_up(self.size - several * length, self.sequences, n)
+                        self.sequences += n
+
+
+def plan(histogram: np.ndarray, size: int) -> list[tuple[int, int, int, int, int]]:
+    """The slots of all pieces (see ``Seats``).
+
+    Patterns of three lengths use up the short pieces that the long ones need, so the fit is made with patterns of
+    up to one, two and three lengths, each is filled up by best fit, and the one of the fewest sequences is
+    taken (of several, the one whose patterns place most pieces); best fit alone is among them."""
+    whole = np.zeros(size + 1, np.int64)
+    whole[size] = histogram[size]
+    patterns = full_patterns(size, (histogram - whole) > 0) if (histogram - whole).sum() else np.zeros((0, 3), np.int64)
+    best = None
+    for parts in (3, 2, 1, 0):
+        some = patterns[(patterns > 0).sum(axis=1) <= parts]
+        if parts and not len(some):
+            continue
+        seats = Seats(histogram, size)
+        if whole[size]:
+            seats.place(size, int(whole[size]), 0, 0)
+            seats.sequences = int(whole[size])
+        if parts:
+            seats.fill(some, fit(some, seats.left.astype(float)))
+        placed = int(histogram.sum() - seats.left.sum())
+        seats.best_fit()
+        if best is None or (seats.sequences, -placed) < best[:2]:
+            best = (seats.sequences, -placed, seats.slots)
+    return best[2]
 
 
 def pack(pieces: DataFrame, size: int = 1024) -> DataFrame:
