@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -39,6 +40,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared checkpoint folder, read back: as ``cut``, but packed, and
+    later stages read the columns that they need."""
+    path = f"{checkpoint_root(df.sparkSession)}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def steps(batches, text_index: int = 1):
     """Record batches cut to at most STEP_BYTES of text (one row at least); null text is empty."""
     for batch in batches:

@@ -45,16 +45,21 @@ class Sets:
         return a != b
 
 
-def whole_keys(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+def whole_keys(batches: Iterator[pa.RecordBatch], keys: int, ragged: tuple[int, ...] = ()) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
     """The columns of consecutive rows and a number for each distinct key (the first ``keys`` columns):
-    the rows of one key come together, also across batches.  Binary columns become rows of 64-bit numbers."""
+    the rows of one key come together, also across batches.  Binary columns become rows of 64-bit numbers,
+    those at the places ``ragged`` stay bytes."""
     held: list[np.ndarray] | None = None  # rows of the last key so far
     for batch in batches:
         if not batch.num_rows:
             continue
         columns = []
-        for column in batch.columns:
-            if pa.types.is_binary(column.type):
+        for at, column in enumerate(batch.columns):
+            if at in ragged:
+                values = np.empty(batch.num_rows, object)
+                values[:] = column.to_pylist()
+                columns.append(values)
+            elif pa.types.is_binary(column.type):
                 columns.append(np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(batch.num_rows, -1))
             else:
                 columns.append(column.to_numpy(zero_copy_only=False))
@@ -170,6 +175,95 @@ def candidate_pairs(rows: DataFrame, keys: list[str], columns: list[str], order:
     return dealt.mapInArrow(pairs, "a long, b long").distinct()
 
 
+def verified_links(rows: DataFrame, keys: list[str], columns: list[str], order: list[str], near: Callable, linked: Callable,
+                   ragged: list[str]) -> DataFrame:
+    """Links (a, b) of nodes, a < b, among rows that agree in ``keys``: a forest of each task, which connects
+    every pair that ``near`` passes and ``linked`` confirms.
+
+    ``rows``, sides, ``near`` and ``order`` are those of ``candidate_pairs``; ``linked(own, x, y)`` judges one
+    pair of places for good, on columns that may be ``ragged`` (bytes of any length).  Pairs that the task's links
+    connect already are not judged, and none is judged twice while it is remembered."""
+    names = [*keys, "side", "node", *columns]
+
+    def links(batches):
+        sets = Sets()
+        refused: set[tuple[int, int]] = set()
+        out_a, out_b = [], []
+
+        def flush():
+            a, b = np.array(out_a, np.int64), np.array(out_b, np.int64)
+            out_a.clear(), out_b.clear()
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+        def judge(own, x: int, y: int, a: int, b: int) -> bool:
+            if a == b or sets.root(a) == sets.root(b):
+                return True
+            pair = (a, b) if a < b else (b, a)
+            if pair in refused:
+                return False
+            if linked(own, x, y):
+                sets.join(a, b)
+                out_a.append(a)
+                out_b.append(b)
+                return True
+            if len(refused) >= MOST_PAIRS:
+                refused.clear()
+            refused.add(pair)
+            return False
+
+        def across(side, a, b):
+            return (side[a] != side[b]) | (side[b] == 0)
+
+        def compare(own):
+            """Each row of a long run with the earlier rows of other labels, until one of a label confirms."""
+            side, node = own["side"], own["node"]
+            nodes = node.tolist()
+            label = np.array([sets.root(n) for n in nodes], np.int64)
+            for k in range(1, len(nodes)):
+                if (label == label[0]).all():
+                    return
+                places = np.flatnonzero(label[:k] != label[k])
+                places = places[across(side, places, np.full(len(places), k))]
+                places = places[near(own, places, np.full(len(places), k))]
+                for at in places.tolist():
+                    if label[at] != label[k] and judge(own, at, k, nodes[at], nodes[k]):
+                        label[(label == label[at]) | (label == label[k])] = sets.root(nodes[k])
+
+        for found, number in whole_keys(batches, len(keys), tuple(names.index(c) for c in ragged)):
+            own = dict(zip(names, found))
+            node, side = own["node"], own["side"]
+            nodes = node.tolist()
+            places, begins = runs(number, None)
+            sizes = np.diff(begins)
+            a, b = places[:-1], places[1:]  # neighbours first: that connects most rows that are alike
+            pair = np.repeat(np.arange(len(sizes)), sizes)
+            pair = np.flatnonzero((pair[:-1] == pair[1:]) & across(side, a, b))
+            pair = pair[near(own, a[pair], b[pair])]
+            for x, y in zip(a[pair].tolist(), b[pair].tolist()):
+                judge(own, x, y, nodes[x], nodes[y])
+            several = np.array([at for at in np.flatnonzero(sizes > 2).tolist()
+                                if len({sets.root(n) for n in nodes[begins[at] : begins[at + 1]]}) > 1], np.int64)
+            for size in np.unique(sizes[several[sizes[several] <= SHORT_RUN]]).tolist():
+                alike = several[sizes[several] == size]
+                first, second = np.triu_indices(size, 1)
+                for part in np.array_split(alike, -(-len(alike) * len(first) // MOST_PAIRS)):
+                    at = begins[part][:, None] + np.arange(size)
+                    a, b = at[:, first].ravel(), at[:, second].ravel()
+                    fits = np.flatnonzero(across(side, a, b))
+                    fits = fits[near(own, a[fits], b[fits])]
+                    for x, y in zip(a[fits].tolist(), b[fits].tolist()):
+                        judge(own, x, y, nodes[x], nodes[y])
+            for at in several[sizes[several] > SHORT_RUN].tolist():
+                compare({name: column[begins[at] : begins[at + 1]] for name, column in own.items()})
+            if len(out_a) >= 10_000:
+                yield flush()
+        if out_a:
+            yield flush()
+
+    dealt = rows.select(*names).repartition(*keys).sortWithinPartitions(*keys, *order)
+    return dealt.mapInArrow(links, "a long, b long").distinct()
+
+
 def dealt_blocks(posts: DataFrame, blocks: Column) -> DataFrame:
     """``posts`` (node, ...) with block pair (first, second) and side: a list of one block stays one
     group (0, 0) of side 0; of a list of more, each row goes to every pair of blocks that its own is
@@ -231,9 +325,10 @@ def xxhash_of_numbers(values: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(32)
 
 
-def among(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
+def among(df: DataFrame, column: str, values: DataFrame, inside: bool = True) -> DataFrame:
     """The rows of ``df`` whose number in ``column`` is among ``values`` (one column), and a few others:
-    what a join with ``values`` would find, at hardly any shuffle.  Null is not among them."""
+    what a join with ``values`` would find, at hardly any shuffle.  Null is not among them.  With ``inside``
+    False exactly the rows that this leaves out."""
     shared = df.sparkSession.sparkContext.broadcast(members(values))  # of bounded size
     at = df.columns.index(column)
 
@@ -241,7 +336,8 @@ def among(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
         for batch in batches:
             known = batch.column(at)
             found = shared.value(pc.fill_null(known, 0).to_numpy(zero_copy_only=False))
-            yield batch.filter(pc.and_(pa.array(found), pc.is_valid(known)))
+            wanted = pc.and_(pa.array(found), pc.is_valid(known))
+            yield batch.filter(wanted if inside else pc.invert(wanted))
 
     return df.mapInArrow(keep, df.schema)
 

@@ -38,7 +38,7 @@ def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    freed = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), radius=None, short_lines=True)
+    freed = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), short_lines=True)
     return freed.select("doc_id", "text", "n_lines", "n_dropped", "emptied")
 
 
@@ -96,7 +96,13 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _ALNUM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _SPACED_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
 
-#: DuckDB SQL where SQL can express the operator: over doc_id and vec_id as keys.
+#: CRC-32 of a decimal number ``s``, bit by bit.
+_BYTE = "CASE WHEN i % 8 = 0 THEN CAST(unicode(substr(s, i // 8 + 1, 1)) AS BIGINT) ELSE 0 END"
+_CRC32 = f"""xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), range(0, 8 * length(s))), lambda a, i:
+    CASE WHEN xor(a, {_BYTE}) % 2 = 1 THEN xor(3988292384, xor(a, {_BYTE}) // 2) ELSE xor(a, {_BYTE}) // 2 END))"""
+_DRAW = "CAST('0x' || substr(sha256('1:' || doc_id), {}, 8) AS BIGINT)"
+
+#: DuckDB SQL where SQL can express the operator: over doc_id, vec_id and (conv_id, turn) as keys.
 ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": f"""
         WITH d AS (SELECT doc_id, {_ALNUM_WORDS} AS w FROM documents),
@@ -141,4 +147,42 @@ ORACLE_SQL: dict[str, str] = {
             FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM scored QUALIFY rank <= 20""",
+    "op11_prefix_trie": f"""
+        WITH t AS (
+            SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+                PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+            FROM conversations WHERE conv_id IS NOT NULL),
+        ids AS (SELECT DISTINCT c, CAST(c AS VARCHAR) AS s FROM t),
+        v AS (SELECT c, h, least(h, (SELECT count(*) FROM t m WHERE m.c = ids.c - ids.c % 20)) AS kept
+              FROM ids JOIN (SELECT c AS c2, {_CRC32} % 4 AS h FROM ids) ON c2 = c),
+        turns AS (SELECT v.c, p AS d, role, text FROM v JOIN t ON t.c = v.c - v.c % 20 AND p <= h
+                  UNION ALL SELECT v.c, p - h + kept, role, text FROM v JOIN t ON t.c = v.c AND p > h),
+        paths AS (
+            SELECT c, d, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w,
+                   string_agg(sha256(length(role) || ':' || role || text), '' ORDER BY d) OVER (PARTITION BY c ORDER BY d) AS node FROM turns
+            UNION ALL SELECT c, 0, 0, '' FROM v),
+        tops AS (SELECT *, max(d) OVER (PARTITION BY c) AS last FROM paths),
+        nodes AS (SELECT node, any_value(d) AS d, any_value(w) AS w, min(c) AS c, count(*) AS n,
+                         string_agg(c, ',' ORDER BY c) FILTER (d = last) AS ends FROM tops GROUP BY node),
+        linked AS (SELECT x.*, up.c AS parent_c,
+                          (SELECT count(*) FROM nodes k WHERE k.d = x.d + 1 AND left(k.node, length(x.node)) = x.node) AS children
+                   FROM nodes x LEFT JOIN nodes up ON x.d > 0 AND up.node = left(x.node, length(x.node) - 64)),
+        below AS (SELECT p.node, count(*) FILTER (x.children = 0) AS leaves, sum((x.n - 1) * x.w) AS saved
+                  FROM linked x JOIN paths p ON p.c = x.c AND p.d <= x.d GROUP BY p.node)
+        SELECT c AS conv_id, CAST(d AS BIGINT) AS depth, parent_c AS parent_conv_id, n AS n_convs, children AS n_children, leaves AS n_leaves,
+               CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+        FROM linked JOIN below USING (node)""",
+    "op12_fill_in_middle": f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
+        h AS (SELECT *, {_DRAW.format(1)} % (n + 1) AS x, {_DRAW.format(9)} % (n + 1) AS y,
+                     n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR {_DRAW.format(17)} % 100 >= 90 AS plain,
+                     {_DRAW.format(25)} % 100 < 20 AS spm FROM d),
+        cut AS (SELECT *, least(x, y) AS a, greatest(x, y) AS b FROM h),
+        part AS (SELECT *, left(t, CAST(a AS BIGINT)) AS prefix, substr(t, CAST(a + 1 AS BIGINT), CAST(b - a AS BIGINT)) AS middle,
+                        substr(t, CAST(b + 1 AS BIGINT)) AS suffix FROM cut)
+        SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+               CASE WHEN NOT plain THEN a END AS prefix_chars, CASE WHEN NOT plain THEN b - a END AS middle_chars,
+               sha256(CASE WHEN plain THEN t WHEN spm THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                           ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+               sha256(t) AS restored_sha256 FROM part""",
 }
