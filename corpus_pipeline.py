@@ -25,7 +25,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; a document goes if that leaves nothing of it."""
-    freed = lines.dedup_lines(docs, radius=None, short_lines=True).where("not emptied")
+    freed = lines.dedup_lines(docs, short_lines=True).where("not emptied")
     return freed.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(
         *(F.col(c).cast(t).alias(c) for c, t in docs.dtypes))
 
