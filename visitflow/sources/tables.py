@@ -34,26 +34,35 @@ def _conform(df: DataFrame, schema: T.StructType, required: tuple[str, ...] | No
     ])
 
 
-def read_text_rows(spark: SparkSession, source: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+def read_text_rows(spark: SparkSession, source: str, schema: T.StructType, counts=None) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects) of the text form: lines that do not hold the schema's fields, short ones and
-    ones with a bad number or time among them, are set apart with their text in ``line``."""
+    ones with a bad number or time among them, are set apart with their text in ``line``.
+
+    ``counts`` (a ``plans.counts.TableCounts``) gets, under ``source``, the numbers of lines (``rows``) and of
+    ``rejects`` from the first pass over the returned rows."""
     bad = "_bad_line"
     row = F.from_csv("value", T.StructType([*schema.fields, T.StructField(bad, T.StringType())]).simpleString()[len("struct<"):-1]
                      .replace(":", " "), {**_TEXT_OPTIONS, "columnNameOfCorruptRecord": bad})
     lines = spark.read.text(source).where(F.col("value") != "").select("value", row.alias("row"))
-    return (lines.where(F.col(f"row.{bad}").isNull()).select("row.*").drop(bad),
+    good = lines
+    if counts is not None:
+        # the whole row is read here, so that pruning cannot drop the fields whose errors are counted
+        good = counts.watch(source, lines, rejects=F.count_if(F.col(f"row.{bad}").isNotNull()))
+    return (good.where(F.col(f"row.{bad}").isNull()).select("row.*").drop(bad),
             lines.where(F.col(f"row.{bad}").isNotNull()).select(F.col("value").alias("line")))
 
 
-def _load(spark, source, fmt, schema, required, jdbc_options) -> DataFrame:
+def _load(spark, source, fmt, schema, required, jdbc_options, counts=None) -> DataFrame:
     if fmt == "parquet":
         return _conform(spark.read.parquet(source), schema, required)
     if fmt == "csv":
-        return read_text_rows(spark, source, schema)[0]
+        return read_text_rows(spark, source, schema, counts)[0]
     if fmt == "table":
         return _conform(spark.table(source), schema, required)
     if fmt == "jdbc":
         return _conform(read_jdbc(spark, source, jdbc_options), schema, required)
+    if fmt == "database":
+        return _read_database(spark, source, schema, jdbc_options)
     raise ValueError(f"unknown format {fmt!r}")
 
 
@@ -63,15 +72,20 @@ def read_jdbc(spark: SparkSession, source: str, options: dict[str, str] | None =
     return spark.read.format("jdbc").options(**{"dbtable": source, **(options or {})}).load()
 
 
-def load_visits(spark: SparkSession, source: str, fmt: str = "parquet", jdbc_options: dict[str, str] | None = None) -> DataFrame:
-    """Visits from a parquet path, the text form (``fmt="csv"``; bad lines are left out,
-    ``read_text_rows`` returns them), a catalog table or a database table (``fmt="jdbc"``)."""
-    return _load(spark, source, fmt, VISIT_SCHEMA, None, jdbc_options)
+def _read_database(spark: SparkSession, source: str, schema: T.StructType, options: dict[str, str] | None) -> DataFrame:
+    """A table through ``visitflow.database`` (its ``register`` first): ranges of ``partitionColumn``, filters in the database."""
+    return spark.read.format("visitflow_db").options(**{**(options or {}), "table": source}).schema(schema).load()
+
+
+def load_visits(spark: SparkSession, source: str, fmt: str = "parquet", jdbc_options: dict[str, str] | None = None, counts=None) -> DataFrame:
+    """Visits from a parquet path, the text form (``fmt="csv"``; bad lines are left out and counted
+    in ``counts``, ``read_text_rows`` returns them), a catalog table or a database table (``fmt="jdbc"`` or ``"database"``)."""
+    return _load(spark, source, fmt, VISIT_SCHEMA, None, jdbc_options, counts)
 
 
-def load_users(spark: SparkSession, source: str, fmt: str = "parquet", jdbc_options: dict[str, str] | None = None) -> DataFrame:
+def load_users(spark: SparkSession, source: str, fmt: str = "parquet", jdbc_options: dict[str, str] | None = None, counts=None) -> DataFrame:
     """Users, from the same sources as visits; only the user id is required."""
-    return _load(spark, source, fmt, USER_SCHEMA, USER_REQUIRED, jdbc_options)
+    return _load(spark, source, fmt, USER_SCHEMA, USER_REQUIRED, jdbc_options, counts)
 
 
 def load_blacklist(
@@ -85,7 +99,10 @@ def load_blacklist(
     A missing parquet folder is an empty blacklist.  With ``fmt="jdbc"`` the table is read
     through Spark's JDBC source; used as the static side of a streaming join, a JDBC relation
     is re-read in every micro-batch, whereas a parquet listing is fixed when the query starts.
+    ``fmt="database"`` reads it through ``visitflow.database``, also again in every micro-batch.
     """
+    if fmt == "database":
+        return _read_database(spark, source or "ad_blacklist", BLACKLIST_SCHEMA, jdbc_options)
     if fmt == "jdbc":
         return _conform(read_jdbc(spark, source or "ad_blacklist", jdbc_options), BLACKLIST_SCHEMA)
     if source is None:
