@@ -16,7 +16,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from visitflow.config import SESSION_CONF, build_session
-from visitflow.plans import ad_report, session_job
+from visitflow.plans import TableCounts, ad_report, session_job
 from visitflow.schemas import USER_SCHEMA, VISIT_SCHEMA
 from visitflow.sources import (
     load_blacklist, load_users, load_visits, parse_clicks, read_click_files, read_click_stream,
@@ -74,13 +74,16 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
     spark = _session(args)
     if args.cmd == "session":
-        visits = load_visits(spark, args.visits, args.format)
-        users = load_users(spark, args.users, args.format)
+        counts = TableCounts()
+        visits = load_visits(spark, args.visits, args.format, counts=counts)
+        users = load_users(spark, args.users, args.format, counts=counts)
         if args.format == "csv":
             for name, path, schema in (("visits", args.visits, VISIT_SCHEMA), ("users", args.users, USER_SCHEMA)):
                 read_text_rows(spark, path, schema)[1].write.mode("overwrite").text(f"{args.out}/rejected_{name}")
         session_job(spark, visits, users, args.start, args.end, out_dir=args.out, task_id=args.task_id,
-                    sample_size=args.sample_size, seed=args.seed)
+                    sample_size=args.sample_size, seed=args.seed, counts=counts)
+        for name, found in counts.all().items():
+            print(name, *(f"{k}={v}" for k, v in found.items()))
     elif args.cmd == "ads":
         clicks, rejects = parse_clicks(read_click_files(spark, args.clicks_dir, streaming=False))
         blacklist = load_blacklist(spark, args.blacklist) if args.blacklist else None

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitflow.functions.buckets import (
@@ -84,6 +84,21 @@ def session_histogram(summary: DataFrame, **edges) -> DataFrame:
     )
 
 
+def histogram_metrics() -> dict[str, Column]:
+    """The histogram's counts as aggregates over a summary, to be observed while it is written."""
+    dur = duration_bucket(seconds_between(F.col("start_time"), F.col("end_time")))
+    pages = page_bucket(F.col("page_count"))
+    return {**{label: F.count_if(dur == label) for label in DURATION_LABELS},
+            **{label: F.count_if(pages == label) for label in (*PAGE_LABELS, OTHER_LABEL)},
+            SESSION_COUNT_LABEL: F.count(F.lit(1))}
+
+
+def histogram_rows(counted: dict[str, int]) -> list[tuple[str, int]]:
+    """The rows of ``session_histogram`` from observed ``histogram_metrics``."""
+    labels = [*DURATION_LABELS, *PAGE_LABELS, OTHER_LABEL, SESSION_COUNT_LABEL]
+    return [(label, int(counted[label])) for label in labels if label != OTHER_LABEL or counted[label]]
+
+
 def session_histogram_share(summary: DataFrame, **edges) -> DataFrame:
     """``(bucket, session_count, share)`` with ``share = session_count / sessionCount`` (null
     when there are no sessions); ``other`` only when non-empty."""

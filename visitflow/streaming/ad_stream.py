@@ -24,6 +24,13 @@ The counts run in ``update`` mode and write running totals keyed by the table ke
 micro-batch rewrites the same values.  A date's log is folded before it grows beyond a fixed number
 of batches, and a micro-batch reads the folders of its own dates alone.
 
+``heavy``   (``detect="state"``) instead of the counts' threshold: ``transformWithState`` reports a user at
+            the click that makes them heavy, once, and forgets days that have ended.
+
+With a ``database`` the tables live there instead: their rows carry the query and epoch that wrote them, so a
+replayed or late task changes nothing (``visitflow.database``), and the blacklist is read again from the
+database in every micro-batch.  No log of batches is kept.
+
 ``trend`` and ``minute`` hold windows, so they need ``watermark_delay``: state of windows that the
 watermark has passed is dropped, and so are clicks later than that, whose number
 ``AdStream.late_clicks()`` reports.  The running totals are kept for ever unless
@@ -42,13 +49,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from visitflow.database import Database, register, stream_query
 from visitflow.functions.predicates import all_not_null
 from visitflow.operators.ads import ad_minute_counts, ad_trend, filter_blacklisted, province_top_ads
-from visitflow.schemas import CLICK_SCHEMA, TABLE_KEYS
+from visitflow.schemas import BLACKLIST_SCHEMA, CLICK_SCHEMA, TABLE_KEYS
 from visitflow.sinks.parquet import (
     BATCH_COL, fold, folder_exists, read_groups, read_upserted, replace_groups, upsert,
 )
 from visitflow.sources.clicks import TYPED_COLUMNS, parse_click_lines
+from visitflow.streaming.heavy import heavy_clickers
 
 DAILY_KEYS = TABLE_KEYS["ad_daily_count"]
 REGION_KEYS = TABLE_KEYS["ad_stat"]
@@ -212,7 +221,8 @@ def _upsert_batch(name: str, path: str, keys: list[str], columns: list[str], wri
     return run
 
 
-def _user_batch(out_dir: str, threshold: int, blacklist_table: str, write_table):
+def _user_batch(out_dir: str, threshold: int | None, blacklist_table: str, write_table):
+    """Counts per user; with ``threshold`` users that reach it are listed."""
     counts_path = f"{out_dir}/ad_user_click_count"
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -220,16 +230,67 @@ def _user_batch(out_dir: str, threshold: int, blacklist_table: str, write_table)
         changed = batch.select(*USER_KEYS, "click_count").persist()
         try:
             _logged("ad_user_click_count", counts_path, USER_KEYS, changed, batch_id, _dates(changed), write_table)
-            heavy = changed.where(F.col("click_count") >= int(threshold)).select("user_id").distinct()
             # a listed user whose count keeps growing is not written again (compared with the
             # table before this batch).  The table is a set read with ``distinct``: a replayed
             # batch may append its users a second time, which changes nothing.  (Spark does not
             # let a write overwrite a table it also reads, even another partition of it.)
-            known = spark.table(blacklist_table).where(F.col(BATCH_COL) < int(batch_id)).select("user_id")
-            new = heavy.join(known, "user_id", "left_anti")
-            if write_table is not None:  # before the own table: a replay must write them again
-                write_table("ad_blacklist", new, batch_id)
-            new.select("user_id", F.lit(int(batch_id)).cast("long").alias(BATCH_COL)).write.insertInto(blacklist_table)
+            if threshold is not None:
+                heavy = changed.where(F.col("click_count") >= int(threshold)).select("user_id").distinct()
+                _list_users(spark, heavy, batch_id, blacklist_table, write_table)
+        finally:
+            changed.unpersist()
+
+    return run
+
+
+def _list_users(spark: SparkSession, heavy: DataFrame, batch_id: int, blacklist_table: str, write_table) -> None:
+    """Add the users that the blacklist table did not have before this batch."""
+    known = spark.table(blacklist_table).where(F.col(BATCH_COL) < int(batch_id)).select("user_id")
+    new = heavy.join(known, "user_id", "left_anti")
+    if write_table is not None:  # before the own table: a replay must write them again
+        write_table("ad_blacklist", new, batch_id)
+    new.select("user_id", F.lit(int(batch_id)).cast("long").alias(BATCH_COL)).write.insertInto(blacklist_table)
+
+
+def _heavy_batch(blacklist_table: str, write_table):
+    def run(batch: DataFrame, batch_id: int) -> None:
+        found = batch.select("user_id").persist()
+        try:
+            _list_users(batch.sparkSession, found, batch_id, blacklist_table, write_table)
+        finally:
+            found.unpersist()
+
+    return run
+
+
+def _daily_into(database: Database, top_n: int):
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark, query = batch.sparkSession, stream_query(batch.sparkSession)
+        changed = batch.select(*DAILY_KEYS, "click_count").persist()
+        try:
+            database.upsert(changed, "ad_daily_count", DAILY_KEYS, batch_id, query)
+            dates = _dates(changed)
+            if not dates:
+                return
+            # the dates are a filter of the database's query
+            current = database.read(spark, "ad_daily_count", changed.schema).where(F.col("click_date").isin(dates))
+            touched = changed.select(*GROUP_KEYS).distinct()
+            top = province_top_ads(current.join(touched, GROUP_KEYS, "left_semi"), top_n)
+            database.replace_groups(top, "ad_province_top3", GROUP_KEYS, batch_id, query)
+        finally:
+            changed.unpersist()
+
+    return run
+
+
+def _user_into(database: Database, threshold: int):
+    def run(batch: DataFrame, batch_id: int) -> None:
+        query = stream_query(batch.sparkSession)
+        changed = batch.select(*USER_KEYS, "click_count").persist()
+        try:
+            database.upsert(changed, "ad_user_click_count", USER_KEYS, batch_id, query)
+            heavy = changed.where(F.col("click_count") >= int(threshold)).select("user_id").distinct()
+            database.upsert(heavy, "ad_blacklist", TABLE_KEYS["ad_blacklist"], batch_id, query)
         finally:
             changed.unpersist()
 
@@ -282,6 +343,8 @@ def start_ad_stream(
     blacklist_table: str | None = None,
     count_watermark_delay: str | None = None,
     write_table: Callable[[str, DataFrame, int], None] | None = None,
+    database: Database | None = None,
+    detect: str = "counts",
 ) -> AdStream:
     """Start the ad stream on ``lines`` (a streaming frame with a ``value`` column, e.g. from
     ``read_click_stream`` or ``read_click_files``).
@@ -312,7 +375,13 @@ def start_ad_stream(
     ``write_table(name, rows, batch_id)`` gets the changed rows of every table in every
     micro-batch, e.g. ``jdbc_writer(url, execute)``; a replayed batch gives the same rows again.
     New users of ``ad_blacklist`` come the same way, so a ``blacklist_loader`` that reads the
-    database sees them."""
+    database sees them.
+
+    ``database`` keeps all result tables there (created if missing) instead of under ``out_dir``, which then holds
+    the clean clicks, the rejected lines and the checkpoints; every replayed epoch leaves them as they are.
+    ``detect="state"`` finds heavy clickers by ``streaming.heavy`` and needs ``state_store="rocksdb"``."""
+    if detect not in ("counts", "state"):
+        raise ValueError(f"unknown detect {detect!r}")
     if spark.conf.get("spark.sql.session.timeZone").upper() not in ("UTC", "ETC/UTC", "Z", "GMT", "+00:00"):
         raise ValueError("the ad stream counts days in UTC: set spark.sql.session.timeZone to UTC")
     if not watermark_delay:
@@ -336,8 +405,13 @@ def start_ad_stream(
 
     clean_path, rejected_path = handle.table("clean_clicks"), handle.table("rejected_lines")
     table = blacklist_table or blacklist_table_name(out_dir)
-    ensure_blacklist_table(spark, table, handle.table("ad_blacklist"))
-    handle.blacklist_table = table
+    if database is None:
+        ensure_blacklist_table(spark, table, handle.table("ad_blacklist"))
+        handle.blacklist_table = table
+    else:
+        register(spark)
+        database.create_table("ad_blacklist", BLACKLIST_SCHEMA, TABLE_KEYS["ad_blacklist"])
+        blacklist_loader = blacklist_loader or (lambda session: database.read(session, "ad_blacklist", BLACKLIST_SCHEMA))
 
     def sink(name: str, frame: DataFrame, path: str) -> None:
         # Spark's file sink: exactly once through its commit log, which readers use instead of
@@ -365,17 +439,41 @@ def start_ad_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     clicks = reader.parquet(clean_path)
+    timed = clicks.withWatermark("ts", watermark_delay)
+    heavy = heavy_clickers(clicks, threshold, watermark_delay) if detect == "state" else None
+    trend = ad_trend(timed, window_minutes, method="window_chain" if trend_method == "chain" else "window")
+    trend_mode = "append" if trend_method == "chain" else "update"
+    if database is not None:
+        def keep(name: str, table_name: str, frame: DataFrame, mode: str = "update") -> None:
+            keys = TABLE_KEYS[table_name]
+            frame = frame.select(*dict.fromkeys([*keys, *(c for c in ("minute", "click_count") if c in frame.columns)]))
+            database.create_table(table_name, frame.schema, keys)
+            handle.queries[name] = database.stream(frame, table_name, f"{ckpt}/{name}", keys, mode).trigger(**trigger).start()
+
+        daily, users = (_counted(clicks, keys, count_watermark_delay) for keys in (DAILY_KEYS, USER_KEYS))
+        for table_name, frame, keys in (("ad_daily_count", daily, DAILY_KEYS), ("ad_province_top3", daily, DAILY_KEYS),
+                                        ("ad_user_click_count", users, USER_KEYS)):
+            database.create_table(table_name, frame.select(*keys, "click_count").schema, TABLE_KEYS[table_name])
+        start("daily", daily, _daily_into(database, top_n))
+        if heavy is None:
+            start("user", users, _user_into(database, threshold))
+        else:
+            keep("user", "ad_user_click_count", users)
+            keep("heavy", "ad_blacklist", heavy, "append")
+        keep("region", "ad_stat", _counted(clicks, REGION_KEYS, count_watermark_delay))
+        keep("trend", "ad_click_trend", trend, trend_mode)
+        keep("minute", "ad_minute_count", ad_minute_counts(timed))
+        return handle
     start("daily", _counted(clicks, DAILY_KEYS, count_watermark_delay), _daily_batch(out_dir, top_n, write_table))
     start("region", _counted(clicks, REGION_KEYS, count_watermark_delay),
           _upsert_batch("ad_stat", handle.table("ad_stat"), REGION_KEYS, [*REGION_KEYS, "click_count"], write_table))
-    start("user", _counted(clicks, USER_KEYS, count_watermark_delay), _user_batch(out_dir, threshold, table, write_table))
-    timed = clicks.withWatermark("ts", watermark_delay)
+    start("user", _counted(clicks, USER_KEYS, count_watermark_delay),
+          _user_batch(out_dir, threshold if heavy is None else None, table, write_table))
+    if heavy is not None:
+        start("heavy", heavy, _heavy_batch(table, write_table), mode="append")
     trend_sink = _upsert_batch("ad_click_trend", handle.table("ad_click_trend"), TREND_KEYS,
                                [*TREND_KEYS, "minute", "click_count"], write_table)
-    if trend_method == "chain":
-        start("trend", ad_trend(timed, window_minutes, method="window_chain"), trend_sink, mode="append")
-    else:
-        start("trend", ad_trend(timed, window_minutes, method="window"), trend_sink)
+    start("trend", trend, trend_sink, mode=trend_mode)
     start("minute", ad_minute_counts(timed),
           _upsert_batch("ad_minute_count", handle.table("ad_minute_count"), MINUTE_KEYS, [*MINUTE_KEYS, "click_count"], write_table))
     return handle
