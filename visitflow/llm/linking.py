@@ -283,18 +283,6 @@ def in_lists(posts: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     return dealt_blocks(posts.join(lists, "key"), F.ceil(F.col("n_rows") / block_rows)).drop("n_rows")
 
 
-def in_sampled_lists(posts: DataFrame, block_rows: int = BLOCK_ROWS, one_in: int = 32) -> DataFrame:
-    """dealt_blocks() of all rows (key, node, ...), where a key's rows are estimated from one node in
-    ``one_in``: the estimate decides how a long list is dealt out, never what is compared."""
-    sample = posts.where(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(one_in)) == 0)
-    long_lists = cut(
-        sample.groupBy("key").agg((F.count(F.lit(1)) * one_in).alias("n_rows")).where(F.col("n_rows") > max(2 * block_rows, 8 * one_in)))
-    if long_lists.isEmpty():
-        return posts.select("*", *(F.lit(0).alias(c) for c in ("first", "second", "side")))
-    blocks = F.ceil(F.coalesce("n_rows", F.lit(1)) / block_rows)
-    return dealt_blocks(posts.join(long_lists, "key", "left"), blocks).drop("n_rows")
-
-
 #: Bits of a membership table for each member, and at most (16 MB): beyond that more strangers pass.
 BITS_EACH, MOST_BITS = 16, 1 << 27
 
