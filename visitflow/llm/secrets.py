@@ -1,7 +1,7 @@
 """Operator 8: secret scans with a random forest, with DataFrame functions only.
 
-A regular expression gives candidates: strings of key-like characters that hold a digit.  Each is
-described by its length, its character classes and the transitions between them, how much of it
+A regular expression gives candidates: strings of key-like characters that hold a digit, whatever is
+assigned to a credential word, and the password of a URL.  Each is described by its length, its character classes and the transitions between them, how much of it
 words of the corpus' own dictionary cover, the path (source) and the words around it.  A random
 forest trained on labelled findings says which candidates are secrets; the rest are false positives.
 """
@@ -16,10 +16,17 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
+_KEY = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
+#: Six characters or more behind a credential word and an assignment.  Java looks back over a bounded number of
+#: places only; the short looks in front spare the long one at most places.
+_VALUE = (r"(?<=[:=\s\"'])(?<=[:=]\s{0,2}[\"']?)"
+          r"(?<=(?i:pass|passwd|password|passphrase|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|auth)[\"']?\s{0,2}[:=]\s{0,2}[\"']?)"
+          r"(?![\"'=:])[^\s\"'<>&;,]{6,}+")
+_URL = r"(?<=:)(?<=://[^\s/:@]{1,40}:)[^\s/@\"'<>]{3,}+(?=@)"
+CANDIDATE = f"{_KEY}|{_VALUE}|{_URL}"
 CONTEXT = 40
-#: A dictionary word occurs at least so often; at most so many words, the most frequent ones, are kept.
-MIN_TIMES, MAX_WORDS = 20, 20_000
+#: A dictionary word is at least one in so many of all words, and occurs twice or more.
+WORD_SHARE = 1_000_000
 MAX_TRAINING, TREES, DEPTH, SEED = 20_000, 30, 6, 7
 _ASSIGNED = r"(?i)(?:pass(?:word|wd|phrase)?|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth)[a-z_-]*[\"']?\s*[:=]\s*[\"']?$"
 _PLAIN = r"(?i)(?:commit|revision|sha\d*|md5|checksum|digest|hash|uuid|build|version|etag|integrity)[a-z_-]*[\"']?\s*[:=]?\s*[\"']?$"
@@ -49,10 +56,13 @@ def candidates(docs: DataFrame) -> DataFrame:
         .select("doc_id", "h", F.element_at("begins", F.col("row.i") + 1).alias("begin"), "row.value", "row.before", "row.behind", "path"))
 
 
-def dictionary(docs: DataFrame, min_times: int = MIN_TIMES, max_words: int = MAX_WORDS) -> DataFrame:
-    """The most frequent words (three letters or more, lower case) of all documents; max_words at most."""
+def dictionary(docs: DataFrame, share: int = WORD_SHARE) -> DataFrame:
+    """(word) of three letters or more, lower case, that occur twice or more and at least once in ``share`` words of
+    all documents: what counts as a word does not change with the size of a corpus of the same kind."""
     words = docs.select(F.explode(F.split(F.lower("text"), r"\P{L}+")).alias("word")).where(F.length("word") >= 3)
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") >= min_times).orderBy(F.desc("times"), "word").limit(max_words).select("word")
+    counted = cut(words.groupBy("word").agg(F.count(F.lit(1)).alias("times")).where("times > 1"))
+    total = counted.agg(F.sum("times").alias("total"))  # one row
+    return counted.join(F.broadcast(total), F.col("times") * share >= F.col("total")).select("word")
 
 
 def _share(value: Column, pattern: str) -> Column:
@@ -64,7 +74,7 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
     values = found.select("value").distinct()
     runs = values.select("value", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("value"), F.lit(r"\p{L}{3,}"), F.lit(0)))).alias("word"))
     covered = (
-        runs.join(F.broadcast(words), "word")  # max_words words
+        runs.join(words, "word")
         .groupBy("value").agg(F.sum(F.length("word")).alias("covered")))
     value, before = F.col("value"), F.col("before")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "[0-9]", "\u0001"), "[a-z]", "\u0002"), "[A-Z]", "\u0003"), "[^\u0001-\u0003]", "\u0004")
@@ -117,8 +127,8 @@ def scan(docs: DataFrame, labels: DataFrame | None = None, threshold: float = 0.
 
     ``labels`` (value, label 0 or 1): labelled findings; without them rule_labels() of the corpus.
     Null and empty texts have no candidate; rows that repeat doc_id and text are one; a null path
-    is no test path; without labels of both kinds every score is the share of secrets; an empty
-    table gives no row; other columns are not read."""
+    is no test path; without labels of both kinds every score is the share of secrets (0.5 without any) and nothing
+    is marked as a secret; an empty table gives no row; other columns are not read."""
     path = F.col(path_col).cast("string") if path_col in docs.columns else F.lit(None).cast("string")
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), path.alias("path"))
     found = cut(candidates(docs))
@@ -131,4 +141,4 @@ def scan(docs: DataFrame, labels: DataFrame | None = None, threshold: float = 0.
         scored = forest.transform(features).withColumn("score", vector_to_array("probability")[1])
     return scored.select(
         "doc_id", "begin", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"), held_out().alias("held_out"),
-        "score", (F.col("score") >= threshold).alias("secret"))
+        "score", (F.lit(forest is not None) & (F.col("score") >= threshold)).alias("secret"))
