@@ -235,9 +235,8 @@ def verified_links(rows: DataFrame, keys: list[str], columns: list[str], order:
             nodes = node.tolist()
             places, begins = runs(number, None)
             sizes = np.diff(begins)
-            a, b = places[:-1], places[1:]  # neighbours first: that connects most rows that are alike
-            pair = np.repeat(np.arange(len(sizes)), sizes)
-            pair = np.flatnonzero((pair[:-1] == pair[1:]) & across(side, a, b))
+            a, b = np.repeat(begins[:-1], sizes), places  # the first row of a run with all others: that connects most
+            pair = np.flatnonzero((a != b) & across(side, a, b))
             pair = pair[near(own, a[pair], b[pair])]
             for x, y in zip(a[pair].tolist(), b[pair].tolist()):
                 judge(own, x, y, nodes[x], nodes[y])
@@ -260,7 +259,7 @@ def verified_links(rows: DataFrame, keys: list[str], columns: list[str], order:
         if out_a:
             yield flush()
 
-    dealt = rows.select(*names).repartition(*keys).sortWithinPartitions(*keys, *order)
+    dealt = rows.select(*names, *(c for c in order if c not in names)).repartition(*keys).sortWithinPartitions(*keys, *order).select(*names)
     return dealt.mapInArrow(links, "a long, b long").distinct()
 
 
