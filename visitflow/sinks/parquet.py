@@ -6,7 +6,8 @@ partition overwrite, and readers take, per key, the row of the highest batch.  W
 ``N`` twice (a replayed micro-batch) replaces partition ``N`` with the same rows, so replays
 are idempotent without any bookkeeping; writing costs O(changed rows), never a rewrite of the
 table.  ``fold`` keeps the log of a date short: before a batch is written, a date with more than
-``FOLD_ABOVE`` batches gets its current rows appended to its last batch and loses the others.
+``FOLD_ABOVE`` batches since the last fold gets its current rows appended to its last batch; the others are
+deleted one fold later, so a reader that has listed them still finds them.
 """
 
 from __future__ import annotations
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BATCH_COL = "batch_id"
-#: A date's log holds at most so many batches (and the one being written).
+#: A date is folded when it has more batches since its last fold; its log holds at most twice as many and a few.
 FOLD_ABOVE = 12
+#: A file of this name and a batch id, beside the batches, notes a fold into that batch.
+_FOLDED = "_folded_"
 
 
 def _writer(df: DataFrame, partition_cols: Sequence[str]):
@@ -98,22 +101,38 @@ def fold(
 ) -> None:
     """Shorten the logs of ``dates`` before batch ``batch_id`` is written.
 
-    A date with more than ``above`` earlier batches gets its current rows appended to the last of
-    them; only then are the others deleted.  A crash in between leaves rows that agree with each
-    other, and earlier batches are never written again, so a replay folds to the same rows.
+    A date with more than ``above`` earlier batches since its last fold gets its current rows appended to the last of
+    them, then the fold is noted, and only then are the batches deleted that the fold before had made superfluous:
+    a reader that listed the folder since then finds its files.  A crash in between leaves rows that agree
+    with each other, and earlier batches are never written again, so a replay folds to the same rows.
     ``dates`` are those of one micro-batch; no other folder is listed."""
     for date in dates:
         folder = f"{path}/{date_col}={date}"
         earlier = [b for b in batches_of(spark, folder) if b < int(batch_id)]
-        if len(earlier) <= above:
+        noted = _folds_of(spark, folder)
+        last = max(noted, default=-1)
+        if sum(b > last for b in earlier) <= above:
             continue
-        log = spark.read.option("basePath", path).parquet(*(f"{folder}/{BATCH_COL}={b}" for b in earlier))
-        current = _last_groups(log, keys) if groups else _last_rows(log, keys)
-        stored = [c for c in current.columns if c != date_col]
-        current.select(*stored).write.mode("append").parquet(f"{folder}/{BATCH_COL}={earlier[-1]}")
-        fs, _ = _folder(spark, folder)
-        for b in earlier[:-1]:
-            fs.delete(_folder(spark, f"{folder}/{BATCH_COL}={b}")[1], True)
+        current = [b for b in earlier if b >= last]  # the fold into ``last`` holds what came before
+        log = spark.read.option("basePath", path).parquet(*(f"{folder}/{BATCH_COL}={b}" for b in current))
+        rows = _last_groups(log, keys) if groups else _last_rows(log, keys)
+        rows.select(*(c for c in rows.columns if c != date_col)).write.mode("append").parquet(f"{folder}/{BATCH_COL}={earlier[-1]}")
+        fs, mark = _folder(spark, f"{folder}/{_FOLDED}{earlier[-1]}")
+        fs.createNewFile(mark)
+        for b in earlier:
+            if b < last:
+                fs.delete(_folder(spark, f"{folder}/{BATCH_COL}={b}")[1], True)
+        for b in noted:
+            fs.delete(_folder(spark, f"{folder}/{_FOLDED}{b}")[1], False)
+
+
+def _folds_of(spark: SparkSession, folder: str) -> list[int]:
+    """The batches into which a date was folded: one, or two after a crash."""
+    fs, place = _folder(spark, folder)
+    if not fs.exists(place):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(place)]
+    return sorted(int(n[len(_FOLDED):]) for n in names if n.startswith(_FOLDED))
 
 
 def _read_log(spark: SparkSession, path: str, date_col: str | None = None, dates: Sequence | None = None) -> DataFrame | None:
