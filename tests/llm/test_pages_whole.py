@@ -43,6 +43,22 @@ def test_shared_lines_go_where_no_article_is_marked(spark):
     assert got[40] == "Story 40 has a text of its own 40\nSend to a friend"
 
 
+def test_marked_articles_are_differenced_too(spark):
+    """What the neighbours on both sides share and most pages of the host have goes from inside a marked article; a
+    heading, what only a few neighbours share, and the article of a copy stay."""
+    box = "<p>Subscribe to our daily letter</p>"
+    said = dict.fromkeys((4, 5, 6), "<p>Quoted by three</p>")
+    page = lambda k: f"<nav>Menu</nav><article><h2>Facts</h2><p>Story {k} has a text of its own {k}</p>{said.get(k, '')}{box}</article>"
+    rows = [(k, f"http://a.org/{k}", page(k)) for k in range(10)] + [(20 + k, f"http://b.org/{k}", f"<article>{STORY}</article>") for k in range(4)]
+    rows += [(30, "http://c.org/1", page(30)), (31, "http://c.org/2", page(31))]
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
+    for k in range(1, 9):
+        assert got[k] == f"Facts\nStory {k} has a text of its own {k}" + ("\nQuoted by three" if k in said else "")
+    for k in (0, 9, 30, 31):  # one neighbour alone confirms nothing
+        assert got[k] == f"Facts\nStory {k} has a text of its own {k}\nSubscribe to our daily letter"
+    assert all(got[20 + k] == TEXT for k in range(4))
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the driver's tables")
 def test_marked_articles_keep_every_line(spark):
     rows = spark.read.parquet(f"{SF}/pages.parquet").collect()

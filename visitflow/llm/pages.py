@@ -3,8 +3,10 @@
 Pages are ordered by host and URL path; each is paired with the neighbour of its host whose path
 is most like its own.  The text lines (blocks) of both are aligned by a longest common subsequence, and shared
 lines are the site's template and go.  What the markup itself names as no part of the article
-(menus, forms, scripts, advert and comment boxes ...) goes as well.  Where the page marks its article, the markup
-decides alone: a line inside it that one neighbour shares is as likely a heading or a quotation as a template.
+(menus, forms, scripts, advert and comment boxes ...) goes as well.  Where the page marks its article, a line inside it
+that one neighbour shares is as likely a quotation as a template: there it goes only if the neighbour on the
+other side and most pages of the host have it too and it is no heading, and none goes where such lines are most of
+the article (a copy).
 
 Only line hashes and URLs are sorted and paired.  Pages that lose no line to their neighbour are read
 where they are; only the others are shuffled, to meet their shared line numbers.  Neighbours across partitions come from the partitions' first and
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, steps
-from .linking import members
+from .linking import among, members
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -47,18 +49,25 @@ _NAMED = re.compile(
 #: Classes that say what a box has or is filed under, not what it is.
 _ABOUT = re.compile(r"(?:has|with|without|no|category|tag|cat|type|format|status)-", re.I)
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Bits of alignment table held at once; larger pairs are halved first.
 TABLE_BITS = 1 << 28
 
 
 def blocks_of(page: str) -> list[tuple[str, bool, bool]]:
-    """(text, outside, article) of each block: whether the markup puts it outside the article, and
-    whether it lies in an article (or, without one, main) element.
+    """(text, outside, article) of each block, see ``headed_blocks``."""
+    return [block[:3] for block in headed_blocks(page)]
+
+
+def headed_blocks(page: str) -> list[tuple[str, bool, bool, bool]]:
+    """(text, outside, article, heading) of each block: whether the markup puts it outside the article,
+    whether it lies in an article (or, without one, main) element, and whether in a heading.
 
     A box that holds most of the page's text and leaves less than a tenth of it is the page's own
     frame and puts nothing outside; an article (or main) element is outside by its name only where
     another is not."""
     found: list[tuple[str, frozenset, bool, bool]] = []
+    headings: list[bool] = []
     parts: list[str] = []
     stack: list[tuple[str, int]] = []  # open elements, and the number of the box if they are no part of the article
     boxes: list[str] = [""]  # the elements of the boxes by number
@@ -70,6 +79,7 @@ def blocks_of(page: str) -> list[tuple[str, bool, bool]]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 found.append((text, open_boxes, articles > 0, mains > 0))
+                headings.append(any(name in _HEADINGS for name, _ in stack))
             parts.clear()
 
     def leave(k: int):
@@ -124,7 +134,7 @@ def blocks_of(page: str) -> list[tuple[str, bool, bool]]:
     flush()
     outside = _outside(found, boxes)
     marked = 2 if any(f[2] and not out for f, out in zip(found, outside)) else 3
-    return [(f[0], out, f[marked]) for f, out in zip(found, outside)]
+    return [(f[0], out, f[marked], heading) for f, out, heading in zip(found, outside, headings)]
 
 
 def _outside(found: list, boxes: list[str]) -> list[bool]:
@@ -232,28 +242,31 @@ def _hash(text: str) -> int:
 
 def described(pages: DataFrame) -> DataFrame:
     """Each distinct page's key (host, path, page_id, hash of url and html), whether it marks an article
-    that holds text, and its lines' hashes."""
+    that holds text, its lines' hashes, and the numbers of the lines that may be template: all, but of a marked
+    article's page those inside it that are no headings."""
 
     def describe(batches):
         for batch in steps(batches, 2):
-            columns: list[list] = [[], [], [], [], []]
+            columns: list[list] = [[], [], [], [], [], []]
             for url, page in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 host, path = place_of(url)
-                blocks = blocks_of(page or "")
-                marked = any(article and not out for _, out, article in blocks)
-                row = (host, path, _hash(f"{url}\n{page or ''}"), marked, [_hash(t) for t, _, _ in blocks])
+                blocks = headed_blocks(page or "")
+                marked = any(article and not out for _, out, article, _ in blocks)
+                asked = [k for k, (_, out, article, heading) in enumerate(blocks) if article and not out and not heading] if marked else list(range(len(blocks)))
+                row = (host, path, _hash(f"{url}\n{page or ''}"), marked, [_hash(block[0]) for block in blocks], asked)
                 for column, value in zip(columns, row):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), batch.column(0), pa.array(columns[2], pa.int64()),
-                 pa.array(columns[3], pa.bool_()), pa.array(columns[4], pa.list_(pa.int64()))], [*KEY, "marked", "lines"])
+                 pa.array(columns[3], pa.bool_()), *(pa.array(c, pa.list_(pa.int64())) for c in columns[4:])], [*KEY, "marked", "lines", "asked"])
 
-    return pages.mapInArrow(describe, _KEY_SCHEMA + ", marked boolean, lines array<long>").dropDuplicates(["page_id", "h"])
+    return pages.mapInArrow(describe, _KEY_SCHEMA + ", marked boolean, lines array<long>, asked array<long>").dropDuplicates(["page_id", "h"])
 
 
 def partners(keys: DataFrame) -> DataFrame:
     """page_id, h and its partner's (other_page_id, other_h): the neighbour of the same host, in the
-    order of paths, with the longer common path; the one before if both are alike."""
+    order of paths, with the longer common path; the one before if both are alike.  A second row, its
+    ``nearest`` False, for the neighbour on the other side, if there is one."""
     ordered = cut(keys.select(*KEY).repartitionByRange(*KEY).sortWithinPartitions(*KEY))
 
     def ends(batches):
@@ -276,58 +289,85 @@ def partners(keys: DataFrame) -> DataFrame:
         behind = next((e[2:] for e in edges if e[0] > part), None)
         held = None
 
-        def row(last, own, following):
+        def rows(last, own, following):
             near = [x for x in (last, following) if x is not None and x[0] == own[0]]
-            best = max(near, key=lambda x: alike(x[1], own[1]), default=None)
-            return (own[2], own[3], *best[2:]) if best else None
+            near.sort(key=lambda x: -alike(x[1], own[1]))
+            return [(own[2], own[3], *x[2:], k == 0) for k, x in enumerate(near)]
 
         for batch in batches:
             out = []
             for own in zip(*(c.to_pylist() for c in batch.columns)):
                 if held is not None:
-                    out.append(row(before, held, own))
+                    out += rows(before, held, own)
                     before = held
                 held = own
-            out = [r for r in out if r]
             if out:
                 yield made(out)
-        if held is not None and (last := row(before, held, behind)):
-            yield made([last])
+        if held is not None and (last := rows(before, held, behind)):
+            yield made(last)
 
-    def made(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["page_id", "h", "other_page_id", "other_h"])
+    def made(found):
+        *ids, nearest = zip(*found)
+        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in ids), pa.array(nearest, pa.bool_())],
+                                          ["page_id", "h", "other_page_id", "other_h", "nearest"])
 
-    return ordered.mapInArrow(pair, "page_id long, h long, other_page_id long, other_h long")
+    return ordered.mapInArrow(pair, "page_id long, h long, other_page_id long, other_h long, nearest boolean")
 
 
 def template_lines(pages: DataFrame) -> DataFrame:
-    """page_id, h, and the numbers of the lines that a page without a marked article shares with its partner."""
+    """page_id, h, and the numbers of the lines that a page shares with its partner; of a marked article's page those
+    inside it, headings apart, that it shares with its neighbours on both sides and that most pages of the host have."""
     light = cut(described(pages))
     pairs = cut(partners(light))
 
     def align(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array([shared_lines(a, b) for a, b in zip(*(c.to_pylist() for c in batch.columns[2:]))], pa.list_(pa.int64()))],
-                ["page_id", "h", "shared"])
-
-    own = light.where("not marked").select(F.col("page_id").alias("p"), F.col("h").alias("q"), "lines")
+            found, hashes = [], []
+            for a, asked, b in zip(*(c.to_pylist() for c in batch.columns[3:])):
+                met = set(b).intersection(a[k] for k in asked)
+                found.append(sorted(set(asked).intersection(shared_lines(a, b))) if met else [])
+                hashes.append([a[k] for k in found[-1]])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, pa.list_(pa.int64())) for c in (found, hashes))],
+                                             ["page_id", "h", "host", "shared", "line"])
+
+    own = light.select(F.col("page_id").alias("p"), F.col("h").alias("q"), "host", "marked", "lines", "asked")
     other = light.select(F.col("page_id").alias("r"), F.col("h").alias("s"), F.col("lines").alias("other_lines"))
-    return (
-        pairs.join(own, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("h") == F.col("q")))
-        .join(other, F.col("other_page_id").eqNullSafe(F.col("r")) & (F.col("other_h") == F.col("s")))
-        .select("page_id", "h", "lines", "other_lines").mapInArrow(align, "page_id long, h long, shared array<long>"))
+
+    def aligned(sides):
+        return (
+            sides.join(other, F.col("other_page_id").eqNullSafe(F.col("r")) & (F.col("other_h") == F.col("s")))
+            .select("page_id", "h", "host", "lines", "asked", "other_lines")
+            .mapInArrow(align, "page_id long, h long, host string, shared array<long>, line array<long>").where("size(shared) > 0"))
+
+    sides = pairs.join(own, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("h") == F.col("q"))).where("nearest or marked")
+    both = aligned(sides.where("marked")).groupBy("page_id", "h", "host").agg(F.collect_list(F.arrays_zip("shared", "line")).alias("sides"))  # two at most
+    both = cut(both.where("size(sides) = 2").select("page_id", "h", "host", F.inline(F.array_intersect(F.col("sides")[0], F.col("sides")[1]))))
+    common = host_lines(light, both).select(F.col("host").alias("on"), F.col("line").alias("common"))
+    both = both.join(common, (F.col("host") == F.col("on")) & (F.col("line") == F.col("common"))).groupBy("page_id", "h")
+    return aligned(sides.where("not marked")).select("page_id", "h", "shared").unionByName(both.agg(F.array_sort(F.collect_list("shared")).alias("shared")))
+
+
+def host_lines(light: DataFrame, asked: DataFrame) -> DataFrame:
+    """The distinct (host, line) of ``asked`` that more than half of the host's pages have."""
+    lines = among(light.select("host", F.explode(F.array_distinct("lines")).alias("line")), "line", asked.select("line").distinct())
+    held = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("held"))
+    pages = light.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    return held.join(pages, "host").where("2 * held > pages").join(asked.select("host", "line").distinct(), ["host", "line"], "left_semi")
 
 
 def main_text(page: str, shared: list[int]) -> str:
-    """The blocks of the article, one a line: those of the article (or main) element that the page marks, else all
-    but the shared ones, or all if none is left.  Where the markup leaves nothing, the same of the blocks that it
-    puts outside."""
-    blocks = blocks_of(page)
-    inside = [text for text, out, article in blocks if article and not out]
-    if not inside:
-        template = set(shared)
-        rest = [(k, text) for k, (text, out, _) in enumerate(blocks) if not out] or [(k, text) for k, (text, _, _) in enumerate(blocks)]
+    """The blocks of the article, one a line: those of the article (or main) element that the page marks, without
+    the shared ones that are no headings unless these are most of it; else all but the shared ones, or all if
+    none is left.  Where the markup leaves nothing, the same of the blocks that it puts outside."""
+    blocks = headed_blocks(page)
+    template = set(shared)
+    inside = [text for text, out, article, _ in blocks if article and not out]
+    if inside:
+        kept = [text for k, (text, out, article, heading) in enumerate(blocks) if article and not out and (heading or k not in template)]
+        if 2 * sum(map(len, kept)) >= sum(map(len, inside)):
+            inside = kept
+    else:
+        rest = [(k, block[0]) for k, block in enumerate(blocks) if not block[1]] or [(k, block[0]) for k, block in enumerate(blocks)]
         inside = [text for k, text in rest if k not in template] or [text for _, text in rest]
     return "\n".join(inside)
 
