@@ -59,3 +59,14 @@ def test_connected_components(spark):
     links = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 160)] + [(200, 201), (201, 200), (202, 202), (150, 5)]
     got = dict(connected_components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {**{k: 0 for k in [*range(61), *range(100, 160)]}, 200: 200, 201: 200}
+
+
+def test_only_shared_shingles_travel(spark):
+    rows = [(n, 50 + n, [n * 1000 + k for k in range(20)] + ([-7] if n % 2 else []) + ([5, 6] if n < 2 else [])) for n in range(40)]
+    classes = spark.createDataFrame(rows, "node long, n long, prefix array<long>").repartition(5)
+    got = jaccard.in_shared_lists(classes).select("key", "node", "n", "pos").collect()
+    places = {}
+    for node, n, prefix in rows:
+        for pos, key in enumerate(prefix):
+            places.setdefault(key, []).append((key, node, n, pos))
+    assert sorted(map(tuple, got)) == sorted(row for found in places.values() if len(found) > 1 for row in found)

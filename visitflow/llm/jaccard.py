@@ -19,8 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, NOT_SPACE, cut, flat, mix, shingles, steps, word_hashes, word_spans
-from .linking import among, candidate_pairs, connected_components, in_lists, with_links
+from .common import LOWER, NOT_SPACE, cut, flat, mix, shingles, steps, word_hashes, word_spans, written
+from .linking import among, candidate_pairs, connected_components, in_lists, members, with_links
+from .packed import brief, buckets_of, repeated_keys
 
 #: Counters of the rarity table; any order of shingles is right, a good one makes short lists.
 COUNTER_BITS = 22
@@ -96,35 +97,63 @@ def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return docs.mapInArrow(describe, "doc_id long, n long, s1 long, s2 long, prefix array<long>, sketch binary")
 
 
+def in_shared_lists(classes: DataFrame) -> DataFrame:
+    """The blocks (see ``linking.dealt_blocks``) of the posts key, node, n, pos of ``classes``: one for each shingle
+    of a prefix that another class's prefix has.  Shingles that no other has are left out before the shuffle."""
+    buckets = buckets_of(classes.sparkSession)
+
+    def keys(batches):
+        for batch in batches:
+            yield batch.column(0).flatten().to_numpy()
+
+    shared = cut(repeated_keys(classes.select("prefix"), keys, buckets))
+    known = classes.sparkSession.sparkContext.broadcast(members(shared))  # of bounded size
+
+    def posts(batches):
+        for batch in batches:
+            prefix = batch.column(2)
+            key, sizes = prefix.flatten().to_numpy(), prefix.value_lengths().to_numpy()
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            pos = np.arange(len(key)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            kept = np.flatnonzero(known.value(brief(key, buckets)))
+            rows = pa.array(row[kept])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(pos[kept]), pa.array(key[kept])], ["node", "n", "pos", "key"])
+
+    return in_lists(classes.select("node", "n", "prefix").mapInArrow(posts, "node long, n long, pos long, key long"))
+
+
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``pairs`` with ``linked``, judged on the whole sets; hardly any text that is in no pair is shuffled."""
+    """``pairs`` with ``linked``, judged on the whole sets; hardly any text that is in no pair is shuffled.
+
+    Texts travel, which pack better than their sets: once by their set's signature, and once more for each pair."""
     nodes = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
     needed = cut(among(classes.select("node", F.col("rep").alias("doc_id"), "s1", "s2"), "node", nodes).join(nodes, "node"))
-    def build(batches):
+    wanted = docs.sparkSession.sparkContext.broadcast(members(needed.select("s1")))  # of bounded size
+
+    def sign(batches):
         for batch in steps(batches):
-            ids, sets = [], []
-            for node, a, b, s in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), sets_of(batch.column(1), width)):
-                if signature(s) == (a, b):  # else another text under the same doc_id
-                    ids.append(node)
-                    sets.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["node", "members"])
+            signed = np.array([signature(s) for s in sets_of(batch.column(1), width)], np.int64).reshape(-1, 2)
+            kept = np.flatnonzero(wanted.value(signed[:, 0].copy()))  # not another text under the same doc_id
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signed[kept, 0]), pa.array(signed[kept, 1]), batch.column(1).take(pa.array(kept))], ["s1", "s2", "text"])
 
-    sets = cut(among(docs, "doc_id", needed.select("doc_id")).join(needed, "doc_id").select("doc_id", "text", "node", "s1", "s2")
-               .mapInArrow(build, "node long, members binary").dropDuplicates(["node"]))
+    texts = among(docs, "doc_id", needed.select("doc_id")).mapInArrow(sign, "s1 long, s2 long, text string").dropDuplicates(["s1", "s2"])
 
     def judge(batches):
-        for batch in batches:
+        for batch in steps(batches, 2):
             linked = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(sets_of(batch.column(2), width), sets_of(batch.column(3), width)):
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
-    return (
-        pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
-        .select("a", "b", "x", "y").mapInArrow(judge, "a long, b long, linked boolean"))
+    for side in ("a", "b"):
+        pairs = pairs.join(needed.select(F.col("node").alias(side), F.col("s1").alias(f"{side}1"), F.col("s2").alias(f"{side}2")), side)
+    pairs = cut(pairs)
+    for side, text in (("a", "x"), ("b", "y")):
+        pairs = pairs.join(texts.select(F.col("s1").alias(f"{side}1"), F.col("s2").alias(f"{side}2"), F.col("text").alias(text)), [f"{side}1", f"{side}2"])
+    return pairs.select("a", "b", "x", "y").mapInArrow(judge, "a long, b long, linked boolean")
 
 
 def near_sizes(percent: int):
@@ -153,8 +182,7 @@ def jaccard_classes(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple
         found.where("n > 0").groupBy("s1", "s2", "n")
         .agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"))
         .withColumn("node", F.monotonically_increasing_id()))
-    posts = classes.select("node", F.col("n").cast("long"), F.posexplode("prefix").alias("pos", "key")).withColumn("pos", F.col("pos").cast("long"))
-    rows = cut(in_lists(posts).join(classes.select("node", "sketch"), "node"))
+    rows = written(in_shared_lists(classes).join(classes.select("node", "sketch"), "node"))
 
     keys, columns, order = ["key", "first", "second"], ["n", "pos", "sketch"], ["n", "node"]
     first = cut(candidate_pairs(rows.withColumn("group", F.col("node")), keys, columns, order, near_sizes(percent), forest=True))
