@@ -83,3 +83,42 @@ def test_nothing_gives_nothing(spark):
     assert packed.met_sets(empty, posts, KIND, "n", near, 4).count() == 0 == packed.met_posts(empty, posts, KIND, "n", near, 4).count()
     assert list(packed.gathered([])) == [] and packed.dealt(np.zeros(0, KIND), np.zeros(0, np.int64)).num_rows == 0
     assert isinstance(packed._column(np.zeros((2, 2), np.uint64)), pa.Array)
+
+
+def test_labels_stay_right_when_pairs_come_in_parts():
+    r = np.random.default_rng(5)
+    label, parent = np.arange(300), {}
+
+    def root(n):
+        while parent.get(n, n) != n:
+            n = parent[n]
+        return n
+
+    for _ in range(6):
+        x, y = r.integers(0, 300, (2, 40))
+        label = packed._settled(label, [(x[:7], y[:7]), (x[7:], y[7:])])
+        for a, b in zip(x.tolist(), y.tolist()):
+            a, b = sorted((root(a), root(b)))
+            parent[b] = a
+        assert label.tolist() == [root(n) for n in range(300)]
+
+
+def test_a_bucket_is_unpacked_on_its_own():
+    keys = np.array([3, 3, 9, 9, 12, 40], np.int64)
+    rows = np.zeros(6, KIND)
+    rows["key"], rows["node"] = keys, np.arange(6)
+    batches = [packed.dealt(rows[part], packed.bucket_of(keys[part], 4)) for part in (slice(0, 6, 2), slice(1, 6, 2))]
+    lists = [packed._lists(parts, KIND, "n")[0] for parts in packed._buckets(batches)]
+    assert sorted(n for rows in lists for n in rows["node"].tolist()) == list(range(6))
+    assert [len(set(packed.bucket_of(rows["key"].copy(), 4).tolist())) for rows in lists] == [1] * len(set(packed.bucket_of(keys, 4).tolist()))
+
+
+def test_parts_are_the_whole(monkeypatch):
+    monkeypatch.setattr(packed, "PACKED", 3)
+    rows = np.zeros(500, KIND)
+    rows["key"] = np.arange(500) % 70
+    bucket = packed.bucket_of(rows["key"].copy(), 16)
+    order = np.argsort(bucket, kind="stable")
+    whole, parts = packed.dealt(rows, bucket), list(packed.dealt_parts(rows[order], bucket[order]))
+    assert len(parts) == -(-whole.num_rows // 3) and pa.Table.from_batches(parts).to_pylist() == whole.to_pylist()
+    assert list(packed.dealt_parts(rows[:0], bucket[:0])) == []
