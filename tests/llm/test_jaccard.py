@@ -70,3 +70,18 @@ def test_only_shared_shingles_travel(spark):
         for pos, key in enumerate(prefix):
             places.setdefault(key, []).append((key, node, n, pos))
     assert sorted(map(tuple, got)) == sorted(row for found in places.values() if len(found) > 1 for row in found)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_documents_pass_one_python_function_before_a_shuffle(spark):
+    """A second one in the same stage would be a second Python worker for each core."""
+    docs = documents(spark, [prose(1, 50), prose(1, 50) + " more", prose(2, 50)])
+    _, classes, _ = jaccard.jaccard_classes(docs)
+    nodes = sorted(r.node for r in classes.collect())
+    pairs = spark.createDataFrame([(nodes[0], nodes[1])], "a long, b long")
+    plan = plan_of(jaccard.verified(docs.select("doc_id", "text"), classes, pairs, 3, 90)).splitlines()
+    python = [k for k, line in enumerate(plan) if "MapInArrow" in line]
+    assert python and all("MapInArrow" not in plan[k + 1] for k in python)

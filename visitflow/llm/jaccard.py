@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, NOT_SPACE, cut, flat, mix, shingles, steps, word_hashes, word_spans, written
-from .linking import among, candidate_pairs, connected_components, in_lists, members, with_links
+from .linking import among, candidate_pairs, connected_components, in_lists, members, picked, with_links
 from .packed import brief, buckets_of, repeated_keys
 
 #: Counters of the rarity table; any order of shingles is right, a good one makes short lists.
@@ -127,18 +127,16 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
     """``pairs`` with ``linked``, judged on the whole sets; hardly any text that is in no pair is shuffled.
 
     Texts travel, which pack better than their sets: once by their set's signature, and once more for each pair."""
-    nodes = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-    needed = cut(among(classes.select("node", F.col("rep").alias("doc_id"), "s1", "s2"), "node", nodes).join(nodes, "node"))
-    wanted = docs.sparkSession.sparkContext.broadcast(members(needed.select("s1")))  # of bounded size
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    needed = cut(classes.select("node", F.col("rep").alias("doc_id"), "s1", "s2").join(nodes, "node"))
+    wanted = docs.sparkSession.sparkContext.broadcast(members(needed.select("doc_id")))  # of bounded size
 
     def sign(batches):
-        for batch in steps(batches):
+        for batch in steps(picked(b, 0, wanted.value) for b in batches):  # in one function: two of them would be two workers a core
             signed = np.array([signature(s) for s in sets_of(batch.column(1), width)], np.int64).reshape(-1, 2)
-            kept = np.flatnonzero(wanted.value(signed[:, 0].copy()))  # not another text under the same doc_id
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed[kept, 0]), pa.array(signed[kept, 1]), batch.column(1).take(pa.array(kept))], ["s1", "s2", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(signed[:, 0]), pa.array(signed[:, 1]), batch.column(1)], ["s1", "s2", "text"])
 
-    texts = among(docs, "doc_id", needed.select("doc_id")).mapInArrow(sign, "s1 long, s2 long, text string").dropDuplicates(["s1", "s2"])
+    texts = docs.mapInArrow(sign, "s1 long, s2 long, text string").dropDuplicates(["s1", "s2"])
 
     def judge(batches):
         for batch in steps(batches, 2):
