@@ -85,3 +85,27 @@ def test_documents_pass_one_python_function_before_a_shuffle(spark):
     plan = plan_of(jaccard.verified(docs.select("doc_id", "text"), classes, pairs, 3, 90)).splitlines()
     python = [k for k, line in enumerate(plan) if "MapInArrow" in line]
     assert python and all("MapInArrow" not in plan[k + 1] for k in python)
+
+
+def test_posts_are_dealt_into_blocks_without_a_shuffle(spark):
+    """However many partitions a shuffle has, each task deals out no more rows than its posts."""
+    rows = [(n, 50 + n, [n, n + 1, -7]) for n in range(40)]
+    classes = spark.createDataFrame(rows, "node long, n long, prefix array<long>").repartition(5)
+    dealt = jaccard.in_shared_lists(classes)
+    assert "Exchange hashpartitioning" not in plan_of(dealt)
+    assert dealt.where("key = -7").count() == 40 and dealt.where("key = 3").count() == 2
+
+
+def test_few_links_are_connected_in_one_round(spark, monkeypatch):
+    """As many links as one task may hold need no rounds of their own; more do, with the same result."""
+    from visitflow.llm import linking
+
+    rounds = []
+    monkeypatch.setattr(linking, "cut", lambda df, cut=linking.cut: rounds.append(1) or cut(df))
+    links = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 160)] + [(200, 201), (201, 200), (202, 202), (150, 5)]
+    table = spark.createDataFrame(links, "a long, b long").repartition(7)
+    few = dict(linking.connected_components(table).collect())
+    assert len(rounds) == 2
+    monkeypatch.setattr(linking, "LINKS_EACH", 16)
+    assert dict(linking.connected_components(table).collect()) == few == {**{k: 0 for k in [*range(61), *range(100, 160)]}, 200: 200, 201: 200}
+    assert len(rounds) > 6

@@ -18,10 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import LOWER, NOT_SPACE, cut, flat, mix, shingles, steps, word_hashes, word_spans, written
 from .linking import among, candidate_pairs, connected_components, in_lists, members, picked, with_links
-from .packed import brief, buckets_of, repeated_keys
 
 #: Counters of the rarity table; any order of shingles is right, a good one makes short lists.
 COUNTER_BITS = 22
@@ -98,29 +98,27 @@ def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def in_shared_lists(classes: DataFrame) -> DataFrame:
-    """The blocks (see ``linking.dealt_blocks``) of the posts key, node, n, pos of ``classes``: one for each shingle
-    of a prefix that another class's prefix has.  Shingles that no other has are left out before the shuffle."""
-    buckets = buckets_of(classes.sparkSession)
+    """The blocks (see ``linking.dealt_blocks``) of the posts (key, pos and all columns but ``prefix``) of ``classes``: one for each shingle
+    of a prefix that another class's prefix has, and a few others, which are alone in their lists."""
+    lists = cut(classes.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1"))
+    known = classes.sparkSession.sparkContext.broadcast(members(lists.select("key")))  # of bounded size
 
-    def keys(batches):
-        for batch in batches:
-            yield batch.column(0).flatten().to_numpy()
-
-    shared = cut(repeated_keys(classes.select("prefix"), keys, buckets))
-    known = classes.sparkSession.sparkContext.broadcast(members(shared))  # of bounded size
+    names = [c for c in classes.columns if c != "prefix"]
 
     def posts(batches):
         for batch in batches:
-            prefix = batch.column(2)
+            prefix = batch.column(len(names))
             key, sizes = prefix.flatten().to_numpy(), prefix.value_lengths().to_numpy()
             row = np.repeat(np.arange(len(sizes)), sizes)
             pos = np.arange(len(key)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            kept = np.flatnonzero(known.value(brief(key, buckets)))
+            kept = np.flatnonzero(known.value(key))
             rows = pa.array(row[kept])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(pos[kept]), pa.array(key[kept])], ["node", "n", "pos", "key"])
+                [*(batch.column(k).take(rows) for k in range(len(names))), pa.array(pos[kept]), pa.array(key[kept])], [*names, "pos", "key"])
 
-    return in_lists(classes.select("node", "n", "prefix").mapInArrow(posts, "node long, n long, pos long, key long"))
+    schema = T.StructType([*classes.select(*names).schema.fields, T.StructField("pos", T.LongType()), T.StructField("key", T.LongType())])
+    rows = classes.select(*names, "prefix").mapInArrow(posts, schema)
+    return in_lists(rows, lists)
 
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -180,7 +178,7 @@ def jaccard_classes(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple
         found.where("n > 0").groupBy("s1", "s2", "n")
         .agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"))
         .withColumn("node", F.monotonically_increasing_id()))
-    rows = written(in_shared_lists(classes).join(classes.select("node", "sketch"), "node"))
+    rows = written(in_shared_lists(classes.select("node", "n", "sketch", "prefix")))
 
     keys, columns, order = ["key", "first", "second"], ["n", "pos", "sketch"], ["n", "node"]
     first = cut(candidate_pairs(rows.withColumn("group", F.col("node")), keys, columns, order, near_sizes(percent), forest=True))
@@ -204,9 +202,9 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     empty table gives no row; other columns are not read."""
     found, classes, known = jaccard_classes(docs, width, percent)
     linked = cut(known.join(classes.select("node", "rep"), "node"))
-    smallest = cut(linked.groupBy("component").agg(F.min("rep").alias("component_id")))
+    smallest = linked.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_node = linked.join(smallest, "component").select("node", "component_id")
-    of_class = cut(classes.join(of_node, "node", "left").select("s1", "s2", "n", F.coalesce("component_id", "rep").alias("component_id")))
+    of_class = classes.join(of_node, "node", "left").select("s1", "s2", "n", F.coalesce("component_id", "rep").alias("component_id"))
     return found.join(of_class, ["s1", "s2", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
