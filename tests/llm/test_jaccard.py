@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 from helpers import brute_components, documents, prose
 
 from visitflow.llm import jaccard
@@ -109,3 +110,27 @@ def test_few_links_are_connected_in_one_round(spark, monkeypatch):
     monkeypatch.setattr(linking, "LINKS_EACH", 16)
     assert dict(linking.connected_components(table).collect()) == few == {**{k: 0 for k in [*range(61), *range(100, 160)]}, 200: 200, 201: 200}
     assert len(rounds) > 6
+
+
+def test_prefixes_avoid_what_other_sets_have_when_counters_are_full(spark, monkeypatch):
+    """Many shingles for each counter: counters alone put a shingle that another text has, by chance, into almost every prefix."""
+    monkeypatch.setattr(jaccard, "COUNTER_BITS", 8)
+    passages = [" ".join(f"p{k}x{n}" for n in range(12)) for k in range(40)]
+    rows = [" ".join([*(f"own{d}x{n}" for n in range(140)), *(passages[(d * 7 + k) % 40] for k in range(3))]) for d in range(200)]
+    docs = documents(spark, rows + rows[:100]).select("doc_id", "text").repartition(5)  # copies are one set
+    found = {r.s1: set(r.prefix) for r in jaccard.described(docs, 3, 90).collect()}
+    assert len(found) == 200
+    prefixes = list(found.values())
+    assert sum(map(len, prefixes)) == len(set().union(*prefixes))
+
+
+def test_shared_shingles_have_two_sets(spark):
+    """Those that two different texts have are known, those of copies alone are not, but for few."""
+    one, two = prose(1, 300, 10**6), prose(2, 300, 10**6)
+    docs = documents(spark, [one, one, one + " and more words", two, two]).select("doc_id", "text").repartition(4)
+    counts, known = jaccard.rarity(docs, 3, 256)
+    sets = [jaccard.sets_of(pa.array([t]), 3)[0] for t in (one, two)]
+    met, alone = ([known(jaccard.briefly(s[s < jaccard.TRIED], 256)) for s in sets])
+    assert len(met) > 40 and met.all() and len(alone) > 40 and alone.sum() <= 1
+    size = len(counts)
+    assert all((counts[(s % size).astype(int)] >= 2).all() for s in sets)

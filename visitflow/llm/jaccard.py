@@ -21,11 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import LOWER, NOT_SPACE, cut, flat, mix, shingles, steps, word_hashes, word_spans, written
-from .linking import among, candidate_pairs, connected_components, in_lists, members, picked, with_links
+from .linking import Members, among, candidate_pairs, connected_components, in_lists, members, picked, with_links
+from .packed import bucket_of, dealt_steps, gathered, of_steps
 
 #: Counters of the rarity table; any order of shingles is right, a good one makes short lists.
 COUNTER_BITS = 22
 COUNTER_PARTS = 256
+#: Shingles below this, a fourth of all, come first where no other set has them: counters alone cannot tell, the more
+#: sets there are, and what two sets have by chance would make posts that grow with the square of their number.
+TRIED = np.uint64(1 << 62)
 #: Bits of a parity sketch; above about four times as many shingles it rules nothing out any more.
 SKETCH_BITS = 256
 
@@ -45,43 +49,86 @@ def signature(s: np.ndarray) -> tuple[int, int]:
         return int(mix(s).sum(dtype=np.uint64).view(np.int64)), int(mix(s ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64).view(np.int64))
 
 
-def rarity(docs: DataFrame, width: int) -> np.ndarray:
-    """How often shingles occur, in 2**COUNTER_BITS shared counters: a table of fixed size."""
+def briefly(s: np.ndarray, buckets: int) -> np.ndarray:
+    """A shingle's bucket and 24 of its bits, with 8 bits of room."""
+    return bucket_of(s, buckets) << 32 | (s & np.uint64(0xFFFFFF)).astype(np.int64) << 8
+
+
+def rarity(docs: DataFrame, width: int, buckets: int) -> tuple[np.ndarray, Members]:
+    """How often shingles occur, in 2**COUNTER_BITS shared counters: a table of fixed size; and which of the
+    TRIED shingles (see ``briefly``) two sets or more have, and a few others: of bounded size."""
     size = 1 << COUNTER_BITS
+    names = ["bucket", "packed", "counts"]
 
     def count(batches):
-        counts = np.zeros(size, np.int64)
-        for batch in steps(batches):
-            found = sets_of(batch.column(1), width)
-            counts += np.bincount(np.concatenate([*found, np.zeros(0, np.uint64)]).astype(np.int64) & (size - 1), minlength=size)
+        counts = np.zeros(size, np.uint32)
+
+        def tried():
+            for batch in steps(batches):
+                found = sets_of(batch.column(1), width)
+                every = np.concatenate([*found, np.zeros(0, np.uint64)])
+                np.add.at(counts, every.astype(np.int64) & (size - 1), np.uint32(1))  # where they are: no second table
+                # copies are one set: 8 bits of its signature tell them from others
+                tag = np.repeat(np.array([signature(s)[0] & 0xFF for s in found], np.int64), [len(s) for s in found])
+                some = np.flatnonzero(every < TRIED)
+                yield briefly(every[some], buckets) | tag[some]
+
+        for key in gathered(tried()):
+            for batch in dealt_steps(np.unique(key)):
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(batch.num_rows, pa.binary())], names)
         parts = np.minimum(counts, 255).astype(np.uint8).reshape(COUNTER_PARTS, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(range(COUNTER_PARTS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["part", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(COUNTER_PARTS), pa.int32()), pa.nulls(COUNTER_PARTS, pa.binary()),
+                                          pa.array([p.tobytes() for p in parts], pa.binary())], names)
 
     def add(batches):
         total: dict[int, np.ndarray] = {}
+        held: dict[int, list[bytes]] = {}
         for batch in batches:
-            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total[part] = total.get(part, 0) + np.frombuffer(counts, np.uint8).astype(np.uint32)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())], ["part", "counts"])
-
-    rows = docs.mapInArrow(count, "part int, counts binary").repartition("part").mapInArrow(add, "part int, counts binary").collect()
+            for bucket, packed, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if packed is None:
+                    total[bucket] = total.get(bucket, 0) + np.frombuffer(counts, np.uint8).astype(np.uint32)
+                else:
+                    held.setdefault(bucket, []).append(packed)
+        n = len(total)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary()), pa.nulls(n, pa.int64())], ["part", "counts", "key"])
+        for bucket, packed in held.items():
+            key = np.unique(of_steps(packed)) >> 8
+            key = np.unique(key[1:][key[1:] == key[:-1]]).astype(np.int64)
+            n = len(key)
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(bucket << 32 | key << 8)], ["part", "counts", "key"])
+
+    dealt = docs.mapInArrow(count, "bucket int, packed binary, counts binary").repartition("bucket")
+    found = cut(dealt.mapInArrow(add, "part int, counts binary, key long"))
     out = np.zeros((COUNTER_PARTS, size // COUNTER_PARTS), np.uint32)
-    for row in rows:
+    for row in found.where("part is not null").select("part", "counts").collect():
         out[row["part"]] = np.frombuffer(row["counts"], np.uint32)
-    return out.ravel()
+    return out.ravel(), members(found.where("key is not null").select("key"))
+
+
+def rarest_first(s: np.ndarray, counts: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """The order of a sorted set's shingles, the same in all sets: those TRIED that are not ``shared``, then by their counters."""
+    rank = counts[s.astype(np.int64) & (len(counts) - 1)].astype(np.int64) + 1
+    some = int(np.searchsorted(s, TRIED))
+    rank[:some][~shared] = 0
+    return np.argsort(rank, kind="stable")
 
 
 def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """doc_id, n (set size), s1, s2 (signature), prefix (its rarest shingles), sketch."""
-    shared = docs.sparkSession.sparkContext.broadcast(rarity(docs, width))  # 16 MB at any input size
+    buckets = max(COUNTER_PARTS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shared = docs.sparkSession.sparkContext.broadcast(rarity(docs, width, buckets))  # 32 MB at most, at any input size
 
     def describe(batches):
-        counts = shared.value
+        counts, known = shared.value
         for batch in steps(batches):
             n, s1, s2, prefix, sketch = [], [], [], [], []
-            for s in sets_of(batch.column(1), width):
+            sets = sets_of(batch.column(1), width)
+            tried = [s[: np.searchsorted(s, TRIED)] for s in sets]
+            met = known(briefly(np.concatenate([*tried, np.zeros(0, np.uint64)]), buckets))
+            ends = np.cumsum([len(s) for s in tried])
+            for s, own in zip(sets, np.split(met, ends[:-1])):
                 take = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
-                order = np.lexsort((s, counts[s.astype(np.int64) & (len(counts) - 1)]))[:take]
+                order = rarest_first(s, counts, own)[:take]
                 a, b = signature(s)
                 n.append(len(s))
                 s1.append(a)
